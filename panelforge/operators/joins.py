@@ -108,7 +108,8 @@ def full_outer_chain(tables: Sequence[DataFrame], key: str = "year") -> DataFram
 def distinct_lookup(df: DataFrame, cols: Sequence[str], lookup: DataFrame) -> DataFrame:
     """JON-06: distinct address tuples inner-joined to a supplied coordinates table."""
     uniq = df.select(*cols).dropDuplicates()
-    return join_step(uniq, lookup, on=list(cols), how="inner")
+    on = [c for c in cols if c in lookup.columns]
+    return join_step(uniq, lookup, on=on, how="inner", on_missing="error")
 
 
 def semi_by_activity(df: DataFrame, keys: Sequence[str], month_col: str, min_rows: int = 0,
