@@ -85,7 +85,7 @@ def _clean(spark, sf_dir):
     return clean(raw_lines(spark, sf_dir), CLEAN_CFG)
 
 
-@query("flt_01_clean_stage_kept_rows", lines_with(CLEAN_SQL_CTES) + f"""
+@query("flt_01_04_clean_stage_kept_rows", lines_with(CLEAN_SQL_CTES) + f"""
 SELECT orderKey, partKey, suppKey, lineNumber, salePrice, {R('discount', 6)} AS discount, {R('taxRaw', 6)} AS taxRaw,
   landSizeM2, partName, CASE WHEN bc.n >= 50 OR brandSize = 'Unknown' THEN brandSize ELSE 'Other' END AS brandSize,
   propertyType FROM k4 LEFT JOIN bc ON k4.brandSize IS NOT DISTINCT FROM bc.v""")

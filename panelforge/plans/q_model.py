@@ -88,7 +88,7 @@ co AS (SELECT regr_intercept(ln(1 + salePrice), yearBuilt) AS a, regr_slope(ln(1
 va AS (SELECT salePrice AS y, exp(a + b * yearBuilt) - 1 AS p FROM sales, v, co WHERE saleYearMonth = vm)""")
 
 
-@query("mod_12_13_log_target_metrics", _LOG_SQL + f"""
+@query("mod_12_13_flt_05_log_target_metrics", _LOG_SQL + f"""
 SELECT {R('avg(abs(p - y))', 2)} AS mae, {R('sqrt(avg((p - y) * (p - y)))', 2)} AS rmse,
   {R('1 - sum((p - y) * (p - y)) / (var_pop(y) * count(*))', 4)} AS r2 FROM va""")
 def mod_12_13(spark, sf_dir):
@@ -196,7 +196,7 @@ def pre_03_04(spark, sf_dir):
     return out.select("row_id", rnd("price", 4).alias("price"), rnd("lower", 4).alias("lower"), rnd("upper", 4).alias("upper"))
 
 
-@query("pre_01_02_batch_feature_prep_and_scoring")
+@query("pre_01_02_bin_05_nul_04_batch_prep_and_scoring")
 def pre_01_02(spark, sf_dir):
     df = model_input(spark, sf_dir)
     table, fitted = M.train_models(df, "salePrice", "saleYearMonth", {"LinearRegression": {}},

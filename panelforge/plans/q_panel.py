@@ -55,7 +55,7 @@ def _r(c):
     return 0 if c in ("count",) or "txn_count" in c else (6 if "delta" in c else 4)
 
 
-@query("win_07_lagged_suburb_rollups", sales_with("src_suburb AS (SELECT * FROM sales)", _rollup_sql()) + f"""
+@query("win_07_08_lagged_suburb_rollups_momentum", sales_with("src_suburb AS (SELECT * FROM sales)", _rollup_sql()) + f"""
 SELECT row_id, {', '.join((R(('median_prior' if c == 'suburb_price_median_current' else 'count_prior' if c == 'count' else 'std_prior' if c == 'std' else c), _r(c)) if _r(c) else ('count_prior' if c == 'count' else c)) + ' AS ' + c for c in _ROLL_OUT)}
 FROM sales s LEFT JOIN d_suburb d ON s.suburb = d.suburb AND s.saleYearMonth = d.saleYearMonth""")
 def win_07(spark, sf_dir):
@@ -170,7 +170,7 @@ def segments(spark, sf_dir):
     return build_segments(sales(spark, sf_dir), SEG_KEYS, "saleYearMonth", **SEG_SPEC)
 
 
-@query("agg_09_segment_table_future_targets", SEG_SQL)
+@query("agg_09_10_win_09_12_prj_09_segment_table", SEG_SQL)
 def agg_09(spark, sf_dir):
     seg = segments(spark, sf_dir)
     return seg.select(*SEG_KEYS, "saleYearMonth",

@@ -248,7 +248,7 @@ EXPRS = {
 }
 
 
-@query("exp_01_08_expression_columns", sales_with() + f"""
+@query("exp_01_08_mth_05_expression_columns", sales_with() + f"""
 SELECT row_id,
   {R("CASE WHEN ln(salePrice) < 8 THEN 8 WHEN ln(salePrice) > 12.5 THEN 12.5 ELSE ln(salePrice) END", 6)} AS log_price,
   greatest(landSizeM2, 1000) AS land_floor, least(landSizeM2, 5000) AS land_cap,

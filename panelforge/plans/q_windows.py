@@ -47,7 +47,7 @@ def _band(s):
 _BAND_SQL = "CASE WHEN landSizeM2 IS NOT NULL THEN CASE WHEN landSizeM2 > 5000 THEN 'big' ELSE 'small' END END"
 
 
-@query("agg_01_group_transform_all", sales_with(f"""b AS (SELECT *, {_BAND_SQL} AS lsz_band FROM sales),
+@query("agg_01_08_group_transform_all_functions", sales_with(f"""b AS (SELECT *, {_BAND_SQL} AS lsz_band FROM sales),
 g AS (SELECT suburb, lsz_band, avg(salePrice) AS m, median(salePrice) AS md, coalesce(sum(salePrice), 0) AS s,
              min(salePrice) AS mn, max(salePrice) AS mx, stddev_samp(salePrice) AS sd, count(salePrice) AS c,
              count(DISTINCT street) AS nu
@@ -91,7 +91,7 @@ def _nz(expr, w):
 _W2 = _w(2, 0)
 
 
-@query("win_02_loo_mean_sum_count_std", sales_with() + f"""
+@query("win_01_02_loo_mean_sum_count_std", sales_with() + f"""
 SELECT row_id,
   {_nz(R(f'avg(salePrice) OVER {_W2}', 4), _W2)} AS loo_mean,
   {_nz(R(f'coalesce(sum(salePrice) OVER {_W2}, 0)', 2), _W2)} AS loo_sum,
