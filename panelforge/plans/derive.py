@@ -52,8 +52,8 @@ def _simple(df: DataFrame, step: Mapping[str, Any], ctx: Registry) -> DataFrame:
                                                                  cfg.get("min_age"), cfg.get("max_age")))
     if m == "date_parts":
         src = src or "saleDate"
-        if df.where(F.col(src).isNotNull()).limit(1).count() == 0:   # all NULL: skip, as specified
-            return df
+        if not step.get("skip_all_null_check") and df.where(F.col(src).isNotNull()).limit(1).count() == 0:
+            return df                                              # all NULL: skipped, as specified
         p = dates.date_parts(src)
         return df.withColumns({cfg.get("year_output", "saleYear"): p["year"],
                                cfg.get("month_output", "saleMonth"): p["month"],

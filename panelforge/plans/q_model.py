@@ -90,7 +90,7 @@ va AS (SELECT salePrice AS y, exp(a + b * yearBuilt) - 1 AS p FROM sales, v, co
 
 @query("mod_12_13_flt_05_log_target_metrics", _LOG_SQL + f"""
 SELECT {R('avg(abs(p - y))', 2)} AS mae, {R('sqrt(avg((p - y) * (p - y)))', 2)} AS rmse,
-  {R('1 - sum((p - y) * (p - y)) / (var_pop(y) * count(*))', 4)} AS r2 FROM va""")
+  CASE WHEN var_pop(y) = 0 THEN NULL ELSE {R('1 - sum((p - y) * (p - y)) / (var_pop(y) * count(*))', 4)} END AS r2 FROM va""")
 def mod_12_13(spark, sf_dir):
     df = model_input(spark, sf_dir).where(F.col("salePrice") > 0)
     tr, va, _ = M.month_split(df, "saleYearMonth")
@@ -99,8 +99,9 @@ def mod_12_13(spark, sf_dir):
         asm.transform(tr.withColumn("label", F.log1p("salePrice"))))
     pred = m.transform(asm.transform(va)).withColumn("prediction", F.expm1("prediction"))
     met = M.regression_metrics(pred, label="salePrice")
+    r2 = F.lit(met["r2"]).cast("double")
     return spark.range(1).select(rnd(F.lit(met["mae"]), 2).alias("mae"), rnd(F.lit(met["rmse"]), 2).alias("rmse"),
-                                 rnd(F.lit(met["r2"]), 4).alias("r2"))
+                                 rnd(r2, 4).alias("r2"))
 
 
 GRID = {"LinearRegression": {}, "Ridge": {"alpha": [1.0, 10.0]},

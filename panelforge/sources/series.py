@@ -74,8 +74,8 @@ def read_series(spark: SparkSession, path: str, rule: Callable[[list[dict]], int
     meta, data = read_series_lines(spark, path)
     col = rule(meta)
     parts = F.split(F.col("value"), ",")
-    out = data.select(parse_date(F.element_at(parts, 1)).alias("date"),
-                      F.trim(F.element_at(parts, col + 1)).try_cast("double").alias(value_name))
+    out = data.select(parse_date(F.try_element_at(parts, F.lit(1))).alias("date"),
+                      F.trim(F.try_element_at(parts, F.lit(col + 1))).try_cast("double").alias(value_name))
     out = out.dropna()
     if percent_guard:
         med = out.select(F.percentile(value_name, 0.5)).scalar()
@@ -89,7 +89,8 @@ def write_series_file(df: DataFrame, path: str, header_rows: list[list[str]]) ->
     meta = spark.createDataFrame([(i, ",".join(r)) for i, r in enumerate(header_rows)], "k int, value string")
     cols = df.columns
     body = df.select(F.lit(len(header_rows)).alias("k"), F.concat_ws(",", F.date_format(cols[0], "yyyy-MM-dd"),
-                                                                      *[F.col(c).cast("string") for c in cols[1:]])
+                                                                      *[F.coalesce(F.col(c).cast("string"), F.lit(""))
+                                                                        for c in cols[1:]])
                      .alias("value"), F.col(cols[0]).alias("d"))
     out = meta.withColumn("d", F.lit(None).cast("timestamp")).unionByName(body)
     # one output file; the series is calendar-bounded (days x series), not data-bounded
