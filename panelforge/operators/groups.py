@@ -57,14 +57,31 @@ def join_back(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame
     return df.join(t, cond, "left").drop(*ren.values())
 
 
+def grouped(df: DataFrame, keys: Sequence[str], specs: Sequence[tuple[str, str, str]],
+            extra: Sequence[Column] = ()) -> DataFrame:
+    """One row per group with aggregates given as (name, column, alias), plus extra Columns.
+
+    Medians are exact but not gathered per group: ``group_quantiles`` checks the largest
+    group and either runs one exact aggregate (bounded groups) or a sketch-bracket method.
+    """
+    from panelforge.operators.quantiles import _ns_join, group_quantiles
+    keys = list(keys)
+    plain = [F.count(F.lit(1)).alias("__rows")] + [agg_expr(a, c).alias(o) for a, c, o in specs
+                                                    if a.lower() != "median"] + list(extra)
+    out = df.groupBy(*keys).agg(*plain)
+    for a, c, o in specs:
+        if a.lower() == "median":
+            out = _ns_join(out, group_quantiles(df, keys, c, [0.5], [o]), keys, "left")
+    return out.drop("__rows")
+
+
 def group_stats(df: DataFrame, keys, target: str, outputs: Mapping[str, str],
                 min_count: int | None = None) -> DataFrame:
     """One row per group (NULL keys form their own group) with the requested aggregates."""
     keys = _as_list(keys)
-    exprs = [agg_expr(a, target).alias(o) for a, o in outputs.items()]
-    if min_count is not None:
-        exprs.append(F.count(target).alias("__n"))
-    out = df.groupBy(*keys).agg(*exprs)
+    specs = [(a, target, o) for a, o in outputs.items()]
+    extra = [F.count(target).alias("__n")] if min_count is not None else []
+    out = grouped(df, keys, specs, extra)
     if min_count is not None:
         out = out.withColumns({o: F.when(F.col("__n") >= int(min_count), F.col(o)) for o in outputs.values()})
         out = out.drop("__n")

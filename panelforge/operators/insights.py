@@ -97,11 +97,13 @@ def binned_means(df: DataFrame, feature: str, target: str, by: Column, bins: int
 # --- profiles (AGG-17/18/26/27, AGG-23) ------------------------------------------------------------
 def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """AGG-17: count, mean, std, min, quartiles (interpolated), max per column, one pass."""
+    from panelforge.operators.quantiles import quantiles_of
+    qs = quantiles_of(df, {c: [0.25, 0.5, 0.75] for c in columns})
     aggs = []
     for i, c in enumerate(columns):
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q{i}"),
+                 F.min(x).alias(f"lo{i}"), F.array(*[F.lit(v).cast("double") for v in qs[c]]).alias(f"q{i}"),
                  F.max(x).alias(f"hi{i}")]
     row = df.agg(*aggs)
     stack = ", ".join(f"'{c}', n{i}, m{i}, s{i}, lo{i}, q{i}[0], q{i}[1], q{i}[2], hi{i}" for i, c in enumerate(columns))
@@ -134,9 +136,9 @@ def latest_month(df: DataFrame, candidates: Sequence[str]) -> DataFrame:
 # --- growth and shares (AGG-19/20/21/22, WIN-13/14) ------------------------------------------------
 def type_period_stats(df: DataFrame, type_col: str, period_col: str, price_col: str) -> DataFrame:
     """AGG-19: median, transaction count and std per type x period."""
-    return df.groupBy(type_col, period_col).agg(F.percentile(price_col, 0.5).alias("median_price"),
-                                                F.count(F.lit(1)).alias("txn_count"),
-                                                F.stddev_samp(price_col).alias("volatility"))
+    from panelforge.operators.groups import grouped
+    return grouped(df, [type_col, period_col], [("median", price_col, "median_price"), ("std", price_col, "volatility")],
+                   [F.count(F.lit(1)).alias("txn_count")])
 
 
 def yoy_growth(stats: DataFrame, type_col: str, period_col: str, lag: int = 12) -> DataFrame:
@@ -164,8 +166,8 @@ def volume_share(df: DataFrame, group_col: str, type_col: str) -> DataFrame:
 
 def quarterly_stats(df: DataFrame, quarter_col: str, price_col: str) -> DataFrame:
     """AGG-21: mean and median per quarter."""
-    return df.groupBy(quarter_col).agg(F.avg(price_col).alias("salePrice_mean"),
-                                       F.percentile(price_col, 0.5).alias("salePrice_median"))
+    from panelforge.operators.groups import grouped
+    return grouped(df, [quarter_col], [("mean", price_col, "salePrice_mean"), ("median", price_col, "salePrice_median")])
 
 
 def melt(df: DataFrame, id_vars: Sequence[str], value_vars: Sequence[str], var_name: str = "variable",

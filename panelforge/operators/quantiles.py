@@ -20,7 +20,7 @@ from __future__ import annotations
 import math
 from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 100_000            # sketch rank error <= n / ACCURACY
@@ -94,3 +94,83 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> list[
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     res = quantiles_of(df, {c: [0.5] for c in columns})
     return {c: v[0] for c, v in res.items()}
+
+
+# --- grouped and framed order statistics ---------------------------------------------------------
+GROUP_ACCURACY = 10_000       # percentile_approx accuracy for per-group / per-frame sketches
+GROUP_PAD = 3.0 / GROUP_ACCURACY
+# Largest group whose values one exact ``percentile`` aggregate may hold (values per task).
+EXACT_GROUP_LIMIT = 1_000_000
+
+
+def _ns_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    ren = {k: f"__r_{k}" for k in keys}
+    r = right.withColumnsRenamed(ren)
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[ren[k]])
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, how).drop(*ren.values())
+
+
+def _pick(hist: DataFrame, part: Sequence[str], ranks: Mapping[str, "F.Column"]) -> DataFrame:
+    """From (part..., v, c) histograms (v NULL = count below the bracket) pick values at ranks.
+
+    ``ranks`` maps output name -> 0-based rank expression (may use columns of ``part``).
+    A rank outside the bracket yields NULL (the caller falls back for those partitions).
+    """
+    w = Window.partitionBy(*part)
+    h = hist.withColumn("__below", F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("c"))).over(w), F.lit(0)))
+    h = h.where(F.col("v").isNotNull())
+    h = h.withColumn("__cum", F.sum("c").over(w.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
+    lo = F.col("__below") + F.col("__cum") - F.col("c")
+    hi = F.col("__below") + F.col("__cum")
+    return h.groupBy(*part).agg(*[F.max(F.when((lo <= k) & (k < hi), F.col("v"))).alias(name)
+                                  for name, k in ranks.items()])
+
+
+def group_quantiles(df: DataFrame, keys: Sequence[str], column: str, probs: Sequence[float],
+                    names: Sequence[str] | None = None) -> DataFrame:
+    """Exact interpolated quantiles per group: (keys..., q columns). NULL keys form a group.
+
+    Pass 1: per-group count and ``percentile_approx`` brackets (partial aggregates).
+    Pass 2: rows tagged against their group's brackets, counted per (group, bracket, value)
+    with map-side combine. Pass 3: ranks read from cumulative counts inside each bracket.
+    Groups whose bracket misses fall back to the exact aggregate (for those groups only).
+    """
+    keys = list(keys)
+    names = list(names or [f"q{i}" for i in range(len(probs))])
+    x = F.col(column).cast("double")
+    base = df.select(*keys, x.alias("__x")).where(F.col("__x").isNotNull())
+    # size check: when the largest group is provably small, one exact aggregate is cheapest
+    largest = base.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    if largest <= EXACT_GROUP_LIMIT:
+        e = base.groupBy(*keys).agg(F.percentile("__x", F.array(*[F.lit(float(p)) for p in probs])).alias("__e"))
+        return e.select(*keys, *[F.col("__e")[j].alias(n) for j, n in enumerate(names)])
+    ps = []
+    for p in probs:
+        ps += [max(0.0, p - GROUP_PAD), min(1.0, p + GROUP_PAD)]
+    sk = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
+                                 F.percentile_approx("__x", ps, GROUP_ACCURACY).alias("__a"))
+    tags = [F.when(F.col("__x") < F.col("__a")[2 * j], F.struct(F.lit(j).alias("j"), F.lit(None).cast("double").alias("v")))
+             .when(F.col("__x") <= F.col("__a")[2 * j + 1], F.struct(F.lit(j).alias("j"), F.col("__x").alias("v")))
+            for j in range(len(probs))]
+    tagged = _ns_join(base, sk, keys).select(*keys, "__n", F.explode(F.filter(F.array(*tags), lambda t: t.isNotNull())).alias("t"))
+    hist = tagged.groupBy(*keys, "__n", F.col("t.j").alias("j"), F.col("t.v").alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    h = F.lit(0.0)
+    for j, p in enumerate(probs):
+        h = F.when(F.col("j") == j, F.lit(float(p)) * (F.col("__n") - 1)).otherwise(h)
+    picked = _pick(hist.withColumn("__h", h), keys + ["__n", "j", "__h"],
+                   {"__lo": F.floor(F.col("__h")), "__hi": F.ceil(F.col("__h"))})
+    q = F.col("__lo") + (F.col("__h") - F.floor(F.col("__h"))) * (F.col("__hi") - F.col("__lo"))
+    wide = picked.groupBy(*keys).agg(*[F.max(F.when(F.col("j") == j, q)).alias(n) for j, n in enumerate(names)])
+    # fallback for groups whose bracket missed (deterministic sketch bound violated)
+    miss = F.lit(False)
+    for n in names:
+        miss = miss | F.col(n).isNull()
+    bad = wide.where(miss).select(*keys)
+    exact = _ns_join(base, bad, keys, "left_semi").groupBy(*keys).agg(
+        F.percentile("__x", F.array(*[F.lit(float(p)) for p in probs])).alias("__e"))
+    full = _ns_join(sk.select(*keys), wide, keys, "left")
+    full = _ns_join(full, exact, keys, "left")
+    return full.select(*keys, *[F.coalesce(F.col(n), F.col("__e")[j]).alias(n) for j, n in enumerate(names)])

@@ -22,6 +22,12 @@ from panelforge.functions.dates import month_ordinal
 from panelforge.operators.groups import join_back
 
 TIME_AGGS = ("mean", "median", "sum", "min", "max", "std", "count")
+# Frame medians: KLL sketch size per (group, month) cell, bracket half-width around the median
+# (about twice the sketch's rank error), and the frame size up to which the bracket is the
+# whole frame (sketches of at most this many values are exact).
+KLL_K = 1000
+KLL_PAD = 0.006
+SMALL_FRAME = KLL_K
 ROLL_AGGS = ("mean", "median", "sum", "min", "max", "std", "count", "nunique")
 
 
@@ -34,6 +40,61 @@ def _el(arr: Column, idx0: Column) -> Column:
     return F.when(idx0 >= 0, F.try_element_at(arr, (idx0 + 1).cast("int")))
 
 
+def _frame_medians(rows: DataFrame, ft: DataFrame, keys: list[str], past: int, future: int) -> DataFrame:
+    """Order statistics around the middle of every frame, exactly, without gathering a frame.
+
+    1. the merged KLL sketch of each frame brackets the middle ranks ([min, max] for small
+       frames, whose sketches are exact; 0.5 -+ KLL_PAD otherwise);
+    2. every row is tagged against the brackets of the (at most past + future + 1) frames that
+       contain its month and counted per (frame, value) with map-side combine;
+    3. ranks a = (n-2)//2, a+1, b = (n-1)//2, b+1 and n//2 are read from cumulative counts.
+    Frames whose bracket misses fall back to an exact sorted gather for those frames only.
+    """
+    from panelforge.operators.quantiles import _ns_join, _pick
+    n = F.col("f_n")
+    big = n > SMALL_FRAME
+    lo = F.when(big, F.kll_sketch_get_quantile_double("f_sk", F.lit(0.5 - KLL_PAD))).otherwise(
+        F.kll_sketch_get_quantile_double("f_sk", F.lit(0.0)))
+    hi = F.when(big, F.kll_sketch_get_quantile_double("f_sk", F.lit(0.5 + KLL_PAD))).otherwise(
+        F.kll_sketch_get_quantile_double("f_sk", F.lit(1.0)))
+    br = ft.where(n > 0).select(*keys, "__t", "f_n", lo.alias("blo"), hi.alias("bhi"))
+    # frames containing month m: t in [m - future, m + past]
+    wa = Window.partitionBy(*keys).orderBy("__t").rangeBetween(-future, past)
+    cell_br = br.select(*keys, "__t", F.collect_list(F.struct(F.col("__t").alias("bt"), F.col("f_n").alias("bn"),
+                                                              "blo", "bhi")).over(wa).alias("__brs"))
+    r = _ns_join(rows.where(F.col("__t").isNotNull() & F.col("__x").isNotNull()).select(*keys, "__t", "__x"),
+                 cell_br, keys + ["__t"])
+    tag = F.transform("__brs", lambda b: F.when(F.col("__x") < b["blo"], F.struct(b["bt"].alias("bt"), b["bn"].alias("bn"),
+                                                                                  F.lit(None).cast("double").alias("v")))
+                      .when(F.col("__x") <= b["bhi"], F.struct(b["bt"].alias("bt"), b["bn"].alias("bn"),
+                                                               F.col("__x").alias("v"))))
+    tagged = r.select(*keys, F.explode(F.filter(tag, lambda t: t.isNotNull())).alias("t"))
+    hist = tagged.groupBy(*keys, F.col("t.bt").alias("__t"), F.col("t.bn").alias("f_n"),
+                          F.col("t.v").alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    a, b = F.floor((n - 2) / 2), F.floor((n - 1) / 2)
+    ranks = {"f_sa": a, "f_sa1": a + 1, "f_sb": b, "f_sb1": b + 1, "f_sm": F.floor(n / 2)}
+    stats = _pick(hist, keys + ["__t", "f_n"], ranks)
+    # a rank r in [0, n) whose value is missing means the bracket missed: exact fallback there
+    missing = None
+    for name, rk in ranks.items():
+        m = F.col(name).isNull() & (rk >= 0) & (rk < n)
+        missing = m if missing is None else missing | m
+    bad = stats.where(missing).select(*keys, "__t")
+    ex_rows = rows.where(F.col("__t").isNotNull() & F.col("__x").isNotNull()).select(
+        *keys, F.explode(F.sequence(F.col("__t") - future, F.col("__t") + past)).alias("__t"), "__x")
+    exact = (_ns_join(ex_rows, bad, keys + ["__t"], "left_semi").groupBy(*keys, "__t")
+             .agg(F.sort_array(F.collect_list("__x")).alias("__v"), F.count(F.lit(1)).alias("__en")))
+    ev = {name: _el(F.col("__v"), rk) for name, rk in
+          {"f_sa": F.floor((F.col("__en") - 2) / 2), "f_sa1": F.floor((F.col("__en") - 2) / 2) + 1,
+           "f_sb": F.floor((F.col("__en") - 1) / 2), "f_sb1": F.floor((F.col("__en") - 1) / 2) + 1,
+           "f_sm": F.floor(F.col("__en") / 2)}.items()}
+    exact = exact.select(*keys, "__t", *[v.alias("__e" + k) for k, v in ev.items()])
+    stats = _ns_join(stats, exact, keys + ["__t"], "left")
+    stats = stats.select(*keys, "__t", *[F.coalesce(F.col("__e" + k), F.col(k)).alias(k) for k in ranks])
+    out = _ns_join(ft.drop("f_sk"), stats, keys + ["__t"], "left")
+    return out.withColumn("f_med", (F.col("f_sb") + F.col("f_sm")) / 2)
+
+
 def time_range_aggregate(df: DataFrame, keys, time_col: str, target: str, outputs: Mapping[str, str],
                          past: int = 0, future: int = 0, include_current: bool = False,
                          time_is_ordinal: bool = False, min_count: int | None = None) -> DataFrame:
@@ -66,7 +127,7 @@ def time_range_aggregate(df: DataFrame, keys, time_col: str, target: str, output
     if need_hi:
         cell_exprs.append(F.slice(F.sort_array(F.collect_list("__x"), asc=False), 1, 2).alias("c_hi"))
     if need_med:
-        cell_exprs.append(F.sort_array(F.collect_list("__x")).alias("c_v"))
+        cell_exprs.append(F.kll_sketch_agg_double("__x", KLL_K).alias("c_sk"))
     cells = rows.where(F.col("__t").isNotNull()).groupBy(*keys, "__t").agg(*cell_exprs)
 
     w = Window.partitionBy(*keys).orderBy("__t").rangeBetween(-past, future)
@@ -79,18 +140,10 @@ def time_range_aggregate(df: DataFrame, keys, time_col: str, target: str, output
     if need_hi:
         frame["f_hi"] = F.slice(F.sort_array(F.flatten(F.collect_list("c_hi").over(w)), asc=False), 1, 2)
     if need_med:
-        frame["f_v"] = F.sort_array(F.flatten(F.collect_list("c_v").over(w)))
+        frame["f_sk"] = F.kll_merge_agg_double("c_sk").over(w)
     ft = cells.select(*keys, "__t", *[e.alias(n) for n, e in frame.items()])
     if need_med:
-        # Only a few order statistics around the middle are needed per frame.
-        n = F.col("f_n")
-        a = F.floor((n - 2) / 2)
-        b = F.floor((n - 1) / 2)
-        ft = ft.withColumns({
-            "f_med": (_el(F.col("f_v"), F.floor((n - 1) / 2)) + _el(F.col("f_v"), F.floor(n / 2))) / 2,
-            "f_sa": _el(F.col("f_v"), a), "f_sa1": _el(F.col("f_v"), a + 1),
-            "f_sb": _el(F.col("f_v"), b), "f_sb1": _el(F.col("f_v"), b + 1),
-        }).drop("f_v")
+        ft = _frame_medians(rows, ft, keys, past, future)
 
     joined = join_back(rows.withColumnRenamed("__t", "__tt"),
                        ft.withColumnRenamed("__t", "__tt"), keys + ["__tt"])
