@@ -194,19 +194,7 @@ def time_range_aggregate(df: DataFrame, keys, time_col: str, target: str, output
     return joined.withColumns(res).drop(*drop)
 
 
-def rolling(df: DataFrame, keys, sort_by: str, target: str, window: int, outputs: Mapping[str, str],
-            min_periods: int = 1, center: bool = False, tie_breaker: str | Sequence[str] | None = "row_id") -> DataFrame:
-    """WIN-06: last ``window`` rows by ``sort_by`` (NULLs last, ties by ``tie_breaker``).
-
-    A result needs at least ``min_periods`` non-NULL values in the frame.
-    """
-    keys = _keys(keys)
-    w = int(window)
-    lo, hi = (-(w // 2), (w - 1) // 2) if center else (-(w - 1), 0)
-    order = [F.col(sort_by).asc_nulls_last()]
-    if tie_breaker:
-        order += [F.col(c).asc_nulls_last() for c in _keys(tie_breaker)]
-    spec = Window.partitionBy(*keys).orderBy(*order).rowsBetween(lo, hi)
+def _rolling_columns(spec, target: str, outputs: Mapping[str, str], min_periods: int) -> dict:
     x = F.col(target).cast("double")
     n = F.count(x).over(spec)
     res = {}
@@ -215,7 +203,7 @@ def rolling(df: DataFrame, keys, sort_by: str, target: str, window: int, outputs
         if a == "mean":
             v = F.avg(x).over(spec)
         elif a == "median":
-            v = F.percentile(x, 0.5).over(spec)
+            v = F.percentile(x, 0.5).over(spec)          # frame holds at most `window` rows
         elif a == "sum":
             v = F.coalesce(F.sum(x).over(spec), F.lit(0.0))
         elif a == "min":
@@ -231,4 +219,65 @@ def rolling(df: DataFrame, keys, sort_by: str, target: str, window: int, outputs
         else:
             raise ValueError(f"unsupported rolling aggregate {agg!r}")
         res[out] = F.when(n >= int(min_periods), v)
-    return df.withColumns(res)
+    return res
+
+
+def default_block(df: DataFrame, sort_by: str):
+    """Month blocks for date/timestamp sort keys; None (no blocking) otherwise."""
+    from pyspark.sql import types as T
+    t = df.schema[sort_by].dataType
+    if isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return (F.year(sort_by) * 12 + F.month(sort_by)).cast("bigint")
+    return None
+
+
+def rolling(df: DataFrame, keys, sort_by: str, target: str, window: int, outputs: Mapping[str, str],
+            min_periods: int = 1, center: bool = False, tie_breaker: str | Sequence[str] | None = "row_id",
+            block=("auto",)) -> DataFrame:
+    """WIN-06: last ``window`` rows by ``sort_by`` (NULLs last, ties by ``tie_breaker``).
+
+    A result needs at least ``min_periods`` non-NULL values in the frame.
+
+    With a block column (month of a date sort key by default) each group is split into
+    blocks that are windowed independently: every block receives, as halo rows, the rows
+    of neighbouring blocks its frames reach (at most window-1 before, window//2 after), so a
+    hot group is spread over many tasks and the results are identical to one group window.
+    """
+    keys = _keys(keys)
+    w = int(window)
+    lo, hi = (-(w // 2), (w - 1) // 2) if center else (-(w - 1), 0)
+    ties = [c for c in _keys(tie_breaker)] if tie_breaker else []
+    order = [F.col(sort_by).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in ties]
+    if isinstance(block, tuple) and block == ("auto",):
+        block = default_block(df, sort_by)
+    if block is None:
+        spec = Window.partitionBy(*keys).orderBy(*order).rowsBetween(lo, hi)
+        return df.withColumns(_rolling_columns(spec, target, outputs, min_periods))
+    return _blocked_rolling(df, keys, order, block, lo, hi, target, outputs, min_periods, sort_by, ties)
+
+
+def _blocked_rolling(df, keys, order, block, lo, hi, target, outputs, min_periods, sort_by, ties):
+    from panelforge.operators.quantiles import _ns_join
+    P, Q = -lo, hi
+    big = F.lit(2 ** 62).cast("bigint")
+    d = df.withColumn("__blk", F.when(F.col(sort_by).isNull(), big).otherwise(block.cast("bigint")))
+    blocks = d.select(*keys, "__blk").distinct()
+    blocks = blocks.withColumn("__bk", F.dense_rank().over(Window.partitionBy(*keys).orderBy("__blk")))
+    d = _ns_join(d, blocks, keys + ["__blk"])
+    inblock = Window.partitionBy(*keys, "__blk")
+    parts = [d.withColumn("__halo", F.lit(False)).withColumn("__tbk", F.col("__bk"))]
+    if P > 0:   # last P rows of a block serve the next P non-empty blocks
+        rev = [F.col(sort_by).desc_nulls_first()] + [F.col(c).desc_nulls_first() for c in ties]
+        tails = d.withColumn("__r", F.row_number().over(inblock.orderBy(*rev))).where(F.col("__r") <= P).drop("__r")
+        tails = tails.withColumn("__tbk", F.explode(F.sequence(F.col("__bk") + 1, F.col("__bk") + P)))
+        parts.append(tails.withColumn("__halo", F.lit(True)))
+    if Q > 0:   # first Q rows of a block serve the previous Q non-empty blocks
+        heads = d.withColumn("__r", F.row_number().over(inblock.orderBy(*order))).where(F.col("__r") <= Q).drop("__r")
+        heads = heads.withColumn("__tbk", F.explode(F.sequence(F.col("__bk") - Q, F.col("__bk") - 1)))
+        parts.append(heads.withColumn("__halo", F.lit(True)))
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    spec = Window.partitionBy(*keys, "__tbk").orderBy(*order).rowsBetween(lo, hi)
+    out = u.withColumns(_rolling_columns(spec, target, outputs, min_periods)).where(~F.col("__halo"))
+    return out.drop("__blk", "__bk", "__tbk", "__halo")
