@@ -39,22 +39,24 @@ def _last_per_month(store: DataFrame, keys: Sequence[str], month_col: str, colum
 
 
 def _asof(requests: DataFrame, table: DataFrame, keys: Sequence[str], month_col: str, req_month: str) -> DataFrame:
-    """Latest table row with month <= request month; else the latest row of the key."""
-    r = requests.select("__rid", *[F.col(k) for k in keys], F.col(req_month).alias("__m"),
-                        F.lit(None).alias("__p").cast(table.schema["__p"].dataType), F.lit(1).alias("__is_req"))
-    t = table.select(F.lit(None).cast(requests.schema["__rid"].dataType).alias("__rid"), *keys,
-                     F.col(month_col).alias("__m"), "__p", F.lit(0).alias("__is_req"))
-    u = r.unionByName(t)
+    """Latest table row with month <= request month; else the latest row of the key.
+
+    The month-ordered window runs over the distinct (key, request month) pairs and the
+    per-month store rows only (both bounded by keys x months); requests then pick their
+    reference with an equi-join on (key, month), so many requests for one hot key never
+    share a window task.
+    """
+    from panelforge.operators.quantiles import _ns_join
+    ptype = table.schema["__p"].dataType
+    rm = requests.select(*keys, F.col(req_month).alias("__m")).distinct()
+    u = rm.select(*keys, "__m", F.lit(None).cast(ptype).alias("__p"), F.lit(1).alias("__is_req")).unionByName(
+        table.select(*keys, F.col(month_col).alias("__m"), "__p", F.lit(0).alias("__is_req")))
     w = Window.partitionBy(*keys).orderBy("__m", "__is_req").rowsBetween(Window.unboundedPreceding, 0)
     prior = u.withColumn("__prior", F.last("__p", ignorenulls=True).over(w)).where(F.col("__is_req") == 1)
     latest = table.groupBy(*keys).agg(F.max_by("__p", F.col(month_col)).alias("__latest"))
-    cond = None
-    for k in keys:
-        c = prior[k].eqNullSafe(latest[k])
-        cond = c if cond is None else cond & c
-    j = prior.join(latest.withColumnsRenamed({k: f"__lk_{k}" for k in keys}),
-                   [prior[k].eqNullSafe(F.col(f"__lk_{k}")) for k in keys], "left")
-    return j.select("__rid", F.coalesce("__prior", "__latest").alias("__ref"))
+    mapping = _ns_join(prior, latest, keys, "left").select(*keys, "__m", F.coalesce("__prior", "__latest").alias("__ref"))
+    req = requests.select("__rid", *keys, F.col(req_month).alias("__m"))
+    return _ns_join(req, mapping, list(keys) + ["__m"], "left").select("__rid", "__ref")
 
 
 def asof_reference(requests: DataFrame, store: DataFrame, columns: Sequence[str], request_id: str = "request_id",

@@ -166,8 +166,9 @@ def agg_23_26_27(spark, sf_dir):
 SELECT row_id, CAST(row_number() OVER (PARTITION BY suburb ORDER BY landSizeM2 ASC NULLS LAST, saleDate, row_id) AS INTEGER) AS pos
 FROM sales""")
 def srt_01(spark, sf_dir):
-    w = Window.partitionBy("suburb").orderBy(F.col("landSizeM2").asc_nulls_last(), "saleDate", "row_id")
-    return sales(spark, sf_dir).select("row_id", F.row_number().over(w).alias("pos"))
+    order = [F.col("landSizeM2").asc_nulls_last(), F.col("saleDate"), F.col("row_id")]
+    bucket = F.when(F.col("landSizeM2").isNull(), F.lit(1 << 40)).otherwise(F.floor(F.col("landSizeM2") / 250))
+    return I.ordered_positions(sales(spark, sf_dir), ["suburb"], order, bucket).select("row_id", "pos")
 
 
 @query("smp_01_seeded_sample")
