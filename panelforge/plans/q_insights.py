@@ -84,7 +84,7 @@ def win_13(spark, sf_dir):
 
 @query("agg_20_latest_growth_summary", _GROWTH + f"""
 SELECT propertyType, {R('arg_max((median_price - ago) / nullif(ago, 0), saleYearMonth)', 6)} AS latest_growth,
-  {R('arg_max(median_price, saleYearMonth)', 4)} AS latest_price, sum(txn_count) AS txn_last12m
+  {R('arg_max(median_price, saleYearMonth)', 4)} AS latest_price, CAST(sum(txn_count) AS BIGINT) AS txn_last12m
 FROM g WHERE (median_price - ago) / nullif(ago, 0) IS NOT NULL GROUP BY propertyType""")
 def agg_20(spark, sf_dir):
     g = I.yoy_growth(I.type_period_stats(sales(spark, sf_dir), "propertyType", "saleYearMonth", "salePrice"),
@@ -188,7 +188,7 @@ def set_01(spark, sf_dir):
 
 @query("set_02_jon_06_distinct_address_lookup", sales_with(
     "a AS (SELECT DISTINCT street, suburb, region FROM sales)",
-    "lk AS (SELECT DISTINCT street, suburb, n_regionkey * 1.5 - 37.0 AS latitude, n_nationkey * 0.5 + 144.0 AS longitude FROM sales JOIN nation ON suburb = n_name)") + """
+    "lk AS (SELECT DISTINCT street, suburb, CAST(n_regionkey * 1.5 - 37.0 AS DOUBLE) AS latitude, CAST(n_nationkey * 0.5 + 144.0 AS DOUBLE) AS longitude FROM sales JOIN nation ON suburb = n_name)") + """
 SELECT a.street, a.suburb, a.region, lk.latitude, lk.longitude FROM a JOIN lk ON a.street = lk.street AND a.suburb = lk.suburb""")
 def set_02(spark, sf_dir):
     from panelforge.sources.files import read_table

@@ -49,7 +49,7 @@ CASH_SQL = f"""cash AS (SELECT year, cash_rate_avg, cash_rate_eoy,
   FROM (SELECT CAST(year(date) AS INTEGER) AS year, avg(v * 100) AS cash_rate_avg, arg_max(v * 100, date) AS cash_rate_eoy
         FROM rate WHERE year(date) >= 1996 AND v IS NOT NULL GROUP BY 1))"""
 ASX_SQL = f"""asx0 AS (SELECT CAST(year(date) AS INTEGER) AS year, arg_max(v, date) AS asx200_close FROM cls WHERE v IS NOT NULL GROUP BY 1),
-asx1 AS (SELECT y.year, asx0.asx200_close FROM (SELECT unnest(range((SELECT min(year) FROM asx0), (SELECT max(year) FROM asx0) + 1)) AS year) y
+asx1 AS (SELECT CAST(y.year AS INTEGER) AS year, asx0.asx200_close FROM (SELECT unnest(range((SELECT min(year) FROM asx0), (SELECT max(year) FROM asx0) + 1)) AS year) y
          LEFT JOIN asx0 USING (year) WHERE y.year >= 1997),
 asx AS (SELECT year, asx200_close, ff / nullif(lag(ff) OVER (ORDER BY year), 0) - 1 AS asx200_yoy
         FROM (SELECT *, last_value(asx200_close IGNORE NULLS) OVER (ORDER BY year ROWS UNBOUNDED PRECEDING) AS ff FROM asx1))"""

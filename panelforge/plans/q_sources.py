@@ -77,7 +77,7 @@ def src_04(spark, sf_dir):
 
 
 @query("jon_01_02_outer_join_suffixes_validation", sales_with("""a AS (SELECT region, count(*) AS n, avg(salePrice) AS price FROM sales WHERE saleType = 'O' GROUP BY 1),
-b AS (SELECT r_name AS region_name, r_regionkey AS n, r_regionkey * 1000.0 AS price FROM region WHERE r_regionkey <> 4)""") + f"""
+b AS (SELECT r_name AS region_name, CAST(r_regionkey AS BIGINT) AS n, CAST(r_regionkey * 1000.0 AS DOUBLE) AS price FROM region WHERE r_regionkey <> 4)""") + f"""
 SELECT coalesce(a.region, b.region_name) AS region, a.n AS n, {R('a.price', 4)} AS price, b.region_name, b.n AS n_right, b.price AS price_right
 FROM a FULL OUTER JOIN b ON a.region IS NOT DISTINCT FROM b.region_name""")
 def jon_01_02(spark, sf_dir):

@@ -25,6 +25,7 @@ def test_query_matches_oracle(spark, duck, name):
     from oracle_check import compare
     r = compare(spark, duck, name, E.queries()[name], E.oracle_sql()[name], SF)
     assert r["ok"], r
+    assert "type_mismatch" not in r, r
 
 
 def test_entry_smoke(spark):
