@@ -108,3 +108,14 @@ def test_overrides_and_family_rules():
     t = Trail(["a", "b", "c"])
     assert family_rules(["a", "b", "c"], t, {"fam": {"columns": ["a", "b"], "keep": ["b"]}}, []) == ["b", "c"]
     assert t.selected["a"] is False and "dropped: family(fam)" in t.reason["a"]
+
+
+def test_future_target_calendar_option(spark):
+    rows = [(0, 202301, "A", 100.0), (1, 202302, "A", 110.0), (2, 202304, "A", 130.0)]
+    df = spark.createDataFrame(rows, "row_id long, saleYearMonth int, suburb string, salePrice double")
+    spec = {"name": "f1", "source": "salePrice", "agg": "mean", "horizon": 1, "window": 1, "derived": [{"type": "copy"}]}
+    obs = {r["saleYearMonth"]: r["f1"] for r in build_segments(df, ["suburb"], future_targets=[spec]).collect()}
+    cal = {r["saleYearMonth"]: r["f1"] for r in
+           build_segments(df, ["suburb"], future_targets=[dict(spec, calendar=True)]).collect()}
+    assert obs == {202301: 110.0, 202302: 130.0, 202304: None}     # next observed month
+    assert cal == {202301: 110.0, 202302: None, 202304: None}      # next calendar month
