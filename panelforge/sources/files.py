@@ -104,6 +104,10 @@ class Registry:
         if k in self.datasets:
             v = self.datasets[k]
             return v if isinstance(v, DataFrame) else self.resolve(v)
-        if self.spark.catalog.tableExists(k):
-            return self.spark.table(k)
+        if "/" not in k and "." not in k:
+            try:
+                if self.spark.catalog.tableExists(k):
+                    return self.spark.table(k)
+            except Exception:  # not a valid table identifier: treat as a path
+                pass
         return load_parquet_or_csv(self.spark, k)

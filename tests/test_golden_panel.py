@@ -119,3 +119,21 @@ def test_future_target_calendar_option(spark):
            build_segments(df, ["suburb"], future_targets=[dict(spec, calendar=True)]).collect()}
     assert obs == {202301: 110.0, 202302: 130.0, 202304: None}     # next observed month
     assert cal == {202301: 110.0, 202302: None, 202304: None}      # next calendar month
+
+
+def test_scores_constant_column_and_single_level(spark):
+    rows = [(float(i * 10), 5.0, "only", "a" if i % 2 else "b") for i in range(20)]
+    df = spark.createDataFrame(rows, "y double, const double, one string, two string")
+    sc = {r["feature"]: r for r in feature_scores(df, "y").collect()}
+    assert sc["const"]["pearson_abs"] is None and sc["const"]["bic_improvement"] == 0.0
+    assert sc["one"]["bic_improvement"] == 0.0 and sc["one"]["eta"] == 0.0
+    assert sc["two"]["eta"] is not None and sc["two"]["best_metric"] in ("eta", "bic_improvement")
+
+
+def test_registry_resolves_alias_reference_and_path(spark, tmp_path):
+    from panelforge.sources.files import Registry
+    df = spark.createDataFrame([(1,)], "a int")
+    p = str(tmp_path / "t.parquet")
+    df.write.parquet(p)
+    reg = Registry(spark, {"x": df, "y": "{x}", "z": p})
+    assert reg.resolve("{y}").count() == 1 and reg.resolve("z").count() == 1 and reg.resolve(p).count() == 1
