@@ -40,7 +40,8 @@ def _el(arr: Column, idx0: Column) -> Column:
     return F.when(idx0 >= 0, F.try_element_at(arr, (idx0 + 1).cast("int")))
 
 
-def _frame_medians(rows: DataFrame, ft: DataFrame, keys: list[str], past: int, future: int) -> DataFrame:
+def _frame_medians(rows: DataFrame, ft: DataFrame, keys: list[str], past: int, future: int,
+                   loo: bool = True) -> DataFrame:
     """Order statistics around the middle of every frame, exactly, without gathering a frame.
 
     1. the merged KLL sketch of each frame brackets the middle ranks ([min, max] for small
@@ -73,6 +74,8 @@ def _frame_medians(rows: DataFrame, ft: DataFrame, keys: list[str], past: int, f
                           F.col("t.v").alias("v")).agg(F.count(F.lit(1)).alias("c"))
     a, b = F.floor((n - 2) / 2), F.floor((n - 1) / 2)
     ranks = {"f_sa": a, "f_sa1": a + 1, "f_sb": b, "f_sb1": b + 1, "f_sm": F.floor(n / 2)}
+    if not loo:                                   # including the current row: the median ranks only
+        ranks = {k: v for k, v in ranks.items() if k in ("f_sb", "f_sm")}
     stats = _pick(hist, keys + ["__t", "f_n"], ranks)
     # a rank r in [0, n) whose value is missing means the bracket missed: exact fallback there
     missing = None
@@ -88,9 +91,10 @@ def _frame_medians(rows: DataFrame, ft: DataFrame, keys: list[str], past: int, f
           {"f_sa": F.floor((F.col("__en") - 2) / 2), "f_sa1": F.floor((F.col("__en") - 2) / 2) + 1,
            "f_sb": F.floor((F.col("__en") - 1) / 2), "f_sb1": F.floor((F.col("__en") - 1) / 2) + 1,
            "f_sm": F.floor(F.col("__en") / 2)}.items()}
-    exact = exact.select(*keys, "__t", *[v.alias("__e" + k) for k, v in ev.items()])
+    exact = exact.select(*keys, "__t", *[v.alias("__e" + k) for k, v in ev.items() if k in ranks])
     stats = _ns_join(stats, exact, keys + ["__t"], "left")
-    stats = stats.select(*keys, "__t", *[F.coalesce(F.col("__e" + k), F.col(k)).alias(k) for k in ranks])
+    stats = stats.select(*keys, "__t", *[F.coalesce(F.col("__e" + k), F.col(k)).alias(k) for k in ranks],
+                         *[F.lit(None).cast("double").alias(k) for k in ("f_sa", "f_sa1", "f_sb1") if k not in ranks])
     out = _ns_join(ft.drop("f_sk"), stats, keys + ["__t"], "left")
     return out.withColumn("f_med", (F.col("f_sb") + F.col("f_sm")) / 2)
 
@@ -143,7 +147,7 @@ def time_range_aggregate(df: DataFrame, keys, time_col: str, target: str, output
         frame["f_sk"] = F.kll_merge_agg_double("c_sk").over(w)
     ft = cells.select(*keys, "__t", *[e.alias(n) for n, e in frame.items()])
     if need_med:
-        ft = _frame_medians(rows, ft, keys, past, future)
+        ft = _frame_medians(rows, ft, keys, past, future, loo=not include_current)
 
     joined = join_back(rows.withColumnRenamed("__t", "__tt"),
                        ft.withColumnRenamed("__t", "__tt"), keys + ["__tt"])
