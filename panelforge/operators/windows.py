@@ -126,23 +126,38 @@ def time_range_aggregate(df: DataFrame, keys, time_col: str, target: str, output
                   F.sum("__x").alias("c_s")]
     if need_sq:
         cell_exprs.append(F.sum(F.col("__x") * F.col("__x")).alias("c_q"))
-    if need_lo:
-        cell_exprs.append(F.slice(F.sort_array(F.collect_list("__x")), 1, 2).alias("c_lo"))
-    if need_hi:
-        cell_exprs.append(F.slice(F.sort_array(F.collect_list("__x"), asc=False), 1, 2).alias("c_hi"))
+    if need_lo or need_hi:
+        cell_exprs += [F.min("__x").alias("c_min"), F.max("__x").alias("c_max")]
     if need_med:
         cell_exprs.append(F.kll_sketch_agg_double("__x", KLL_K).alias("c_sk"))
     cells = rows.where(F.col("__t").isNotNull()).groupBy(*keys, "__t").agg(*cell_exprs)
+    if (need_lo or need_hi) and not include_current:
+        # two smallest / largest values per cell (a multiset): min and max, how often they occur,
+        # and the next value, from one more aggregate over the rows joined to their cell extremes
+        ext = join_back(rows.where(F.col("__t").isNotNull()), cells.select(*keys, "__t", "c_min", "c_max"),
+                        keys + ["__t"])
+        second = ext.groupBy(*keys, "__t").agg(
+            F.count(F.when(F.col("__x") == F.col("c_min"), 1)).alias("c_min_n"),
+            F.min(F.when(F.col("__x") > F.col("c_min"), F.col("__x"))).alias("c_min2"),
+            F.count(F.when(F.col("__x") == F.col("c_max"), 1)).alias("c_max_n"),
+            F.max(F.when(F.col("__x") < F.col("c_max"), F.col("__x"))).alias("c_max2"))
+        cells = join_back(cells, second, keys + ["__t"])
+        cells = cells.withColumns({
+            "c_lo": F.array_compact(F.array("c_min", F.when(F.col("c_min_n") >= 2, F.col("c_min")).otherwise(F.col("c_min2")))),
+            "c_hi": F.array_compact(F.array("c_max", F.when(F.col("c_max_n") >= 2, F.col("c_max")).otherwise(F.col("c_max2"))))})
 
     w = Window.partitionBy(*keys).orderBy("__t").rangeBetween(-past, future)
     frame = {"f_rows": F.sum("c_rows").over(w), "f_n": F.sum("c_n").over(w),
              "f_s": F.sum("c_s").over(w)}
     if need_sq:
         frame["f_q"] = F.sum("c_q").over(w)
-    if need_lo:
-        frame["f_lo"] = F.slice(F.sort_array(F.flatten(F.collect_list("c_lo").over(w))), 1, 2)
-    if need_hi:
-        frame["f_hi"] = F.slice(F.sort_array(F.flatten(F.collect_list("c_hi").over(w)), asc=False), 1, 2)
+    if need_lo or need_hi:
+        if include_current:
+            frame["f_lo"] = F.array(F.min("c_min").over(w))
+            frame["f_hi"] = F.array(F.max("c_max").over(w))
+        else:   # at most 2 values per cell and (past + future + 1) cells per frame
+            frame["f_lo"] = F.slice(F.sort_array(F.flatten(F.collect_list("c_lo").over(w))), 1, 2)
+            frame["f_hi"] = F.slice(F.sort_array(F.flatten(F.collect_list("c_hi").over(w)), asc=False), 1, 2)
     if need_med:
         frame["f_sk"] = F.kll_merge_agg_double("c_sk").over(w)
     ft = cells.select(*keys, "__t", *[e.alias(n) for n, e in frame.items()])

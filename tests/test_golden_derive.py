@@ -91,3 +91,13 @@ def test_expr_then_aggregate(spark):
     df = df.withColumn("ppsqm", F.expr("try_divide(salePrice, nullif(landSizeM2, 0))"))
     out = group_transform(df, "suburb", "ppsqm", {"mean": "m"})
     assert math.isclose(_col(out, "m")[0], 490.0)
+
+
+def test_leave_one_out_min_max_with_ties_and_nulls(spark):
+    rows = [(0, "A", 202301, 5.0), (1, "A", 202301, 5.0), (2, "A", 202301, 9.0), (3, "A", 202302, None),
+            (4, "B", 202301, 7.0), (5, "B", 202302, 3.0)]
+    df = spark.createDataFrame(rows, F2_SCHEMA.replace("price int", "price double"))
+    out = time_range_aggregate(df, "suburb", "saleYearMonth", "price", {"min": "mn", "max": "mx"},
+                               past=1, future=0, include_current=False)
+    assert _col(out, "mn") == [5.0, 5.0, 5.0, 5.0, None, 7.0]
+    assert _col(out, "mx") == [9.0, 9.0, 5.0, 9.0, None, 7.0]
