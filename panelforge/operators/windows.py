@@ -241,13 +241,21 @@ def _rolling_columns(spec, target: str, outputs: Mapping[str, str], min_periods:
     return res
 
 
-def default_block(df: DataFrame, sort_by: str):
-    """Month blocks for date/timestamp sort keys; None (no blocking) otherwise."""
+BLOCK_ROWS_LIMIT = 1_000_000      # rows one rolling block (one task) may hold before days are used
+
+
+def default_block(df: DataFrame, sort_by: str, keys: Sequence[str] = ()):
+    """Blocks for date/timestamp sort keys: months, or days when the largest (group, month)
+    holds more than BLOCK_ROWS_LIMIT rows (one aggregate checks it); None otherwise."""
     from pyspark.sql import types as T
     t = df.schema[sort_by].dataType
-    if isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return (F.year(sort_by) * 12 + F.month(sort_by)).cast("bigint")
-    return None
+    if not isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return None
+    month = (F.year(sort_by) * 12 + F.month(sort_by)).cast("bigint")
+    largest = df.groupBy(*keys, month.alias("__m")).count().agg(F.max("count")).first()[0] or 0
+    if largest > BLOCK_ROWS_LIMIT:
+        return F.datediff(F.to_date(sort_by), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return month
 
 
 def rolling(df: DataFrame, keys, sort_by: str, target: str, window: int, outputs: Mapping[str, str],
@@ -268,7 +276,7 @@ def rolling(df: DataFrame, keys, sort_by: str, target: str, window: int, outputs
     ties = [c for c in _keys(tie_breaker)] if tie_breaker else []
     order = [F.col(sort_by).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in ties]
     if isinstance(block, tuple) and block == ("auto",):
-        block = default_block(df, sort_by)
+        block = default_block(df, sort_by, keys)
     if block is None:
         spec = Window.partitionBy(*keys).orderBy(*order).rowsBetween(lo, hi)
         return df.withColumns(_rolling_columns(spec, target, outputs, min_periods))

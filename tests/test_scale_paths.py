@@ -42,3 +42,13 @@ def test_group_quantiles_bracket_path(spark, monkeypatch):
         vals = np.array([v for k, v in rows if k == key])
         want = np.quantile(vals, [0.1, 0.5])
         assert abs(got[key][0] - want[0]) < 1e-9 and abs(got[key][1] - want[1]) < 1e-9
+
+
+def test_rolling_day_blocks_match_oracle(spark, monkeypatch):
+    import panelforge.operators.windows as W
+    import __spark_entry__ as E
+    from oracle_check import compare, duck
+    monkeypatch.setattr(W, "BLOCK_ROWS_LIMIT", 0)       # force day blocks
+    for name in ("win_06_rolling_rows", "win_06_rolling_centered"):
+        r = compare(spark, duck(SF), name, E.queries()[name], E.oracle_sql()[name], SF)
+        assert r["ok"], r
