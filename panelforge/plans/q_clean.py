@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 
 from panelforge.functions.nulls import rnd
 from panelforge.functions.strings import norm_token, null_tokens, to_numeric
-from panelforge.operators.cleaning import (apply_row_rules, bucket_rare, camel_case_names, category_mapping, clean,
-                                           drop_sparse_columns, impute_median, impute_unknown, keep_columns,
-                                           non_null_fractions, rename_camel_case, union_audit)
+from panelforge.operators.cleaning import (bucket_rare, category_mapping, clean, drop_sparse_columns,
+                                           impute_median, impute_unknown, keep_columns, non_null_fractions,
+                                           rename_camel_case)
 from panelforge.plans.registry import query
 from panelforge.plans.sqlkit import R, lines_with
 from panelforge.plans.views import lines

@@ -1,17 +1,15 @@
 """Registered queries: reporting operators (FLT-07..10, AGG-17..23/26/27, WIN-13/14, TOP-*, SRT-01, SMP-01, SET-*, PRJ-*)."""
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from panelforge.functions.dates import first_of_month, quarter_label
+from panelforge.functions.dates import quarter_label
 from panelforge.functions.nulls import rnd
-from panelforge.functions.strings import extract_street
 from panelforge.operators import insights as I
 from panelforge.operators.joins import anti_by_keys, distinct_lookup, semi_by_activity
 from panelforge.plans.registry import query
-from panelforge.plans.sqlkit import R, SALES_T, lines_with, sales_with
-from panelforge.plans.views import lines, sales
+from panelforge.plans.sqlkit import R, SALES_T, sales_with
+from panelforge.plans.views import sales
 
 
 @query("flt_07_equality_filters_all_wildcard", sales_with() + """

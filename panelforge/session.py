@@ -1,7 +1,6 @@
 """SparkSession defaults and the shared checkpoint folder."""
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession

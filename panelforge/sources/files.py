@@ -1,7 +1,6 @@
 """File sources and sinks: Parquet/CSV by extension, CSV directory union, audit and list sinks."""
 from __future__ import annotations
 
-import os
 from typing import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
