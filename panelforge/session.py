@@ -13,6 +13,12 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # partitions sized for executor memory at scale: AQE coalesces small shuffle partitions up
+    # to the advisory size and splits skewed ones above the skew thresholds
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
