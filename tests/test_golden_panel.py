@@ -137,3 +137,27 @@ def test_registry_resolves_alias_reference_and_path(spark, tmp_path):
     df.write.parquet(p)
     reg = Registry(spark, {"x": df, "y": "{x}", "z": p})
     assert reg.resolve("{y}").count() == 1 and reg.resolve("z").count() == 1 and reg.resolve(p).count() == 1
+
+
+def test_carry_prefix_auto_detect_and_mixed(spark):
+    rows = [(0, "A", 202301, "x", "p1", 1.0), (1, "A", 202301, "y", "p1", 2.0), (2, "A", 202302, "x", None, 3.0)]
+    df = spark.createDataFrame(rows, "row_id long, g string, ym int, mixed string, geo_code string, v double")
+    m = [{"name": "m", "source": "v", "agg": "mean"}]
+    seg = build_segments(df, ["g"], "ym", metrics=m, carry={"prefixes": ["geo_"]})
+    assert "geo_code" in seg.columns and "mixed" not in seg.columns
+    seg2 = build_segments(df, ["g"], "ym", metrics=m, carry={"auto_detect": True})
+    assert "mixed" not in seg2.columns and "geo_code" in seg2.columns      # 'mixed' has 2 values in a group
+    seg3 = build_segments(df, ["g"], "ym", metrics=m, carry={"auto_detect": True, "allow_mixed": True})
+    got = {r["ym"]: r["mixed"] for r in seg3.collect()}
+    assert got == {202301: "x", 202302: "x"}                                # first non-NULL in row order
+
+
+def test_select_targets_modes(spark):
+    from panelforge.operators.lookup import select_targets
+    rows = [("a", "t1", "20250101_000000", 0.5, 0), ("b", "t1", "20250102_000000", 0.4, 1),
+            ("c", "t2", "20250101_000000", 0.9, 2)]
+    rep = spark.createDataFrame(rows, "name string, target string, timestamp string, val_r2 double, ord long")
+    assert select_targets(rep, "best").first()["name"] == "c"
+    assert {r["name"] for r in select_targets(rep, "latest").collect()} == {"b", "c"}
+    assert {r["name"] for r in select_targets(rep, "named", ["t2"]).collect()} == {"c"}
+    assert select_targets(rep, "all").count() == 3
