@@ -64,14 +64,15 @@ def grouped(df: DataFrame, keys: Sequence[str], specs: Sequence[tuple[str, str,
     Medians are exact but not gathered per group: ``group_quantiles`` checks the largest
     group and either runs one exact aggregate (bounded groups) or a sketch-bracket method.
     """
-    from panelforge.operators.quantiles import _ns_join, group_quantiles
+    from panelforge.operators.quantiles import _ns_join, group_quantiles, largest_group
     keys = list(keys)
     plain = [F.count(F.lit(1)).alias("__rows")] + [agg_expr(a, c).alias(o) for a, c, o in specs
                                                     if a.lower() != "median"] + list(extra)
     out = df.groupBy(*keys).agg(*plain)
-    for a, c, o in specs:
-        if a.lower() == "median":
-            out = _ns_join(out, group_quantiles(df, keys, c, [0.5], [o]), keys, "left")
+    medians = [(c, o) for a, c, o in specs if a.lower() == "median"]
+    bound = largest_group(df, keys) if len(medians) > 1 else None   # one size check for all medians
+    for c, o in medians:
+        out = _ns_join(out, group_quantiles(df, keys, c, [0.5], [o], largest=bound), keys, "left")
     return out.drop("__rows")
 
 

@@ -129,8 +129,13 @@ def _pick(hist: DataFrame, part: Sequence[str], ranks: Mapping[str, "F.Column"])
                                   for name, k in ranks.items()])
 
 
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows in the largest group (one aggregate): the size bound for exact per-group aggregates."""
+    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+
+
 def group_quantiles(df: DataFrame, keys: Sequence[str], column: str, probs: Sequence[float],
-                    names: Sequence[str] | None = None) -> DataFrame:
+                    names: Sequence[str] | None = None, largest: int | None = None) -> DataFrame:
     """Exact interpolated quantiles per group: (keys..., q columns). NULL keys form a group.
 
     Pass 1: per-group count and ``percentile_approx`` brackets (partial aggregates).
@@ -143,7 +148,8 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], column: str, probs: Sequ
     x = F.col(column).cast("double")
     base = df.select(*keys, x.alias("__x")).where(F.col("__x").isNotNull())
     # size check: when the largest group is provably small, one exact aggregate is cheapest
-    largest = base.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    if largest is None:
+        largest = largest_group(base, keys)
     if largest <= EXACT_GROUP_LIMIT:
         e = base.groupBy(*keys).agg(F.percentile("__x", F.array(*[F.lit(float(p)) for p in probs])).alias("__e"))
         return e.select(*keys, *[F.col("__e")[j].alias(n) for j, n in enumerate(names)])
