@@ -161,3 +161,14 @@ def test_select_targets_modes(spark):
     assert {r["name"] for r in select_targets(rep, "latest").collect()} == {"b", "c"}
     assert {r["name"] for r in select_targets(rep, "named", ["t2"]).collect()} == {"c"}
     assert select_targets(rep, "all").count() == 3
+
+
+def test_select_for_targets_merges_config(spark):
+    from panelforge.operators.selection import select_for_targets
+    rows = [(float(i), float(2 * i + (i % 3)), float(i % 5), float(-i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "x double, t1 double, noise double, t2 double")
+    res = select_for_targets(df, {"threshold": 0.5, "include": ["noise"]},
+                             {"t1": {"exclude": ["x"]}, "t2": {}})
+    assert set(res) == {"t1", "t2"}
+    assert "x" not in res["t1"][0] and "noise" in res["t1"][0]
+    assert "x" in res["t2"][0] and "t1" not in res["t2"][0]
