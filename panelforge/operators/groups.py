@@ -90,11 +90,16 @@ def group_stats(df: DataFrame, keys, target: str, outputs: Mapping[str, str],
 
 
 def group_transform(df: DataFrame, keys, target: str, outputs: Mapping[str, str],
-                    min_count: int | None = None) -> DataFrame:
-    """AGG-01: group value on every row, one output column per aggregate."""
+                    min_count: int | None = None, source: DataFrame | None = None) -> DataFrame:
+    """AGG-01: group value on every row, one output column per aggregate.
+
+    ``source`` (same rows, at least keys + target) lets the statistics come from a narrow,
+    earlier plan instead of ``df``, so a chain of steps references its growing plan once.
+    """
     if target not in df.columns or any(k not in df.columns for k in _as_list(keys)):
         return df
-    return join_back(df, group_stats(df, keys, target, outputs, min_count), _as_list(keys))
+    src = source if source is not None else df
+    return join_back(df, group_stats(src, keys, target, outputs, min_count), _as_list(keys))
 
 
 def aggregate_join_back(df: DataFrame, keys, target: str, aggregate: str, output: str) -> DataFrame:

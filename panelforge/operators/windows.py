@@ -101,7 +101,8 @@ def _frame_medians(rows: DataFrame, ft: DataFrame, keys: list[str], past: int, f
 
 def time_range_aggregate(df: DataFrame, keys, time_col: str, target: str, outputs: Mapping[str, str],
                          past: int = 0, future: int = 0, include_current: bool = False,
-                         time_is_ordinal: bool = False, min_count: int | None = None) -> DataFrame:
+                         time_is_ordinal: bool = False, min_count: int | None = None,
+                         source: DataFrame | None = None) -> DataFrame:
     """WIN-01..05: per row, aggregate the group's rows with month in [t - past, t + future].
 
     ``time_col`` holds YYYYMM integers (or month ordinals when ``time_is_ordinal``).
@@ -122,6 +123,9 @@ def time_range_aggregate(df: DataFrame, keys, time_col: str, target: str, output
     need_med = "median" in aggs
 
     rows = df.withColumn("__t", t).withColumn("__x", x)
+    # statistics come from ``source`` (same rows, fewer columns, earlier plan) when given
+    srows = (source.select(*keys, time_col, target) if source is not None else df).select(
+        *keys, t.alias("__t"), x.alias("__x"))
     cell_exprs = [F.count(F.lit(1)).alias("c_rows"), F.count("__x").alias("c_n"),
                   F.sum("__x").alias("c_s")]
     if need_sq:
@@ -130,11 +134,11 @@ def time_range_aggregate(df: DataFrame, keys, time_col: str, target: str, output
         cell_exprs += [F.min("__x").alias("c_min"), F.max("__x").alias("c_max")]
     if need_med:
         cell_exprs.append(F.kll_sketch_agg_double("__x", KLL_K).alias("c_sk"))
-    cells = rows.where(F.col("__t").isNotNull()).groupBy(*keys, "__t").agg(*cell_exprs)
+    cells = srows.where(F.col("__t").isNotNull()).groupBy(*keys, "__t").agg(*cell_exprs)
     if (need_lo or need_hi) and not include_current:
         # two smallest / largest values per cell (a multiset): min and max, how often they occur,
         # and the next value, from one more aggregate over the rows joined to their cell extremes
-        ext = join_back(rows.where(F.col("__t").isNotNull()), cells.select(*keys, "__t", "c_min", "c_max"),
+        ext = join_back(srows.where(F.col("__t").isNotNull()), cells.select(*keys, "__t", "c_min", "c_max"),
                         keys + ["__t"])
         second = ext.groupBy(*keys, "__t").agg(
             F.count(F.when(F.col("__x") == F.col("c_min"), 1)).alias("c_min_n"),
@@ -162,7 +166,7 @@ def time_range_aggregate(df: DataFrame, keys, time_col: str, target: str, output
         frame["f_sk"] = F.kll_merge_agg_double("c_sk").over(w)
     ft = cells.select(*keys, "__t", *[e.alias(n) for n, e in frame.items()])
     if need_med:
-        ft = _frame_medians(rows, ft, keys, past, future, loo=not include_current)
+        ft = _frame_medians(srows, ft, keys, past, future, loo=not include_current)
 
     joined = join_back(rows.withColumnRenamed("__t", "__tt"),
                        ft.withColumnRenamed("__t", "__tt"), keys + ["__tt"])
@@ -260,7 +264,7 @@ def default_block(df: DataFrame, sort_by: str, keys: Sequence[str] = ()):
 
 def rolling(df: DataFrame, keys, sort_by: str, target: str, window: int, outputs: Mapping[str, str],
             min_periods: int = 1, center: bool = False, tie_breaker: str | Sequence[str] | None = "row_id",
-            block=("auto",)) -> DataFrame:
+            block=("auto",), source: DataFrame | None = None) -> DataFrame:
     """WIN-06: last ``window`` rows by ``sort_by`` (NULLs last, ties by ``tie_breaker``).
 
     A result needs at least ``min_periods`` non-NULL values in the frame.
@@ -275,36 +279,40 @@ def rolling(df: DataFrame, keys, sort_by: str, target: str, window: int, outputs
     lo, hi = (-(w // 2), (w - 1) // 2) if center else (-(w - 1), 0)
     ties = [c for c in _keys(tie_breaker)] if tie_breaker else []
     order = [F.col(sort_by).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in ties]
+    src = (source if source is not None else df).select(*dict.fromkeys(keys + [sort_by, target] + ties))
     if isinstance(block, tuple) and block == ("auto",):
-        block = default_block(df, sort_by, keys)
+        block = default_block(src, sort_by, keys)
     if block is None:
         spec = Window.partitionBy(*keys).orderBy(*order).rowsBetween(lo, hi)
         return df.withColumns(_rolling_columns(spec, target, outputs, min_periods))
-    return _blocked_rolling(df, keys, order, block, lo, hi, target, outputs, min_periods, sort_by, ties)
+    return _blocked_rolling(df, src, keys, order, block, lo, hi, target, outputs, min_periods, sort_by, ties)
 
 
-def _blocked_rolling(df, keys, order, block, lo, hi, target, outputs, min_periods, sort_by, ties):
+def _blocked_rolling(df, src, keys, order, block, lo, hi, target, outputs, min_periods, sort_by, ties):
+    """Main rows come from ``df``; block ranks and halo rows from the narrow ``src`` (same rows)."""
     from panelforge.operators.quantiles import _ns_join
     P, Q = -lo, hi
     big = F.lit(2 ** 62).cast("bigint")
-    d = df.withColumn("__blk", F.when(F.col(sort_by).isNull(), big).otherwise(block.cast("bigint")))
-    blocks = d.select(*keys, "__blk").distinct()
+    blk = F.when(F.col(sort_by).isNull(), big).otherwise(block.cast("bigint"))
+    s_ = src.withColumn("__blk", blk)
+    blocks = s_.select(*keys, "__blk").distinct()
     blocks = blocks.withColumn("__bk", F.dense_rank().over(Window.partitionBy(*keys).orderBy("__blk")))
-    d = _ns_join(d, blocks, keys + ["__blk"])
+    d = _ns_join(df.withColumn("__blk", blk), blocks, keys + ["__blk"])
+    s_ = _ns_join(s_, blocks, keys + ["__blk"])
     inblock = Window.partitionBy(*keys, "__blk")
     parts = [d.withColumn("__halo", F.lit(False)).withColumn("__tbk", F.col("__bk"))]
     if P > 0:   # last P rows of a block serve the next P non-empty blocks
         rev = [F.col(sort_by).desc_nulls_first()] + [F.col(c).desc_nulls_first() for c in ties]
-        tails = d.withColumn("__r", F.row_number().over(inblock.orderBy(*rev))).where(F.col("__r") <= P).drop("__r")
+        tails = s_.withColumn("__r", F.row_number().over(inblock.orderBy(*rev))).where(F.col("__r") <= P).drop("__r")
         tails = tails.withColumn("__tbk", F.explode(F.sequence(F.col("__bk") + 1, F.col("__bk") + P)))
         parts.append(tails.withColumn("__halo", F.lit(True)))
     if Q > 0:   # first Q rows of a block serve the previous Q non-empty blocks
-        heads = d.withColumn("__r", F.row_number().over(inblock.orderBy(*order))).where(F.col("__r") <= Q).drop("__r")
+        heads = s_.withColumn("__r", F.row_number().over(inblock.orderBy(*order))).where(F.col("__r") <= Q).drop("__r")
         heads = heads.withColumn("__tbk", F.explode(F.sequence(F.col("__bk") - Q, F.col("__bk") - 1)))
         parts.append(heads.withColumn("__halo", F.lit(True)))
     u = parts[0]
     for p in parts[1:]:
-        u = u.unionByName(p)
+        u = u.unionByName(p, allowMissingColumns=True)
     spec = Window.partitionBy(*keys, "__tbk").orderBy(*order).rowsBetween(lo, hi)
     out = u.withColumns(_rolling_columns(spec, target, outputs, min_periods)).where(~F.col("__halo"))
     return out.drop("__blk", "__bk", "__tbk", "__halo")

@@ -66,26 +66,27 @@ def _simple(df: DataFrame, step: Mapping[str, Any], ctx: Registry) -> DataFrame:
     raise ValueError(f"unsupported simple method {m!r}")
 
 
-def _aggregate(df, step, ctx):
+def _aggregate(df, step, ctx, source=None):
     cfg = step.get("config") or {}
-    return groups.group_transform(df, step.get("group_by"), step["target"], step["outputs"], cfg.get("min_count"))
+    return groups.group_transform(df, step.get("group_by"), step["target"], step["outputs"], cfg.get("min_count"),
+                                  source=source)
 
 
-def _time_aggregate(df, step, ctx):
+def _time_aggregate(df, step, ctx, source=None):
     w = step.get("window") or {}
     if step.get("time_col") not in df.columns or step.get("target") not in df.columns:
         return df
     return windows.time_range_aggregate(df, step["group_by"], step["time_col"], step["target"], step["outputs"],
                                         w.get("past", 0), w.get("future", 0), w.get("include_current", False),
                                         time_is_ordinal=bool(step.get("time_is_ordinal", False)),
-                                        min_count=(step.get("config") or {}).get("min_count"))
+                                        min_count=(step.get("config") or {}).get("min_count"), source=source)
 
 
-def _rolling(df, step, ctx):
+def _rolling(df, step, ctx, source=None):
     cfg = step.get("config") or {}
     return windows.rolling(df, step["group_by"], step["sort_by"], step["target"], int(step["window"]),
                            step["outputs"], int(cfg.get("min_periods", 1)), bool(cfg.get("center", False)),
-                           step.get("tie_breaker", "row_id"))
+                           step.get("tie_breaker", "row_id"), source=source)
 
 
 def _bin(df, step, ctx):
@@ -130,16 +131,45 @@ def _merge_time_steps(steps: Sequence[Mapping[str, Any]]) -> list[Mapping[str, A
 
 
 def run_derive(df: DataFrame, steps: Sequence[Mapping[str, Any]], datasets: Mapping[str, Any] | None = None,
-               default_fill=None) -> DataFrame:
-    """Apply an ordered step list (one lazy plan); optional global default fill at the end (NUL-03)."""
+               default_fill=None, materialize: bool = False) -> DataFrame:
+    """Apply an ordered step list (one lazy plan); optional global default fill at the end (NUL-03).
+
+    ``materialize`` writes the input once (reliable checkpoint in the shared folder) so the
+    statistics of every grouped/window step read it instead of re-running an expensive upstream.
+    """
+    if materialize:
+        from panelforge.session import cut_lineage
+        df = cut_lineage(df)
     ctx = Registry(df.sparkSession, datasets)
+    # Statistics of grouped/window steps are computed from the input plan (``base``) whenever the
+    # columns they need are still untouched and no step has changed the rows, so each step joins
+    # its results onto the growing plan once instead of re-running that plan for its statistics.
+    base, dirty, rows_same = df, set(), True
     for step in _merge_time_steps(steps):
         if not step.get("enabled", True):
             continue
         kind = step.get("type")
         if kind not in STEPS:
             raise ValueError(f"unknown step type {kind!r}")
-        df = STEPS[kind](df, step, ctx)
+        before = set(df.columns)
+        if kind in ("aggregate", "time_aggregate", "rolling"):
+            g = step.get("group_by")
+            tie = step.get("tie_breaker", "row_id") if kind == "rolling" else None
+            need = ([g] if isinstance(g, str) else list(g or [])) + [step.get("target")] + \
+                ([step["time_col"]] if kind == "time_aggregate" else []) + \
+                ([step["sort_by"]] + ([tie] if isinstance(tie, str) else list(tie or [])) if kind == "rolling" else [])
+            clean = rows_same and all(c in base.columns and c not in dirty for c in need)
+            df = STEPS[kind](df, step, ctx, source=base.select(*dict.fromkeys(need)) if clean else None)
+        else:
+            df = STEPS[kind](df, step, ctx)
+        if kind == "join" and (step.get("how", "left") != "left"
+                               or step.get("validate") not in ("many_to_one", "m:1", "one_to_one", "1:1")):
+            rows_same = False                      # the join may have changed the row set
+        dirty |= {c for c in df.columns if c not in before}
+        for o in (step.get("outputs") or {}).values() if isinstance(step.get("outputs"), dict) else []:
+            dirty.add(o)
+        out = step.get("output")
+        dirty |= set(out) if isinstance(out, (list, tuple)) else ({out} if out else set())
     if default_fill is not None:
         df = df.fillna(default_fill)
     return df

@@ -142,7 +142,7 @@ FROM d JOIN region ON d.region = region.r_name""")
 def exp_01_derive(spark, sf_dir):
     s = sales(spark, sf_dir)
     regions = read_table(spark, sf_dir, "region")
-    d = run_derive(s, DERIVE_STEPS, datasets={"regions": regions})
+    d = run_derive(s, DERIVE_STEPS, datasets={"regions": regions}, materialize=True)
     out = d.select("row_id", "saleYear", "price_band", rnd("ppsqm", 4).alias("ppsqm"), rnd("suburb_mean", 4).alias("suburb_mean"),
                    rnd("med_6m", 4).alias("med_6m"), "n_6m", rnd("roll3", 4).alias("roll3"), "r_regionkey",
                    rnd("norm_price", 6).alias("norm_price"))
