@@ -48,26 +48,36 @@ def factor_filter(df: DataFrame, num: str, den: str, output: str, min_value: flo
     return out.where(F.col(output).isNotNull() & (F.col(output) > float(min_value)))
 
 
+def _year_range(df: DataFrame, year_col: str | None, year_range, date_col: str | None) -> DataFrame:
+    if not year_range:
+        return df
+    if date_col:   # the same range on the raw date: a predicate Parquet can push down
+        lo = F.lit(f"{int(year_range[0]):04d}-01-01").cast("timestamp_ntz")
+        hi = F.lit(f"{int(year_range[1]) + 1:04d}-01-01").cast("timestamp_ntz")
+        return df.where((F.col(date_col) >= lo) & (F.col(date_col) < hi))
+    if year_col:
+        return df.where(F.col(year_col).between(year_range[0], year_range[1]))
+    return df
+
+
 def equality_filters(df: DataFrame, equals: Mapping[str, str], year_col: str | None = None,
-                     year_range: tuple[int, int] | None = None, wildcard: str = "All") -> DataFrame:
-    """FLT-07: column == value unless value is the wildcard; inclusive year range."""
+                     year_range: tuple[int, int] | None = None, wildcard: str = "All",
+                     date_col: str | None = None) -> DataFrame:
+    """FLT-07: column == value unless value is the wildcard; inclusive year range (on the year
+    column, or as a pushed-down range on ``date_col``)."""
     for c, v in equals.items():
         if v != wildcard:
             df = df.where(F.col(c) == F.lit(v))
-    if year_col and year_range:
-        df = df.where(F.col(year_col).between(year_range[0], year_range[1]))
-    return df
+    return _year_range(df, year_col, year_range, date_col)
 
 
 def membership_filters(df: DataFrame, members: Mapping[str, Sequence], year_col: str | None = None,
-                       year_range: tuple[int, int] | None = None) -> DataFrame:
+                       year_range: tuple[int, int] | None = None, date_col: str | None = None) -> DataFrame:
     """FLT-08: column in list (an empty list keeps all); inclusive year range."""
     for c, vals in members.items():
         if vals:
             df = df.where(F.col(c).isin(list(vals)))
-    if year_col and year_range:
-        df = df.where(F.col(year_col).between(year_range[0], year_range[1]))
-    return df
+    return _year_range(df, year_col, year_range, date_col)
 
 
 def drop_unknown(df: DataFrame, column: str, unknown: str = "Unknown") -> DataFrame:

@@ -18,7 +18,7 @@ SELECT row_id, salePrice FROM sales WHERE propertyType = 'BUILDING' AND street =
 def flt_07(spark, sf_dir):
     s = sales(spark, sf_dir).withColumn("saleYear", F.year("saleDate"))
     out = I.equality_filters(s, {"propertyType": "BUILDING", "street": "2-HIGH", "saleType": "All", "region": "All"},
-                             "saleYear", (1996, 1999))
+                             "saleYear", (1996, 1999), date_col="saleDate")
     return out.select("row_id", "salePrice")
 
 
@@ -28,7 +28,7 @@ SELECT row_id, suburb, propertyType FROM sales WHERE suburb IN ('NATION_1', 'NAT
 def flt_08(spark, sf_dir):
     s = sales(spark, sf_dir).withColumn("saleYear", F.year("saleDate"))
     out = I.membership_filters(s, {"suburb": ["NATION_1", "NATION_7", "NATION_19"], "propertyType": []},
-                               "saleYear", (1997, 2000))
+                               "saleYear", (1997, 2000), date_col="saleDate")
     return out.select("row_id", "suburb", "propertyType")
 
 
