@@ -5,7 +5,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelforge.llm import html_text, mixing, pii, quality, sentencepieces, token_counts, toxicity
+from panelforge.llm import embedding_dedup, html_text, mixing, pii, quality, sentencepieces, token_counts, topk, toxicity
 from panelforge.llm.common import table
 from panelforge.llm.sql import MIX_SQL
 
@@ -24,6 +24,11 @@ def tokenizer_path(name: str = PIECE_MODEL) -> str:
     return public_tokenizers.path(name)
 
 
+@_register
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @_register
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -58,6 +63,11 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encoded_digest(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+@_register
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 @_register
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_main_text(table(spark, sf_dir, "pages"))
