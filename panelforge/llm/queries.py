@@ -5,7 +5,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelforge.llm import embedding_dedup, html_text, mixing, pii, quality, sentencepieces, token_counts, topk, toxicity
+from panelforge.llm import embedding_dedup, html_text, jaccard, mixing, pii, quality, sentencepieces, token_counts, topk, toxicity
 from panelforge.llm.common import table
 from panelforge.llm.sql import MIX_SQL
 
@@ -47,6 +47,11 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", "taken"))
 
 
+@_register
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_documents(table(spark, sf_dir, "documents"))
+
+
 @_register
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(table(spark, sf_dir, "documents"))
