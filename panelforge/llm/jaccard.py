@@ -9,9 +9,11 @@ all coordinates), so each R-tree holds the documents of one bucket: those that s
 first of their sets in hash order. With J >= t, two sets share one among the first |x| - ceil(2t/(1+t) |x|) + 1 of
 the smaller and the first |y| - ceil(t |y|) + 1 of the larger set, so buckets lose no pair.
 
-Steps: (1) sets, equal sets collapsed; (2) buckets; (3) pairs that share many buckets with their bucket's
-first document are verified exactly and merged, which settles groups of near copies with few pairs; (4) R-tree
-joins inside the buckets that still hold several components, survivors verified exactly; (5) components.
+Steps: (1) sets, equal sets collapsed; (2) buckets; (3) documents that share many buckets with their bucket's
+first document are compared with it exactly and merged; (4) in the buckets that still hold several components, the
+R-tree join gives each document's closest partner by the bound, verified exactly and merged; both steps settle
+groups of near copies with few pairs each; (5) the same join gives all remaining pairs between components,
+verified exactly, so no link is lost; (6) components.
 """
 from __future__ import annotations
 
@@ -33,7 +35,7 @@ THRESHOLD = (75, 100)   # linked when 100 * intersection >= 75 * union
 #: A key this frequent among so many keys of a task is hot: its rows spread over so many salts.
 HOT_AT_ONCE, KEYS_AT_ONCE, SALTS = 64, 1_000_000, 256
 BLOCK = 2048
-LEAF, FANOUT = 32, 8
+LEAF, FANOUT = 64, 8
 #: Bits of the map of ids that ``sets_of`` reads texts for: its size is fixed, misses are impossible.
 MAP_BITS = 24
 MEMO_LIMIT = 400_000
@@ -79,21 +81,39 @@ def shingle_set(text: str | None, k: int = WORDS) -> np.ndarray:
     return np.unique(_mix(total))
 
 
-def group_counts(hashes: np.ndarray) -> np.ndarray:
-    """Count vector (uint8) over the next power of two at or above a quarter of the set, 16 at least."""
-    groups = 16
-    while groups * 4 < len(hashes):
-        groups *= 2
-    while True:
-        counts = np.bincount((hashes >> np.uint64(20)).astype(np.int64) & (groups - 1), minlength=groups)
-        if counts.max(initial=0) <= 255:
-            return counts.astype(np.uint8)
-        groups *= 2
+def group_counts(hashes: np.ndarray) -> bytes:
+    """Packed count vector over the next power of two of groups at or above the set's size, 16 at least.
+
+    Two bits a group hold counts up to 3; what is above that in all groups together is a number at the end.
+    """
+    groups = max(16, 1 << max(len(hashes) - 1, 0).bit_length())
+    counts = np.bincount((hashes >> np.uint64(20)).astype(np.int64) & (groups - 1), minlength=groups)
+    low = np.minimum(counts, 3).astype(np.uint8).reshape(-1, 4)
+    packed = low[:, 0] | low[:, 1] << 2 | low[:, 2] << 4 | low[:, 3] << 6
+    return packed.tobytes() + int((counts - np.minimum(counts, 3)).sum()).to_bytes(4, "little")
+
+
+def unpack_counts(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(counts up to 3, excess) of vectors over equally many groups, one per row."""
+    raw = np.frombuffer(b"".join(packed), np.uint8).reshape(len(packed), -1)
+    low = ((raw[:, :-4, None] >> np.array([0, 2, 4, 6], np.uint8)) & 3).reshape(len(packed), -1)
+    return low, raw[:, -4:].copy().view("<u4")[:, 0].astype(np.int64)
 
 
 def fold(counts: np.ndarray, groups: int) -> np.ndarray:
     """Count vectors (rows) over fewer groups: group g takes g, g + groups, g + 2 groups, ..."""
-    return counts.reshape(len(counts), -1, groups).sum(axis=1, dtype=np.int32)
+    return counts.reshape(len(counts), -1, groups).sum(axis=1, dtype=np.uint8) if counts.shape[1] > groups else counts
+
+
+def overlap_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sum over groups of the smaller count, for all rows of a against all rows of b.
+
+    min(x, y) is the number of t with x >= t and y >= t, hence a sum of 0/1 matrix products.
+    """
+    out = np.zeros((len(a), len(b)), np.float32)
+    for t in range(1, int(min(a.max(initial=0), b.max(initial=0))) + 1):
+        out += (a >= t).astype(np.float32) @ (b >= t).astype(np.float32).T
+    return out.astype(np.int64)
 
 
 def prefixes(n: int, num: int = THRESHOLD[0], den: int = THRESHOLD[1]) -> tuple[int, int]:
@@ -118,7 +138,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n.append(len(s))
             sig.append(xxhash.xxh128_digest(s.tobytes()) if len(s) else None)
             keys.append(s[:prefixes(len(s))[1]].view(np.int64) if len(s) else [])
-            counts.append(group_counts(s).tobytes() if len(s) else None)
+            counts.append(group_counts(s) if len(s) else None)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.binary()),
              pa.array(keys, pa.list_(pa.int64())), pa.array(counts, pa.binary())],
@@ -189,40 +209,52 @@ def _compatible(nx: np.ndarray, ny: np.ndarray) -> np.ndarray:
     return (THRESHOLD[0] * np.maximum(nx, ny) <= THRESHOLD[1] * np.minimum(nx, ny))
 
 
+def _first_of_smaller(nx, ny, fx, fy):
+    """Whether a bucket's key is among the first of the smaller set (of both sets of equal size)."""
+    return np.where(nx < ny, fx, np.where(nx > ny, fy, fx & fy)).astype(bool)
+
+
 class RTree:
     """Static tree over count vectors: rows sorted by set size, packed into leaves and inner boxes.
 
-    A box keeps the least and largest set size and the largest count of every group below it.
+    A box keeps the least and largest set size, the largest count of every group and the largest excess.
     """
 
-    def __init__(self, sizes: np.ndarray, counts: np.ndarray):
+    def __init__(self, sizes: np.ndarray, counts: np.ndarray, excess: np.ndarray):
         self.order = np.argsort(sizes, kind="stable")
-        self.sizes, self.counts = sizes[self.order], counts[self.order]
-        self.levels = []     # from leaves up: (first row or child, end, least size, largest size, largest counts)
+        self.sizes, self.counts, self.excess = sizes[self.order], counts[self.order], excess[self.order]
         starts = np.arange(0, len(sizes), LEAF)
         ends = np.minimum(starts + LEAF, len(sizes))
-        low, high, top = self.sizes[starts], self.sizes[ends - 1], np.maximum.reduceat(self.counts, starts, axis=0)
-        self.levels.append((starts, ends, low, high, top))
+        # from leaves up: (first row or child, end, least size, largest size, largest counts, largest excess)
+        self.levels = [(starts, ends, self.sizes[starts], self.sizes[ends - 1],
+                        np.maximum.reduceat(self.counts, starts, axis=0), np.maximum.reduceat(self.excess, starts))]
         while len(starts) > 1:
-            starts = np.arange(0, len(self.levels[-1][0]), FANOUT)
-            ends = np.minimum(starts + FANOUT, len(self.levels[-1][0]))
-            low, high, top = self.levels[-1][2][starts], self.levels[-1][3][ends - 1], np.maximum.reduceat(top, starts, axis=0)
-            self.levels.append((starts, ends, low, high, top))
+            _, _, low, high, top, over = self.levels[-1]
+            starts = np.arange(0, len(low), FANOUT)
+            ends = np.minimum(starts + FANOUT, len(low))
+            self.levels.append((starts, ends, low[starts], high[ends - 1], np.maximum.reduceat(top, starts, axis=0),
+                                np.maximum.reduceat(over, starts)))
 
 
-def tree_join(a: RTree, b: RTree, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Row pairs (numbers into the vectors the trees were built from) that pass the overlap bound.
+def tree_join(a: RTree, b: RTree, same: bool, folded: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Leaf pairs that the bounds leave, as (rows, rows, closeness): rows are numbers into the vectors the
+    trees were built from; closeness is the overlap bound over both sizes, -1 for a pair that can't link.
 
-    With ``same`` both trees are one, and every pair comes once.
+    With ``same`` both trees are one, and every pair comes once. Counts above 3 are known by their sum only:
+    they add at most the smaller of both sums, or after folding (``folded``) both.
     """
+    def above(x, y):
+        return x + y if folded else np.minimum(x, y)
+
     todo = [(len(a.levels) - 1, 0, len(b.levels) - 1, 0)]
     while todo:
         la, i, lb, j = todo.pop()
-        (sa, ea, lowa, higha, topa), (sb, eb, lowb, highb, topb) = a.levels[la], b.levels[lb]
-        # sizes: the larger of the least sizes against the best partner the other box can offer
+        (sa, ea, lowa, higha, topa, overa), (sb, eb, lowb, highb, topb, overb) = a.levels[la], b.levels[lb]
+        # sizes: the smallest set of one box against the best partner the other box can offer
         if THRESHOLD[0] * lowb[j] > THRESHOLD[1] * higha[i] or THRESHOLD[0] * lowa[i] > THRESHOLD[1] * highb[j]:
             continue
-        if int(np.minimum(topa[i], topb[j]).sum()) < least_overlap(int(lowa[i]), int(lowb[j])):
+        best = int(np.minimum(topa[i], topb[j]).sum(dtype=np.int64)) + int(above(overa[i], overb[j]))
+        if best < least_overlap(int(lowa[i]), int(lowb[j])):
             continue
         if la and (la >= lb or not lb):
             todo += [(la - 1, k, lb, j) for k in range(sa[i], ea[i])]
@@ -230,55 +262,80 @@ def tree_join(a: RTree, b: RTree, same: bool) -> Iterator[tuple[np.ndarray, np.n
             todo += [(la, i, lb - 1, k) for k in range(sb[j], eb[j])]
         elif not same or i <= j:
             x, y = slice(sa[i], ea[i]), slice(sb[j], eb[j])
-            bound = np.minimum(a.counts[x][:, None, :], b.counts[y][None, :, :]).sum(axis=2, dtype=np.int64)
+            bound = overlap_bound(a.counts[x], b.counts[y]) + above(a.excess[x][:, None], b.excess[y][None, :])
             nx, ny = a.sizes[x][:, None], b.sizes[y][None, :]
             good = (bound >= least_overlap(nx, ny)) & _compatible(nx, ny)
             if same and i == j:
                 good &= np.triu(np.ones(good.shape, bool), 1)
-            p, q = np.nonzero(good)
-            if len(p):
-                yield a.order[sa[i] + p], b.order[sb[j] + q]
+            if good.any():
+                yield a.order[x], b.order[y], np.where(good, bound / (nx + ny), -1.0)
 
 
 def bucket_pairs(rep: np.ndarray, size: np.ndarray, counts: list[bytes], comp: np.ndarray, side: np.ndarray,
-                 same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a block pair of one bucket that the bound leaves and that lie in different components."""
+                 same: bool, best_only: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a block pair of one bucket that the bound leaves and that lie in different components.
+
+    ``best_only``: of each document only the pair with the closest bound.
+    """
     n, first = size >> 1, (size & 1).astype(bool)
-    vectors = [np.frombuffer(c, np.uint8) for c in counts]
     left, right = [], []
+    closest, partner = np.full(len(rep), -1.0), np.zeros(len(rep), np.int64)
     # sets of very unequal size can't link: only vectors of neighbouring lengths meet, folded to the shorter
-    widths = np.array([len(v) for v in vectors])
-    for w in np.unique(widths):
-        own = np.flatnonzero(widths == w)
-        table = np.stack([vectors[i] for i in own]).astype(np.int32)
-        here = own if same else own[side[own] == 0]
+    widths = np.array([(len(c) - 4) * 4 for c in counts])
+    unpacked = {int(w): (own := np.flatnonzero(widths == w), *unpack_counts([counts[i] for i in own]))
+                for w in np.unique(widths)}
+
+    def tree(w: int, groups: int, keep: int | None) -> tuple[np.ndarray, RTree] | None:
+        own, low, excess = unpacked[w]
+        if keep is not None:
+            chosen = side[own] == keep
+            own, low, excess = own[chosen], low[chosen], excess[chosen]
+        return (own, RTree(n[own], fold(low, groups), excess)) if len(own) else None
+
+    for w in unpacked:
         for v in (w, 2 * w) if same else (w // 2, w, 2 * w):
-            other = np.flatnonzero(widths == v)
-            if not same:
-                other = other[side[other] == 1]
-            if not len(here) or not len(other):
+            if v not in unpacked:
+                continue
+            one, groups = same and v == w, min(v, w)
+            mine = tree(w, groups, None if same else 0)
+            theirs = mine if one else tree(v, groups, None if same else 1)
+            if mine is None or theirs is None:
                 continue
-            g = int(min(w, v))
-            mine = fold(np.stack([vectors[i] for i in here]), g)
-            tree = RTree(n[here], mine)
-            if same and v == w:
-                met = tree_join(tree, tree, True)
-            else:
-                met = tree_join(tree, RTree(n[other], fold(np.stack([vectors[i] for i in other]), g)), False)
-            for p, q in met:
-                x, y = here[p], (here if same and v == w else other)[q]
+            here, other = mine[0], theirs[0]
+            met = tree_join(mine[1], theirs[1], one, v != w)
+            for p, q, ratio in met:
+                x, y = here[p], other[q]
+                nx, ny, fx, fy = n[x][:, None], n[y][None, :], first[x][:, None], first[y][None, :]
                 # the shared hash must be among the first of the smaller set
-                fits = (comp[x] != comp[y]) & np.where(n[x] < n[y], first[x], np.where(n[x] > n[y], first[y], first[x] & first[y]))
-                left.append(rep[x[fits]])
-                right.append(rep[y[fits]])
-        del table
-    if not left:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(left), np.concatenate(right)
-
-
-def _tree_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """mapInPandas function over rows sorted by (key, bi, bj)."""
+                fits = (comp[x][:, None] != comp[y][None, :]) & _first_of_smaller(nx, ny, fx, fy)
+                ratio = np.where(fits, ratio, -1.0)
+                if best_only:
+                    for rows, others, table in ((x, y, ratio), (y, x, ratio.T)):
+                        k = table.argmax(axis=1)
+                        top = table[np.arange(len(rows)), k]
+                        better = top > closest[rows]
+                        closest[rows[better]], partner[rows[better]] = top[better], others[k[better]]
+                else:
+                    i, j = np.nonzero(ratio >= 0)
+                    left.append(rep[x[i]])
+                    right.append(rep[y[j]])
+    if best_only:
+        found = np.flatnonzero(closest >= 0)
+        return rep[found], rep[partner[found]]
+    none = [np.zeros(0, np.int64)]
+    return np.concatenate(left or none), np.concatenate(right or none)
+
+
+def _closest_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    return _tree_pairs(batches, True)
+
+
+def _all_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    return _tree_pairs(batches, False)
+
+
+def _tree_pairs(batches: Iterator[pd.DataFrame], best_only: bool) -> Iterator[pd.DataFrame]:
+    """mapInPandas functions over rows sorted by (key, bi, bj)."""
     carry, left, right = None, [], []
 
     def flush() -> pd.DataFrame:
@@ -300,9 +357,28 @@ def _tree_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # nothing to find where all rows are of one component or no two sizes go together
         open_ = np.minimum.reduceat(comp[:stop], starts) < np.maximum.reduceat(comp[:stop], starts)
         two = ends - starts == 2
-        open_[two] &= _compatible(n[starts[two]], n[starts[two] + 1])
+        x = starts[two]
+        open_[two] &= _compatible(n[x], n[x + 1]) & _first_of_smaller(n[x], n[x + 1], size[x] & 1, size[x + 1] & 1)
+        # two documents whose vectors are equally wide need no tree: all such buckets are bounded together
+        widths = np.fromiter(map(len, counts[:stop]), np.int64, stop)
+        alike = open_.copy()
+        alike[two] &= widths[x] == widths[x + 1]
+        alike &= two
+        open_ &= ~alike
+        x = starts[alike]
+        for w in np.unique(widths[x]):
+            own = x[widths[x] == w]
+            step = max(1, 20_000_000 // int(w * 4))
+            for k in range(0, len(own), step):
+                i = own[k:k + step]
+                (la, ea), (lb, eb) = unpack_counts(counts[i].tolist()), unpack_counts(counts[i + 1].tolist())
+                bound = np.minimum(la, lb).sum(axis=1, dtype=np.int64) + np.minimum(ea, eb)
+                i = i[bound >= least_overlap(n[i], n[i + 1])]
+                if len(i):
+                    left.append(rep[i])
+                    right.append(rep[i + 1])
         for x, y in zip(starts[open_].tolist(), ends[open_].tolist()):
-            a, b = bucket_pairs(rep[x:y], size[x:y], counts[x:y], comp[x:y], side[x:y], bool(same[x]))
+            a, b = bucket_pairs(rep[x:y], size[x:y], counts[x:y], comp[x:y], side[x:y], bool(same[x]), best_only)
             if len(a):
                 left.append(a)
                 right.append(b)
@@ -394,6 +470,24 @@ def verified(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
     return scratch_table(met.select("a", "b", "id", "hashes").mapInPandas(_exact, "a long, b long"), name)
 
 
+def _tree_round(buckets: DataFrame, named: DataFrame, links: DataFrame, pairs, texts: DataFrame, name: str) -> DataFrame:
+    """Verified links from the R-trees of those buckets that hold several components under ``links``."""
+    merged = components(links).withColumnsRenamed({"id": "rep", "component": "comp"})
+    placed = scratch_table(buckets.join(merged, "rep", "left").withColumn("comp", F.coalesce("comp", "rep")), name + "-placed")
+    mixed = (placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"),
+                                       F.sum(F.xxhash64("rep", "size").cast("decimal(38,0)")).alias("members"))
+             .filter("lo < hi")
+             # of buckets with the same members one is enough
+             .groupBy("m", "members").agg(F.min("key").alias("key")).select("key", "m"))
+    ready = (placed.join(mixed, "key")
+             .join(named.select(F.col("doc_id").alias("rep"), "counts", F.col("n").alias("rn")), "rep")
+             .filter("rn = shiftright(size, 1)"))
+    dealt = (split_into_block_pairs(ready, ["key"], "m", "rep", BLOCK)
+             .select("key", "bi", "bj", "side", "rep", "size", "comp", "counts")
+             .repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj"))
+    return verified(dealt.mapInPandas(pairs, "a long, b long").distinct(), texts, name)
+
+
 def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` per row of ``docs``.
 
@@ -418,26 +512,15 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             .groupBy(F.col("rep").alias("a"), "b").agg(F.count(F.lit(1)).alias("c"), F.max(F.shiftright("size", 1)).alias("n"))
             .filter("c * 10 >= n").select("a", "b"))
     first = verified(near, texts, "first-links")
-    merged = components(first).withColumnsRenamed({"id": "rep", "component": "comp"})
-
     # what is left: buckets with several components, joined by their R-trees
-    placed = buckets.join(merged, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    mixed = (placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"),
-                                       F.sum(F.xxhash64("rep", "size").cast("decimal(38,0)")).alias("members"))
-             .filter("lo < hi")
-             # buckets with the same members need one of them
-             .groupBy("m", "members").agg(F.min("key").alias("key")).select("key", "m"))
-    ready = (placed.join(mixed, "key").join(named.select(F.col("doc_id").alias("rep"), "counts", F.col("n").alias("rn")), "rep")
-             .filter("rn = shiftright(size, 1)"))
-    dealt = (split_into_block_pairs(ready, ["key"], "m", "rep", BLOCK)
-             .select("key", "bi", "bj", "side", "rep", "size", "comp", "counts")
-             .repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj"))
-    second = verified(dealt.mapInPandas(_tree_pairs, "a long, b long").distinct(), texts, "second-links")
+    closest = _tree_round(buckets, named, first, _closest_pairs, texts, "closest-links")
+    linked = first.unionByName(closest)
+    second = _tree_round(buckets, named, linked, _all_pairs, texts, "second-links")
 
     smallest = named.groupBy("sig").agg(F.min("doc_id").alias("rep"))
     same_set = named.select("doc_id", "sig").join(smallest, "sig").filter("doc_id > rep").select(
         F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    all_links = same_set.unionByName(first).unionByName(second)
+    all_links = same_set.unionByName(linked).unionByName(second)
     member = components(all_links).withColumnsRenamed({"id": "c_id", "component": "c"})
     return (sets.select("doc_id", F.col("n").alias("n_shingles"))
             .join(member, F.col("doc_id") == F.col("c_id"), "left")
