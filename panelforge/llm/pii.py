@@ -64,6 +64,7 @@ _DISGUISE = re.compile(
     rf"(?P<host>{_LABEL}(?:(?:\.|{_DOT}|{_SPOKEN_DOT}){_LABEL})+)")
 _DISGUISE_HINT = re.compile(r"(?i)[\[({<]\x20*(?:at|@|dot|\.|arroba|chez|bei|punto|punkt|point)\x20*[\])}>]"
                             r"|\x20(?:dot|punto|punkt|point)\x20")
+_TOP_LABEL = re.compile(r"(?<![A-Za-z0-9-])[A-Za-z]{2,}\Z")
 _DOT_FORMS = re.compile(rf"(?i){_DOT}|{_SPOKEN_DOT}")
 
 
@@ -172,6 +173,8 @@ def _disguise_edits(text: str) -> list[tuple[int, int, str]]:
         at, host = m["at"].strip(), m["host"]
         if at.lower() in ("at", "arroba") and not _DOT_FORMS.search(host):
             continue
+        if at != "@" and not _TOP_LABEL.search(host):
+            continue
         stretch = [(d.start(), d.end(), ".") for d in _DOT_FORMS.finditer(text, m.start("local"), m.end("local"))]
         if at != "@" or m["at"] != "@":
             stretch.append((m.start("at"), m.end("at"), "@"))

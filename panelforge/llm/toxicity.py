@@ -32,6 +32,10 @@ STEM_LENGTHS = (4, 5, 6)
 WINDOW = 8
 MEMO_LIMIT = 300_000
 
+# Common English insults that the lexicon starts from (dropped where clean labels use them more).
+SEEDS = tuple("""idiot idiots moron morons stupid imbecile cretin dimwit dumb fool loser losers pathetic worthless scum scumbag
+trash garbage filth filthy vermin disgusting clown jerk bastard asshole bitch retard freak degenerate parasite""".split())
+SEED_WEIGHT = 3.0
 # Words that announce a mention or quotation of another word.
 MENTION = frozenset("""say says said saying word words term terms called call calls quote quoted quotes wrote write
 mot mots dit disait appelle wort wörter sagt sagte genannt palabra palabras dijo dice llamado""".split())
@@ -133,6 +137,8 @@ class TermAutomaton:
 
 
 FEATURES = ("exact", "edited", "quoted", "densest", "rate", "addressed")
+#: Bias and weights that few labels are shrunk to: hits count for abuse, quoted ones for nothing.
+PRIOR_BIAS, PRIOR = -3.5, (1.6, 0.6, 0.0, 0.8, 0.4, 0.4)
 
 
 class Scorer:
@@ -213,14 +219,15 @@ class Scorer:
         return 1.0 / (1.0 + math.exp(-max(-40.0, min(40.0, z))))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> tuple[float, np.ndarray]:
-    """Ridge-penalised logistic regression by Newton steps (bias not penalised)."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, steps: int = 50) -> tuple[float, np.ndarray]:
+    """Logistic regression by Newton steps, shrunk to the prior weights."""
     a = np.hstack([np.ones((len(x), 1)), x])
-    w = np.zeros(a.shape[1])
-    penalty = np.diag([1e-6] + [ridge] * x.shape[1])
+    prior = np.array([PRIOR_BIAS, *PRIOR])
+    w = prior.copy()
+    penalty = np.diag([ridge] * a.shape[1])
     for _ in range(steps):
         p = 1.0 / (1.0 + np.exp(-np.clip(a @ w, -30, 30)))
-        grad = a.T @ (p - y) + penalty @ w
+        grad = a.T @ (p - y) + penalty @ (w - prior)
         step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + penalty + 1e-9 * np.eye(len(w)), grad)
         w -= step
         if np.abs(step).max() < 1e-6:
@@ -247,7 +254,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_RO
                  id_col: str = "doc_id", text_col: str = "text") -> dict:
     """Model dict from labelled, not held-out rows (at most ``max_per_class`` a class).
 
-    Without labelled rows of both classes the lexicon is empty and all scores are equal (0.5 for no rows).
+    Without labelled rows of both classes the lexicon is the seeds and the weights are the prior's.
     """
     sample = scratch_table(labelled_sample(docs, labels, "toxic", FOLDS, HELD_OUT, max_per_class, id_col, text_col),
                            "toxicity-sample")
@@ -258,11 +265,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_RO
     stems = F.flatten(F.array(*[F.transform(F.filter("words", lambda w, n=n: F.length(w) > n),
                                             lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("*")))
                                 for n in STEM_LENGTHS]))
-    # copies of one text count once: equal smallest word hash, per class
-    single = (sample.withColumn("words", words).withColumn("sig", F.array_min(F.transform("words", lambda w: F.xxhash64(w))))
+    # copies of one text count once: equal smallest hash of two following words, per class
+    following = F.zip_with("words", F.slice("words", F.lit(2), F.greatest(F.size("words"), F.lit(1))),
+                           lambda a, b: F.xxhash64(a, b))
+    single = (sample.withColumn("words", words).withColumn("sig", F.array_min(following))
               .dropDuplicates(["y", "sig"]))
     terms = single.select("y", F.explode(F.array_distinct(F.concat("words", stems))).alias("term"))
-    stats = (terms.groupBy("term").agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("n")).filter("p >= 3"))
+    counted = terms.groupBy("term").agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("n"))
+    stats = counted.filter("p >= 3")
     candidates = stats.count()
     rows = [tuple(r) for r in stats.filter("p > n").orderBy(F.desc("p"), "term").limit(10 * MAX_TERMS).collect()]
     found = _significant(rows, positives, negatives, candidates)
@@ -279,9 +289,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_RO
     heads = tuple(s for s, _ in kept_stems)
     model = {"words": [(t, w) for t, w, _ in found if not t.endswith("*") and not t.startswith(heads or ("\0",))][:MAX_TERMS],
              "stems": kept_stems[:MAX_TERMS], "rows": (positives, negatives)}
+    learned = {t for t, _ in model["words"]}
+    known = {r["term"]: (r["p"], r["n"]) for r in counted.filter(F.col("term").isin(*SEEDS)).collect()}
+    for seed in SEEDS:
+        p, n = known.get(seed, (0, 0))
+        if seed not in learned and p >= n:
+            model["words"].append((seed, SEED_WEIGHT))
     if not positives or not negatives:
-        share = (positives + 0.5) / (positives + negatives + 1.0)
-        return model | {"words": [], "stems": [], "bias": math.log(share / (1 - share)), "coef": [0.0] * len(FEATURES)}
+        return model | {"bias": PRIOR_BIAS, "coef": list(PRIOR)}
     # edited forms that clean texts use are words of their own
     clean_words = terms.filter("term not like '%*'").groupBy("term").agg(
         F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("n")).filter("n > 0 and n * 20 > p")
