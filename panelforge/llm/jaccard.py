@@ -38,7 +38,7 @@ BLOCK = 2048
 LEAF, FANOUT = 64, 8
 #: Bits of the map of ids that ``sets_of`` reads texts for: its size is fixed, misses are impossible.
 MAP_BITS = 24
-MEMO_LIMIT = 400_000
+MEMO_LIMIT = 200_000
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
                      0x85EBCA77C2B2AE63], np.uint64)
 

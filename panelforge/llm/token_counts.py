@@ -15,7 +15,7 @@ from pyspark.sql.functions import pandas_udf
 
 SPACE = "▁"  # the piece files' mark for a space
 #: Segment counts remembered in each of the two generations of a Python worker's memo.
-MEMO_LIMIT = 300_000
+MEMO_LIMIT = 200_000
 _SEGMENTS = re.compile(r" *[^ \n]+| +|\n")
 _UNEVEN = re.compile(r"  |\n | \n|^ | \Z")
 

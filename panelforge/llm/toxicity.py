@@ -30,7 +30,7 @@ THRESHOLD = 0.7
 ONE_EDIT_FROM, TWO_EDITS_FROM = 5, 9
 STEM_LENGTHS = (4, 5, 6)
 WINDOW = 8
-MEMO_LIMIT = 300_000
+MEMO_LIMIT = 120_000
 
 # Common English insults that the lexicon starts from (dropped where clean labels use them more).
 SEEDS = tuple("""idiot idiots moron morons stupid imbecile cretin dimwit dumb fool loser losers pathetic worthless scum scumbag
