@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from panelforge.functions.nulls import col_
 
 # Fixed value: date formats tried, in order, by the tolerant parser.
-DATE_FORMATS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "dd/MM/yyyy", "d/M/yyyy", "yyyyMMdd", "dd-MM-yyyy"]
+DATE_FORMATS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "dd/MM/yyyy", "d/M/yyyy", "yyyyMMdd", "dd-MM-yyyy",
+                "yyyy-MM-dd'T'HH:mm:ss", "dd-MMM-yyyy", "d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy"]
 
 
 def parse_date(c, formats: Sequence[str] = DATE_FORMATS) -> Column:

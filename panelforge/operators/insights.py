@@ -230,4 +230,4 @@ def ordered_positions(df: DataFrame, keys: Sequence[str], order: Sequence[Column
     offs = counts.withColumn("__off", F.coalesce(F.sum("__c").over(wo.rowsBetween(Window.unboundedPreceding, -1)),
                                                  F.lit(0))).drop("__c")
     rn = F.row_number().over(Window.partitionBy(*keys, "__bkt").orderBy(*order))
-    return _ns_join(d, offs, keys + ["__bkt"]).withColumn(output, (F.col("__off") + rn).cast("int")).drop("__bkt", "__off")
+    return _ns_join(d, offs, keys + ["__bkt"]).withColumn(output, (F.col("__off") + rn).cast("bigint")).drop("__bkt", "__off")

@@ -75,7 +75,13 @@ def asof_reference(requests: DataFrame, store: DataFrame, columns: Sequence[str]
     if not filters:
         out = base
     else:
-        fkeys = ["__su"] + list(filters)
+        # a NULL request value skips its filter: store rows stand under every choice of filters, the
+        # others NULL, and a request looks them up under its own choice
+        bits = {f: 1 << i for i, f in enumerate(filters)}
+        req = req.withColumn("__use", sum((F.when(F.col(f).isNotNull(), b).otherwise(0) for f, b in bits.items()), F.lit(0)))
+        st = st.withColumn("__use", F.explode(F.array(*[F.lit(m) for m in range(1, 1 << len(bits))])))
+        st = st.withColumns({f: F.when(F.col("__use").bitwiseAND(F.lit(b)) > 0, F.col(f)) for f, b in bits.items()})
+        fkeys = ["__su", "__use"] + list(filters)
         filt = _asof(req, _last_per_month(st, fkeys, month_col, cols, order_col), fkeys, month_col, month_col)
         # a request uses the filtered candidates only when some store row matches all its filters
         out = base.join(filt.withColumnRenamed("__ref", "__fref"), "__rid", "left").select(

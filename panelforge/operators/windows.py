@@ -129,7 +129,7 @@ def time_range_aggregate(df: DataFrame, keys, time_col: str, target: str, output
     cell_exprs = [F.count(F.lit(1)).alias("c_rows"), F.count("__x").alias("c_n"),
                   F.sum("__x").alias("c_s")]
     if need_sq:
-        cell_exprs.append(F.sum(F.col("__x") * F.col("__x")).alias("c_q"))
+        cell_exprs.append(F.var_pop("__x").alias("c_v"))
     if need_lo or need_hi:
         cell_exprs += [F.min("__x").alias("c_min"), F.max("__x").alias("c_max")]
     if need_med:
@@ -150,11 +150,17 @@ def time_range_aggregate(df: DataFrame, keys, time_col: str, target: str, output
             "c_lo": F.array_compact(F.array("c_min", F.when(F.col("c_min_n") >= 2, F.col("c_min")).otherwise(F.col("c_min2")))),
             "c_hi": F.array_compact(F.array("c_max", F.when(F.col("c_max_n") >= 2, F.col("c_max")).otherwise(F.col("c_max2"))))})
 
+    if need_sq:
+        # squares are summed around the group's mean, so large values with a small spread keep it
+        group = Window.partitionBy(*keys)
+        cells = cells.withColumn("c_0", F.when(F.sum("c_n").over(group) > 0, F.sum("c_s").over(group) / F.sum("c_n").over(group)))
+        off = F.when(F.col("c_n") > 0, F.col("c_s") / F.col("c_n") - F.col("c_0"))
+        cells = cells.withColumns({"c_d": F.col("c_n") * off, "c_q": F.col("c_n") * (F.col("c_v") + off * off)})
     w = Window.partitionBy(*keys).orderBy("__t").rangeBetween(-past, future)
     frame = {"f_rows": F.sum("c_rows").over(w), "f_n": F.sum("c_n").over(w),
              "f_s": F.sum("c_s").over(w)}
     if need_sq:
-        frame["f_q"] = F.sum("c_q").over(w)
+        frame["f_q"], frame["f_d"], frame["f_0"] = F.sum("c_q").over(w), F.sum("c_d").over(w), F.max("c_0").over(w)
     if need_lo or need_hi:
         if include_current:
             frame["f_lo"] = F.array(F.min("c_min").over(w))
@@ -174,12 +180,13 @@ def time_range_aggregate(df: DataFrame, keys, time_col: str, target: str, output
     has_x = xv.isNotNull()
     if include_current:
         n_rows, n_c, s_c = F.col("f_rows"), F.col("f_n"), F.col("f_s")
-        q_c = F.col("f_q") if need_sq else None
+        q_c, d_c = (F.col("f_q"), F.col("f_d")) if need_sq else (None, None)
     else:
         n_rows = F.col("f_rows") - 1
         n_c = F.col("f_n") - F.when(has_x, 1).otherwise(0)
         s_c = F.col("f_s") - F.coalesce(xv, F.lit(0.0))
-        q_c = (F.col("f_q") - F.coalesce(xv * xv, F.lit(0.0))) if need_sq else None
+        own = F.coalesce(xv - F.col("f_0"), F.lit(0.0)) if need_sq else None
+        q_c, d_c = (F.col("f_q") - own * own, F.col("f_d") - own) if need_sq else (None, None)
     s_c = F.coalesce(s_c, F.lit(0.0))
     res: dict[str, Column] = {}
     for agg, out in aggs.items():
@@ -190,7 +197,7 @@ def time_range_aggregate(df: DataFrame, keys, time_col: str, target: str, output
         elif agg == "count":
             v = n_c
         elif agg == "std":
-            var = (q_c - s_c * s_c / n_c) / (n_c - 1)
+            var = (q_c - d_c * d_c / n_c) / (n_c - 1)
             v = F.when(n_c > 1, F.sqrt(F.greatest(var, F.lit(0.0))))
         elif agg in ("min", "max"):
             arr = F.col("f_lo" if agg == "min" else "f_hi")

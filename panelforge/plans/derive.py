@@ -130,6 +130,12 @@ def _merge_time_steps(steps: Sequence[Mapping[str, Any]]) -> list[Mapping[str, A
     return out
 
 
+def _outputs(df: DataFrame) -> dict[str, str]:
+    """Column name -> attribute of the analysed plan; a step that rewrites a column gives it a new one."""
+    out = df._jdf.queryExecution().analyzed().output()
+    return {out.apply(i).name(): out.apply(i).exprId().toString() for i in range(out.size())}
+
+
 def run_derive(df: DataFrame, steps: Sequence[Mapping[str, Any]], datasets: Mapping[str, Any] | None = None,
                default_fill=None, materialize: bool = False) -> DataFrame:
     """Apply an ordered step list (one lazy plan); optional global default fill at the end (NUL-03).
@@ -151,7 +157,7 @@ def run_derive(df: DataFrame, steps: Sequence[Mapping[str, Any]], datasets: Mapp
         kind = step.get("type")
         if kind not in STEPS:
             raise ValueError(f"unknown step type {kind!r}")
-        before = set(df.columns)
+        before = _outputs(df)
         if kind in ("aggregate", "time_aggregate", "rolling"):
             g = step.get("group_by")
             tie = step.get("tie_breaker", "row_id") if kind == "rolling" else None
@@ -165,11 +171,7 @@ def run_derive(df: DataFrame, steps: Sequence[Mapping[str, Any]], datasets: Mapp
         if kind == "join" and (step.get("how", "left") != "left"
                                or step.get("validate") not in ("many_to_one", "m:1", "one_to_one", "1:1")):
             rows_same = False                      # the join may have changed the row set
-        dirty |= {c for c in df.columns if c not in before}
-        for o in (step.get("outputs") or {}).values() if isinstance(step.get("outputs"), dict) else []:
-            dirty.add(o)
-        out = step.get("output")
-        dirty |= set(out) if isinstance(out, (list, tuple)) else ({out} if out else set())
+        dirty |= {c for c, attribute in _outputs(df).items() if before.get(c) != attribute}
     if default_fill is not None:
         df = df.fillna(default_fill)
     return df

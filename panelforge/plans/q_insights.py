@@ -161,7 +161,7 @@ def agg_23_26_27(spark, sf_dir):
 
 
 @query("srt_01_multi_key_sort_rank", sales_with() + """
-SELECT row_id, CAST(row_number() OVER (PARTITION BY suburb ORDER BY landSizeM2 ASC NULLS LAST, saleDate, row_id) AS INTEGER) AS pos
+SELECT row_id, CAST(row_number() OVER (PARTITION BY suburb ORDER BY landSizeM2 ASC NULLS LAST, saleDate, row_id) AS BIGINT) AS pos
 FROM sales""")
 def srt_01(spark, sf_dir):
     order = [F.col("landSizeM2").asc_nulls_last(), F.col("saleDate"), F.col("row_id")]

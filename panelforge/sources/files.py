@@ -45,7 +45,11 @@ def read_csv_union(spark: SparkSession, paths: Sequence[str], encoding: str = "u
     Files are grouped by header so that each group is one scan; groups are unioned by name.
     ``paths`` may be files or glob patterns; no match raises.
     """
-    files = sorted(paths)
+    files = []
+    for p in paths:   # patterns are expanded first: the files behind one may have different headers
+        files += [r["path"] for r in spark.read.format("binaryFile").load(p).select("path").collect()] if any(
+            c in p for c in "*?[{") else [p]
+    files = sorted(set(files))
     if not files:
         raise FileNotFoundError("no CSV files matched")
     reader = (spark.read.option("header", True).option("inferSchema", False)
