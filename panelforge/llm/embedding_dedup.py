@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -31,6 +32,7 @@ BLOCK = 1024
 SEED = 20240229
 
 
+@lru_cache(maxsize=16)
 def rotation(dim: int, bits: int, seed: int = SEED) -> np.ndarray:
     """``dim`` x ``bits`` matrix: as many random rotations of a space of ``dim`` dimensions as needed."""
     rng = np.random.default_rng([seed, dim])
