@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import csv
 import io
-from typing import Callable
+from dataclasses import dataclass, field
+from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,30 +40,45 @@ def read_series_lines(spark: SparkSession, path: str) -> tuple[list[dict], DataF
     return meta, lines.where(F.col("pos") > cutoff)
 
 
+@dataclass(frozen=True)
+class SeriesPattern:
+    """Phrases that a series' metadata hold (any case), by field; ``without`` names ones they must not hold."""
+
+    holds: Mapping[str, Sequence[str]]
+    without: Mapping[str, Sequence[str]] = field(default_factory=dict)
+
+    def fits(self, meta: Mapping) -> bool:
+        def found(field_name: str, phrase: str) -> bool:
+            return any(phrase in meta[f].lower() for f in field_name.split("/"))
+
+        return (all(found(f, p) for f, ps in self.holds.items() for p in ps)
+                and not any(found(f, p) for f, ps in self.without.items() for p in ps))
+
+
+# The phrases of each indicator's series, best pattern first ("a/b": in either field).
+CPI_SERIES = (SeriesPattern({"desc": ("all groups cpi", "index", "weighted average of eight capital cities")}),
+              SeriesPattern({"desc": ("index",)}, without={"units": ("%",)}))
+CASH_SERIES = (SeriesPattern({"title/desc": ("cash rate", "target"), "freq": ("daily",)}),
+               SeriesPattern({"title/desc": ("cash rate", "target"), "freq": ("monthly",)}),
+               SeriesPattern({"title/desc": ("cash rate", "target")}))
+
+
+def best_series(meta: list[dict], patterns: Sequence[SeriesPattern], what: str) -> int:
+    """SRC-06: column of the first series that fits the best pattern any series fits."""
+    ranked = [(rank, m["index"]) for rank, p in enumerate(patterns) for m in meta if p.fits(m)]
+    if not ranked:
+        raise RuntimeError(f"no {what} column")
+    return min(ranked)[1]
+
+
 def cpi_rule(meta: list[dict]) -> int:
-    """Pick the all-groups CPI index column, else the first index column not in percent."""
-    for m in meta:
-        d = m["desc"].lower()
-        if "all groups cpi" in d and "index" in d and "weighted average of eight capital cities" in d:
-            return m["index"]
-    for m in meta:
-        if "index" in m["desc"].lower() and "%" not in m["units"].lower():
-            return m["index"]
-    raise RuntimeError("no CPI index column")
+    """Column of the all-groups CPI index, else of the first index that is not in percent."""
+    return best_series(meta, CPI_SERIES, "CPI index")
 
 
 def cash_rule(meta: list[dict]) -> int:
-    """Pick a 'cash rate ... target' column, preferring daily over monthly frequency."""
-    cands = []
-    for m in meta:
-        text = f"{m['title'].lower()} || {m['desc'].lower()}"
-        if "cash rate" in text and "target" in text:
-            f = m["freq"].lower()
-            rank = 0 if "daily" in f else 1 if "monthly" in f else 5
-            cands.append((rank, m["index"]))
-    if not cands:
-        raise RuntimeError("no cash rate target column")
-    return sorted(cands)[0][1]
+    """Column of the cash rate target, daily before monthly before other frequencies."""
+    return best_series(meta, CASH_SERIES, "cash rate target")
 
 
 def read_series(spark: SparkSession, path: str, rule: Callable[[list[dict]], int], value_name: str,
