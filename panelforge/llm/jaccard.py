@@ -272,11 +272,13 @@ def tree_join(a: RTree, b: RTree, same: bool, folded: bool) -> Iterator[tuple[np
 
 
 def bucket_pairs(rep: np.ndarray, size: np.ndarray, counts: list[bytes], comp: np.ndarray, side: np.ndarray,
-                 same: bool, best_only: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a block pair of one bucket that the bound leaves and that lie in different components.
+                 same: bool, best_only: bool = False) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Pairs of a block pair of one bucket that the bound leaves and that lie in different components, and
+    whether there are more of them than are returned.
 
     ``best_only``: of each document only the pair with the closest bound.
     """
+    met_pairs = 0
     n, first = size >> 1, (size & 1).astype(bool)
     left, right = [], []
     closest, partner = np.full(len(rep), -1.0), np.zeros(len(rep), np.int64)
@@ -310,6 +312,7 @@ def bucket_pairs(rep: np.ndarray, size: np.ndarray, counts: list[bytes], comp: n
                 fits = (comp[x][:, None] != comp[y][None, :]) & _first_of_smaller(nx, ny, fx, fy)
                 ratio = np.where(fits, ratio, -1.0)
                 if best_only:
+                    met_pairs += int((ratio >= 0).sum())
                     for rows, others, table in ((x, y, ratio), (y, x, ratio.T)):
                         k = table.argmax(axis=1)
                         top = table[np.arange(len(rows)), k]
@@ -321,9 +324,11 @@ def bucket_pairs(rep: np.ndarray, size: np.ndarray, counts: list[bytes], comp: n
                     right.append(rep[y[j]])
     if best_only:
         found = np.flatnonzero(closest >= 0)
-        return rep[found], rep[partner[found]]
+        a, b = rep[found], rep[partner[found]]
+        returned = len(set(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist())))
+        return a, b, met_pairs > returned
     none = [np.zeros(0, np.int64)]
-    return np.concatenate(left or none), np.concatenate(right or none)
+    return np.concatenate(left or none), np.concatenate(right or none), False
 
 
 def _closest_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -335,19 +340,23 @@ def _all_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _tree_pairs(batches: Iterator[pd.DataFrame], best_only: bool) -> Iterator[pd.DataFrame]:
-    """mapInPandas functions over rows sorted by (key, bi, bj)."""
-    carry, left, right = None, [], []
+    """mapInPandas functions over rows sorted by (key, bi, bj): pairs ``a, b``, and keys (``more``) of
+    buckets that hold more pairs than were returned."""
+    carry, left, right, more = None, [], [], []
 
     def flush() -> pd.DataFrame:
         a = np.concatenate(left) if left else np.zeros(0, np.int64)
         b = np.concatenate(right) if right else np.zeros(0, np.int64)
-        left.clear()
-        right.clear()
-        return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)}).drop_duplicates()
+        met = pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)}, dtype="Int64").drop_duplicates()
+        met["more"] = pd.array([pd.NA] * len(met), "Int64")
+        keys = pd.DataFrame({"more": more}, dtype="Int64").reindex(columns=["a", "b", "more"]).astype("Int64")
+        for kept in (left, right, more):
+            kept.clear()
+        return pd.concat([met, keys], ignore_index=True)
 
     def work(rows: pd.DataFrame, cuts: np.ndarray) -> None:
         """All complete groups of a frame; ``cuts`` are their starts and the end of the last."""
-        rep, size, comp, side = (rows[c].to_numpy() for c in ("rep", "size", "comp", "side"))
+        key, rep, size, comp, side = (rows[c].to_numpy() for c in ("key", "rep", "size", "comp", "side"))
         counts, same = rows["counts"].to_numpy(), (rows["bi"] == rows["bj"]).to_numpy()
         starts, ends = cuts[:-1], cuts[1:]
         if not len(starts):
@@ -378,7 +387,9 @@ def _tree_pairs(batches: Iterator[pd.DataFrame], best_only: bool) -> Iterator[pd
                     left.append(rep[i])
                     right.append(rep[i + 1])
         for x, y in zip(starts[open_].tolist(), ends[open_].tolist()):
-            a, b = bucket_pairs(rep[x:y], size[x:y], counts[x:y], comp[x:y], side[x:y], bool(same[x]), best_only)
+            a, b, rest = bucket_pairs(rep[x:y], size[x:y], counts[x:y], comp[x:y], side[x:y], bool(same[x]), best_only)
+            if rest:
+                more.append(int(key[x]))
             if len(a):
                 left.append(a)
                 right.append(b)
@@ -390,7 +401,7 @@ def _tree_pairs(batches: Iterator[pd.DataFrame], best_only: bool) -> Iterator[pd
         cuts = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1])
         work(batch, cuts)
         carry = batch.iloc[int(cuts[-1]):]
-        if sum(map(len, left)) > 500_000:
+        if sum(map(len, left)) + len(more) > 500_000:
             yield flush()
     if carry is not None and len(carry):
         work(carry.reset_index(drop=True), np.array([0, len(carry)]))
@@ -470,13 +481,20 @@ def verified(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
     return scratch_table(met.select("a", "b", "id", "hashes").mapInPandas(_exact, "a long, b long"), name)
 
 
-def _tree_round(buckets: DataFrame, named: DataFrame, links: DataFrame, pairs, texts: DataFrame, name: str) -> DataFrame:
-    """Verified links from the R-trees of those buckets that hold several components under ``links``."""
+def _tree_round(buckets: DataFrame, named: DataFrame, links: DataFrame, pairs, texts: DataFrame,
+                name: str) -> tuple[DataFrame, DataFrame]:
+    """Verified links from the R-trees of those buckets that hold several components under ``links``, and
+    the keys of the buckets that hold more pairs than ``pairs`` returned."""
     merged = components(links).withColumnsRenamed({"id": "rep", "component": "comp"})
     placed = scratch_table(buckets.join(merged, "rep", "left").withColumn("comp", F.coalesce("comp", "rep")), name + "-placed")
+    # two documents that no size or prefix lets link need no vectors: "lo_size" and "hi_size" are theirs
+    low, high = F.shiftright("lo_size", 1), F.shiftright("hi_size", 1)
+    smaller_first = F.col("lo_size").bitwiseAND(F.lit(1)) == 1   # of equal sizes, both are
+    can_link = ((F.col("m") > 2) | (low * THRESHOLD[1] >= high * THRESHOLD[0]) & smaller_first)
     mixed = (placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"),
+                                       F.min("size").alias("lo_size"), F.max("size").alias("hi_size"),
                                        F.sum(F.xxhash64("rep", "size").cast("decimal(38,0)")).alias("members"))
-             .filter("lo < hi")
+             .filter("lo < hi").filter(can_link)
              # of buckets with the same members one is enough
              .groupBy("m", "members").agg(F.min("key").alias("key")).select("key", "m"))
     ready = (placed.join(mixed, "key")
@@ -485,7 +503,9 @@ def _tree_round(buckets: DataFrame, named: DataFrame, links: DataFrame, pairs, t
     dealt = (split_into_block_pairs(ready, ["key"], "m", "rep", BLOCK)
              .select("key", "bi", "bj", "side", "rep", "size", "comp", "counts")
              .repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj"))
-    return verified(dealt.mapInPandas(pairs, "a long, b long").distinct(), texts, name)
+    met = scratch_table(dealt.mapInPandas(pairs, "a long, b long, more long"), name + "-met")
+    found = met.filter("a is not null").select("a", "b").distinct()
+    return verified(found, texts, name), met.filter("more is not null").select(F.col("more").alias("key")).distinct()
 
 
 def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -513,9 +533,10 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             .filter("c * 10 >= n").select("a", "b"))
     first = verified(near, texts, "first-links")
     # what is left: buckets with several components, joined by their R-trees
-    closest = _tree_round(buckets, named, first, _closest_pairs, texts, "closest-links")
+    closest, unfinished = _tree_round(buckets, named, first, _closest_pairs, texts, "closest-links")
     linked = first.unionByName(closest)
-    second = _tree_round(buckets, named, linked, _all_pairs, texts, "second-links")
+    # a bucket of which every pair that the bound leaves has been verified holds nothing new
+    second, _ = _tree_round(buckets.join(unfinished, "key", "left_semi"), named, linked, _all_pairs, texts, "second-links")
 
     smallest = named.groupBy("sig").agg(F.min("doc_id").alias("rep"))
     same_set = named.select("doc_id", "sig").join(smallest, "sig").filter("doc_id > rep").select(
