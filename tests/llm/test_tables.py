@@ -202,3 +202,19 @@ def test_mix_reaches_targets_and_handles_edges(spark):
         if repeats:
             assert words.get(s, 0) == sum(r.taken for r in own)
     assert mixing.mix_sources(docs_of(spark, [])).count() == 0
+
+
+def test_bucket_says_whether_pairs_are_left():
+    import numpy as np
+
+    def met(sets):
+        sizes = np.array([len(s) * 2 + 1 for s in sets])
+        ids = np.arange(len(sets))
+        counts = [jaccard.group_counts(s) for s in sets]
+        return jaccard.bucket_pairs(ids, sizes, counts, ids, np.zeros(len(sets), int), True, True)
+
+    hashes = np.sort(np.random.default_rng(1).integers(0, 2 ** 63, 400, dtype=np.int64).astype(np.uint64))
+    a, b, more = met([hashes[:100], hashes[1:101], hashes[200:300]])
+    assert {tuple(sorted(p)) for p in zip(a.tolist(), b.tolist())} == {(0, 1)} and not more
+    a, b, more = met([hashes[k:k + 100] for k in (0, 1, 2, 3)])   # six pairs, fewer are some document's closest
+    assert more and len(set(map(frozenset, zip(a.tolist(), b.tolist())))) < 6
