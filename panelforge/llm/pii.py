@@ -49,11 +49,17 @@ _ODD = "".join(LOOKALIKES) + INVISIBLE
 _ODD_CHAR = re.compile(f"[{re.escape(_ODD)}！-～٠-٩۰-۹\U0001d400-\U0001d7ff]")
 _WORDS = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
 _ONE = rf"(?:(?:double|triple)[\x20-]+)?(?:{_WORDS})\b|[0-9]+"
-_SPELLED = re.compile(rf"(?i)(?<!\w)(?:(?:plus|\+)[\x20-]*)?(?:{_ONE})(?:(?:[\x20,-]|[\x20](?:dot|point|punto|punkt)[\x20])+"
+_DOT_WORDS = "dot|point|punto|punkt"
+_BRACKET_DOT = rf"[\[({{<][\x20]*(?:{_DOT_WORDS}|\.)[\x20]*[\])}}>]"
+_SPELLED = re.compile(rf"(?i)(?<!\w)(?:(?:plus|\+)[\x20-]*)?(?:{_ONE})(?:(?:[\x20,-]|{_BRACKET_DOT}|[\x20](?:{_DOT_WORDS})[\x20])+"
                       rf"(?:{_ONE}))+(?!\w)")
+#: What a run of spelled digits holds besides numerals and separators.
+_FORM = re.compile(rf"(?i)\b(?:{_WORDS}|plus)\b|{_BRACKET_DOT}|[\x20](?:{_DOT_WORDS})[\x20]")
+_BRACKETED = re.compile(rf"(?i){_BRACKET_DOT}")
 _SPELLED_HINT = re.compile(rf"(?i)\b(?:{_WORDS}|double|triple|plus)[\x20,-]+(?:{_WORDS}|double|triple|dot|point)\b")
-_SPOKEN = frozenset(DIGIT_WORDS) | frozenset(REPEATS) | {"plus"}
-_PART = re.compile(rf"(?i)\b(double|triple)\b|\b({_WORDS})\b|\b(plus)\b|[\x20](dot|point|punto|punkt)[\x20]|([0-9+])|(.)", re.S)
+_SPOKEN = frozenset(DIGIT_WORDS) | frozenset(_DOT_WORDS.split("|")) | {"plus"}
+_PART = re.compile(rf"(?i)\b(double|triple)\b|\b({_WORDS})\b|\b(plus)\b|([\x20](?:{_DOT_WORDS})[\x20]|{_BRACKET_DOT})|([0-9]+|\+)|(.)",
+                   re.S)
 _AT = r"[\x20]*(?:[\[({<][\x20]*(?:at|@|arroba|chez|bei)[\x20]*[\])}>])[\x20]*"
 _DOT = r"[\x20]*(?:[\[({<][\x20]*(?:dot|\.|punto|punkt|point)[\x20]*[\])}>])[\x20]*"
 _SPOKEN_DOT = r"[\x20]+(?:dot|punto|punkt|point)[\x20]+"
@@ -64,6 +70,7 @@ _DISGUISE = re.compile(
     rf"(?P<host>{_LABEL}(?:(?:\.|{_DOT}|{_SPOKEN_DOT}){_LABEL})+)")
 _DISGUISE_HINT = re.compile(r"(?i)[\[({<]\x20*(?:at|@|dot|\.|arroba|chez|bei|punto|punkt|point)\x20*[\])}>]"
                             r"|\x20(?:dot|punto|punkt|point)\x20")
+_TOKEN = re.compile(r"\w+")
 _TOP_LABEL = re.compile(r"(?<![A-Za-z0-9-])[A-Za-z]{2,}\Z")
 _DOT_FORMS = re.compile(rf"(?i){_DOT}|{_SPOKEN_DOT}")
 
@@ -99,11 +106,10 @@ def find(text: str) -> list[tuple[int, int, int]]:
 
 
 def _spells_digits(text: str) -> bool:
-    """Whether digit words follow each other; most texts fail the cheap test for any digit word."""
-    words = text.lower()
-    for mark in "-,.;:()[]\"'+":
-        words = words.replace(mark, " ")
-    return not _SPOKEN.isdisjoint(words.split()) and _SPELLED_HINT.search(text) is not None
+    """Whether a run of digits holds a digit word or a dot form; most texts fail the cheap test for any such word."""
+    if _SPOKEN.isdisjoint(_TOKEN.findall(text.casefold())) and not _BRACKETED.search(text):
+        return False
+    return any(_FORM.search(run[0]) for run in _SPELLED.finditer(text))
 
 
 class Tape:
@@ -138,6 +144,11 @@ class Tape:
         self.text, self.start, self.end, self.touched = "".join(text), start, end, bytes(touched)
 
 
+def _folded(word: str) -> str:
+    """Lower case as the patterns fold it: they also take a long s and a dotless i."""
+    return word.casefold().replace("\u0131", "i").replace("\u0307", "")
+
+
 def _plain(c: str) -> str:
     """ASCII stand-in of a look-alike, wide, styled or foreign digit character; empty if invisible."""
     if c in INVISIBLE:
@@ -145,25 +156,38 @@ def _plain(c: str) -> str:
     return LOOKALIKES.get(c) or unicodedata.normalize("NFKC", c) if not c.isdecimal() else str(unicodedata.decimal(c))
 
 
-def _digit_edits(text: str) -> list[tuple[int, int, str]]:
-    """Spelled digits inside runs of at least two digit words; separators between them stay single."""
+def _digit_edits(text: str, every: bool = True) -> list[tuple[int, int, str]]:
+    """Digits and single dots for the words, dot forms and separators of each run of spelled digits.
+
+    Without ``every``, runs of numerals alone stay as they are, and so does a comma between a numeral and a word.
+    """
     edits = []
     for run in _SPELLED.finditer(text):
+        if not every and not _FORM.search(run[0]):
+            continue
         times, pending = 1, None
+        last, commas = "", []   # kind of the last digit; commas since then
         for m in _PART.finditer(text, run.start(), run.end()):
-            double, word, plus, dot, _, _ = m.groups()
+            double, word, plus, dot, digits, _ = m.groups()
+            kind = "word" if word or double else "numeral" if digits and digits != "+" else ""
+            if kind:
+                if every or kind == last:
+                    edits += [(a, a + 1, "") for a in commas]
+                last, commas = kind, []
             if double:
-                times, pending = REPEATS[double.lower()], m.start()
+                times, pending = REPEATS[double.casefold()], m.start()
             elif word:
-                edits.append((m.start() if pending is None else pending, m.end(), DIGIT_WORDS[word.lower()] * times))
+                edits.append((m.start() if pending is None else pending, m.end(), DIGIT_WORDS[_folded(word)] * times))
                 times, pending = 1, None
             elif plus:
                 edits.append((m.start(), m.end(), "+"))
             elif dot:
                 edits.append((m.start(), m.end(), "."))
-            elif m[0] in " ,-" and pending is None:
+            elif m[0] == "," and pending is None:
+                commas.append(m.start())
+            elif m[0] in " -" and pending is None:
                 edits.append((m.start(), m.end(), ""))
-    return edits
+    return sorted(edits)
 
 
 def _disguise_edits(text: str) -> list[tuple[int, int, str]]:
@@ -187,7 +211,8 @@ def spans(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int,
     """(base spans, all spans) as (kind, start, end), ordered by kind, then start.
 
     A span from the normalised text is added when it holds a rewritten character and no base span of its
-    kind covers it. Base spans always stay.
+    kind covers it. Base spans always stay. Where digit words do not follow each other, a complete address or
+    card of the base spans is not extended by the numbers around it.
     """
     text = text or ""
     base = sorted(find(text))
@@ -199,8 +224,9 @@ def spans(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int,
     tape = Tape(text)
     if odd:
         tape.rewrite([(m.start(), m.end(), _plain(m[0])) for m in _ODD_CHAR.finditer(text)])
+    every = bool(odd) or spelled and _SPELLED_HINT.search(text) is not None
     if spelled or odd:
-        tape.rewrite(_digit_edits(tape.text))
+        tape.rewrite(_digit_edits(tape.text, every))
     tape.rewrite(_disguise_edits(tape.text))
     if not any(tape.touched) and len(tape.text) == len(text):
         return base, base
@@ -208,7 +234,9 @@ def spans(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int,
     for kind, a, b in find(tape.text):
         s, e = tape.start[a], tape.end[b - 1]
         rewritten = any(tape.touched[a:b]) or e - s != b - a
-        if rewritten and not any(k == kind and s >= x and e <= y for k, x, y in base):
+        if not rewritten or any(k == kind and s >= x and e <= y for k, x, y in base):
+            continue
+        if every or KINDS[kind] not in ("ip", "card") or not any(k == kind and s <= x and y <= e for k, x, y in base):
             found.add((kind, s, e))
     return base, sorted(found)
 

@@ -85,6 +85,27 @@ def test_disguised_data_maps_back_to_source(text, kind, found):
     assert (kind, found) in [(pii.KINDS[k], text[a:b]) for k, a, b in every]
 
 
+@pytest.mark.parametrize("text,kind,found", [
+    ("to 192 dot 168 dot 0 dot 1 now", "ip", "192 dot 168 dot 0 dot 1"),
+    ("to 192[.]168[dot]0 (punto) 1 now", "ip", "192[.]168[dot]0 (punto) 1"),
+    ("a uno punto dos punto tres punto cuatro!", "ip", "uno punto dos punto tres punto cuatro"),
+    ("an eins Punkt 2 Punkt drei Punkt 4", "ip", "eins Punkt 2 Punkt drei Punkt 4"),
+    ("call +1 four 1 five 5 five 0 one 2 three 4", "phone", "+1 four 1 five 5 five 0 one 2 three 4"),
+    ("pay 4111 one 111 1111 one 111 today", "card", "4111 one 111 1111 one 111"),
+    ("to \u017fix dot 1 dot 2 dot three", "ip", "\u017fix dot 1 dot 2 dot three"),
+])
+def test_runs_that_mix_numerals_words_and_dots(text, kind, found):
+    _, every = pii.spans(text)
+    assert every == [(pii.KINDS.index(kind), text.index(found), text.index(found) + len(found))]
+
+
+@pytest.mark.parametrize("text,found", [("host 10.0.0.1, one of two", "10.0.0.1"), ("10.0.0.1 two times", "10.0.0.1"),
+                                        ("+1 415 555 0123, one of us", "+1 415 555 0123")])
+def test_words_after_a_plain_find_do_not_extend_it(text, found):
+    base, every = pii.spans(text)
+    assert base == every and [text[a:b] for _, a, b in every] == [found]
+
+
 @pytest.mark.parametrize("text", ["look at example.com today", "one two three go", "at the end dot", "12 at 5 dot 3", ""])
 def test_clean_texts_stay_clean(text):
     assert pii.spans(text) == ([], [])
