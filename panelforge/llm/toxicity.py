@@ -4,7 +4,8 @@
   texts (binomial tail, corrected for the number of candidates).
 * Matching: the trie and the Levenshtein automata of all its entries are followed together, as one
   deterministic automaton whose states (trie node, edits so far) are built when first reached. Long entries
-  match with one edit, very long ones with two; word beginnings match exactly.
+  match with one edit, very long ones with two; word beginnings match exactly, the learned words that begin with
+  them also with edits.
 * Context: a hit inside quotation marks, or shortly after a word of mention, counts as quotation; other
   hits, their density and direct address count as abuse. A logistic model over these sums gives the score.
 """
@@ -57,6 +58,7 @@ class TermAutomaton:
         self.stem: list[int] = [-1]
         self.room = [0]   # most edits allowed to any word at or below a node
         self.size = len(words) + len(stems)
+        self.n_words = len(words)
         for k, w in enumerate(words):
             self._insert(w, k, (len(w) >= ONE_EDIT_FROM) + (len(w) >= TWO_EDITS_FROM), self.word)
         for k, w in enumerate(stems):
@@ -105,7 +107,8 @@ class TermAutomaton:
             self.moves.append({})
             hits = [(e, self.word[n]) for n, e in key if n >= 0 and self.word[n] >= 0 and e <= self.allowed[self.word[n]]]
             hits += [(0, -n - 1) for n, e in key if n < 0]   # a stem that has been passed
-            self.accept.append(min(hits)[::-1] if hits else None)
+            # fewest edits first; a beginning before a word that it covers
+            self.accept.append(min(hits, key=lambda h: (h[0], h[1] < self.n_words, h[1]))[::-1] if hits else None)
         return found
 
     def _step(self, state: int, c: str) -> int:
@@ -250,6 +253,13 @@ def _significant(stats: list, positives: int, negatives: int, candidates: int) -
     return sorted(out, key=lambda t: (-t[2], t[0]))
 
 
+def _beginnings(words: str, length: int):
+    """The first ``length`` letters of longer words, marked by a star."""
+    # one parameter a function: Spark passes the position as a second one
+    return F.transform(F.filter(words, lambda w: F.length(w) > length),
+                       lambda w: F.concat(F.substring(w, 1, length), F.lit("*")))
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_ROWS_PER_CLASS,
                  id_col: str = "doc_id", text_col: str = "text") -> dict:
     """Model dict from labelled, not held-out rows (at most ``max_per_class`` a class).
@@ -262,9 +272,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_RO
     positives, negatives = counts.get(1, 0), counts.get(0, 0)
     words = F.filter(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))),
                      lambda w: F.length(w).between(3, 30))
-    stems = F.flatten(F.array(*[F.transform(F.filter("words", lambda w, n=n: F.length(w) > n),
-                                            lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("*")))
-                                for n in STEM_LENGTHS]))
+    stems = F.flatten(F.array(*[_beginnings("words", n) for n in STEM_LENGTHS]))
     # copies of one text count once: equal smallest hash of two following words, per class
     following = F.zip_with("words", F.slice("words", F.lit(2), F.greatest(F.size("words"), F.lit(1))),
                            lambda a, b: F.xxhash64(a, b))
@@ -287,7 +295,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_RO
         if spread[s] != 1 and not any(s.startswith(k) for k, _ in kept_stems):
             kept_stems.append((s, w))
     heads = tuple(s for s, _ in kept_stems)
-    model = {"words": [(t, w) for t, w, _ in found if not t.endswith("*") and not t.startswith(heads or ("\0",))][:MAX_TERMS],
+    whole = [(t, w) for t, w, _ in found if not t.endswith("*")]
+    covered = [(t, w) for t, w in whole if t.startswith(heads or ("\0",))]   # match exactly by a beginning, else with edits
+    model = {"words": [x for x in whole if not x[0].startswith(heads or ("\0",))][:MAX_TERMS] + covered,
              "stems": kept_stems[:MAX_TERMS], "rows": (positives, negatives)}
     learned = {t for t, _ in model["words"]}
     known = {r["term"]: (r["p"], r["n"]) for r in counted.filter(F.col("term").isin(*SEEDS)).collect()}

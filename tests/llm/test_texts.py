@@ -238,6 +238,28 @@ def test_toxicity_learns_quotes_and_edges(spark):
     assert seeded.score("you worthless idiot, what a moron") > 0.7 > seeded.score("a quiet walk") == seeded.score(None)
 
 
+def test_misspelled_inflected_terms_are_hit(spark):
+    rng = random.Random(6)
+    plain = "river house walks slowly under bright morning light while people talk about bread".split()
+    forms = ["vrakkolo", "vrakkola", "vrakkolen"]
+    rows, labels = [], []
+    for i in range(300):
+        words = rng.choices(plain, k=40)
+        if i % 3 == 0:
+            for _ in range(3):
+                words.insert(rng.randrange(40), rng.choice(forms))
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i % 3 == 0)))
+    model = toxicity.fit_toxicity(docs_of(spark, rows), labels_of(spark, labels, "toxic"))
+    assert [s for s, _ in model["stems"]] == ["vrak"] and set(forms) <= {w for w, _ in model["words"]}
+    scorer = toxicity.Scorer(model)
+    assert scorer.hit("vrakkolo") == (len(model["words"]), 0) == scorer.hit("vrakkolissimo")
+    for term in ("vrzkkolo", "vakkola", "vrrakkolen"):   # misspelled inside the beginning
+        assert scorer.hit(term)[1] == 1
+    assert scorer.features("vrzkkolo vakkola")[1] > 0
+    assert scorer.score("you vrzkkolo and you vakkola") > scorer.score("you walk and you talk")
+
+
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body><div id="cookie-notice">We use cookies here.</div>
 <header><a href=/>Home</a><h2>Site</h2></header><nav><ul><li><a href=x>One</a></ul></nav>
 <div class="content"><h1>My  title</h1><p>First para &amp; more text here that is long enough to count as a paragraph.
