@@ -184,6 +184,24 @@ def set_01(spark, sf_dir):
     return a.unionByName(b, allowMissingColumns=True)
 
 
+_SEGMENT_PARTS = {"BUILDING": ("a", "salePrice"), "MACHINERY": ("b", "landSizeM2"), "AUTOMOBILE": ("c", "yearBuilt"),
+                  "FURNITURE": ("d", "salePrice"), "HOUSEHOLD": ("e", "landSizeM2")}
+
+
+@query("set_01_union_by_name_all_segments", sales_with() + " UNION ALL ".join(
+    "SELECT row_id, " + ", ".join(c if c == col else f"CAST(NULL AS {t}) AS {c}" for c, t in
+                                  (("salePrice", "DOUBLE"), ("landSizeM2", "DOUBLE"), ("yearBuilt", "INTEGER")))
+    + f", '{part}' AS part FROM sales WHERE propertyType = '{segment}'" for segment, (part, col) in _SEGMENT_PARTS.items()))
+def set_01_all(spark, sf_dir):
+    s = sales(spark, sf_dir)
+    parts = [s.where(F.col("propertyType") == segment).select("row_id", col, F.lit(part).alias("part"))
+             for segment, (part, col) in _SEGMENT_PARTS.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out.select("row_id", "salePrice", "landSizeM2", "yearBuilt", "part")
+
+
 @query("set_02_jon_06_distinct_address_lookup", sales_with(
     "a AS (SELECT DISTINCT street, suburb, region FROM sales)",
     "lk AS (SELECT DISTINCT street, suburb, CAST(n_regionkey * 1.5 - 37.0 AS DOUBLE) AS latitude, CAST(n_nationkey * 0.5 + 144.0 AS DOUBLE) AS longitude FROM sales JOIN nation ON suburb = n_name)") + """
@@ -215,6 +233,23 @@ def set_03(spark, sf_dir):
     return anti_by_keys(expected, seen, ["o"]).select(ordinal_to_year_month(F.col("o")).alias("missing_month"))
 
 
+_GROUP_MONTHS = sales_with(f"""seen AS (SELECT DISTINCT suburb, propertyType, street, {SALES_T} AS o FROM sales),
+b AS (SELECT suburb, propertyType, street, min(o) AS lo, max(o) AS hi FROM seen GROUP BY ALL),
+ex AS (SELECT suburb, propertyType, street, unnest(range(lo, hi + 1)) AS o FROM b)""")
+
+
+@query("set_03_jon_10_expected_minus_seen_months_all_groups", _GROUP_MONTHS + """
+SELECT suburb, propertyType, street, CAST((o // 12) * 100 + o % 12 + 1 AS INTEGER) AS missing_month
+FROM ex ANTI JOIN seen USING (suburb, propertyType, street, o)""")
+def set_03_all(spark, sf_dir):
+    from panelforge.functions.dates import month_ordinal, ordinal_to_year_month
+    keys = ["suburb", "propertyType", "street"]
+    seen = sales(spark, sf_dir).select(*keys, month_ordinal("saleYearMonth").alias("o")).distinct()
+    expected = seen.groupBy(*keys).agg(F.min("o").alias("lo"), F.max("o").alias("hi")).select(
+        *keys, F.explode(F.sequence("lo", "hi")).alias("o"))
+    return anti_by_keys(expected, seen, [*keys, "o"]).select(*keys, ordinal_to_year_month(F.col("o")).alias("missing_month"))
+
+
 @query("set_04_jon_09_active_groups", sales_with("""v AS (SELECT suburb, propertyType FROM sales GROUP BY ALL
   HAVING count(*) >= 120 AND count(DISTINCT saleYearMonth) >= 60)""") + """
 SELECT row_id FROM sales SEMI JOIN v USING (suburb, propertyType)""")

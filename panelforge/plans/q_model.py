@@ -180,6 +180,33 @@ def jon_08(spark, sf_dir):
     return hydrate(req, ref, ["landSizeM2", "yearBuilt"]).select("request_id", "landSizeM2", "yearBuilt")
 
 
+#: The store is all sales; its last row per (suburb, type, month) stands for the month.
+_ASOF_ALL_SQL = sales_with("""req AS (SELECT row_id AS request_id, lower(suburb) AS suburb, saleYearMonth AS ym,
+   CASE WHEN row_id % 10 = 0 THEN 'NOPE' ELSE propertyType END AS ptype,
+   CASE WHEN row_id % 3 = 0 THEN NULL ELSE landSizeM2 END AS landSizeM2 FROM sales),
+st AS (SELECT row_id, upper(suburb) AS su, propertyType, saleYearMonth, salePrice, landSizeM2, yearBuilt FROM sales
+   QUALIFY row_number() OVER (PARTITION BY upper(suburb), propertyType, saleYearMonth ORDER BY row_id DESC) = 1),
+has AS (SELECT DISTINCT su, propertyType FROM st),
+rq AS (SELECT r.*, upper(trim(r.suburb)) AS su, EXISTS (SELECT 1 FROM has h WHERE h.su = upper(trim(r.suburb)) AND h.propertyType = r.ptype) AS use_f FROM req r),
+ref AS (SELECT rq.request_id, st.salePrice, st.landSizeM2, st.yearBuilt FROM rq JOIN st ON rq.su = st.su
+   WHERE NOT rq.use_f OR st.propertyType = rq.ptype
+   QUALIFY row_number() OVER (PARTITION BY rq.request_id ORDER BY (st.saleYearMonth <= rq.ym) DESC, st.saleYearMonth DESC, st.row_id DESC) = 1)""")
+
+
+@query("jon_07_asof_reference_lookup_all_sales", _ASOF_ALL_SQL + "SELECT request_id, salePrice, landSizeM2, yearBuilt FROM ref")
+def jon_07_all(spark, sf_dir):
+    return asof_reference(_requests(spark, sf_dir), sales(spark, sf_dir), _REF_COLS, filters=["propertyType"])
+
+
+@query("jon_08_hydrate_null_cells_all_sales", _ASOF_ALL_SQL + """
+SELECT req.request_id, coalesce(req.landSizeM2, ref.landSizeM2) AS landSizeM2, ref.yearBuilt AS yearBuilt
+FROM req LEFT JOIN ref USING (request_id)""")
+def jon_08_all(spark, sf_dir):
+    req = _requests(spark, sf_dir)
+    ref = asof_reference(req, sales(spark, sf_dir), _REF_COLS, filters=["propertyType"])
+    return hydrate(req, ref, ["landSizeM2", "yearBuilt"]).select("request_id", "landSizeM2", "yearBuilt")
+
+
 @query("pre_03_04_delta_to_price_interval", sales_with("sd AS (SELECT stddev_samp(salePrice) / 1e6 AS rmse FROM sales)") + f"""
 SELECT row_id, {R('coalesce(landSizeM2, yearBuilt * 100.0) * (1 + (row_id % 21 - 10) / 100.0)', 4)} AS price,
   {R('coalesce(landSizeM2, yearBuilt * 100.0) * (1 + (row_id % 21 - 10) / 100.0) - 1.96 * rmse * coalesce(landSizeM2, yearBuilt * 100.0)', 4)} AS lower,

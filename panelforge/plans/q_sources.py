@@ -91,6 +91,20 @@ def jon_01_02(spark, sf_dir):
                     "region_name", "n_right", "price_right")
 
 
+@query("jon_01_02_outer_join_suffixes_validation_all_rows", sales_with("""a AS (SELECT region, count(*) AS n, avg(salePrice) AS price FROM sales GROUP BY 1),
+b AS (SELECT r_name AS region_name, CAST(r_regionkey AS BIGINT) AS n, CAST(r_regionkey * 1000.0 AS DOUBLE) AS price FROM region)""") + f"""
+SELECT coalesce(a.region, b.region_name) AS region, a.n AS n, {R('a.price', 4)} AS price, b.region_name, b.n AS n_right, b.price AS price_right
+FROM a FULL OUTER JOIN b ON a.region IS NOT DISTINCT FROM b.region_name""")
+def jon_01_02_all(spark, sf_dir):
+    s = sales(spark, sf_dir).groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.avg("salePrice").alias("price"))
+    r = read_table(spark, sf_dir, "region").select(
+        F.col("r_name").alias("region_name"), F.col("r_regionkey").cast("bigint").alias("n"),
+        (F.col("r_regionkey") * 1000.0).alias("price"))
+    j = join_step(s, r, on=[{"left": "region", "right": "region_name"}], how="outer", validate="one_to_one")
+    return j.select(F.coalesce("region", "region_name").alias("region"), "n", rnd("price", 4).alias("price"),
+                    "region_name", "n_right", "price_right")
+
+
 @query("jon_05_aggregate_join_back", sales_with("g AS (SELECT street, propertyType, max(salePrice) AS mx FROM sales GROUP BY ALL)") + """
 SELECT row_id, mx AS street_type_max, salePrice AS existing FROM sales JOIN g USING (street, propertyType)""")
 def jon_05(spark, sf_dir):
