@@ -32,3 +32,17 @@ def test_asof_store_holds_every_street_and_join_every_region(spark):
     joined = E.queries()["jon_01_02_outer_join_suffixes_validation_all_rows"](spark, SF)
     row = joined.agg(F.sum("n"), F.count("region_name")).first()
     assert tuple(row) == (s.count(), 5)
+
+
+def test_elimination_takes_all_rows(spark, monkeypatch):
+    from panelforge.plans import q_select
+    seen = {}
+
+    def capture(df, *args, **kwargs):
+        seen.update(kwargs["elimination"], rows=df.count())
+        raise InterruptedError
+
+    monkeypatch.setattr(q_select.S, "select_features", capture)
+    with pytest.raises(InterruptedError):
+        E.queries()["fse_01_08_smp_01_selection_with_elimination"](spark, SF)
+    assert not seen.get("sample_rows") and seen["rows"] == q_select.lines(spark, SF).count()
