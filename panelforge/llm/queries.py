@@ -5,13 +5,13 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelforge.llm import embedding_dedup, html_text, jaccard, mixing, pii, quality, sentencepieces, token_counts, topk, toxicity
+from panelforge.llm import embedding_dedup, html_text, jaccard, mixing, pii, quality, sentencepieces, token_alignment, token_counts, topk, toxicity
 from panelforge.llm.common import table
 from panelforge.llm.sql import MIX_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {"op4_source_mix": MIX_SQL}
-PIECE_MODEL = "piece_bpe_32k.model"
+PIECE_MODEL, BYTE_MODEL = "piece_bpe_32k.model", "byte_bpe_50k.json"
 
 
 def _register(fn: Callable[[SparkSession, str], DataFrame]):
@@ -76,3 +76,9 @@ def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_main_text(table(spark, sf_dir, "pages"))
+
+
+@_register
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_tokenizers(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_MODEL),
+                                            tokenizer_path(PIECE_MODEL))
