@@ -75,3 +75,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
         ids = part if ids is None else ids.unionByName(part)
     texts = docs.select(F.col(id_col).alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return texts.join(F.broadcast(ids.select("i", "y")), "i").select("text", "y")
+
+
+def drop_scratch(*tables: DataFrame) -> None:
+    """Delete the files of tables made by ``scratch_table`` that nothing will read any more."""
+    for table in tables:
+        files = table.inputFiles()
+        if not files:
+            continue
+        context = table.sparkSession.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        if folder.getParent().getName() == "panelforge-llm":
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)

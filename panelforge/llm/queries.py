@@ -5,7 +5,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelforge.llm import embedding_dedup, html_text, jaccard, mixing, pii, quality, sentencepieces, token_alignment, token_counts, topk, toxicity
+from panelforge.llm import embedding_dedup, html_text, jaccard, mixing, pii, quality, sentencepieces, substring_dedup, token_alignment, token_counts, topk, toxicity, whitening
 from panelforge.llm.common import table
 from panelforge.llm.sql import MIX_SQL
 
@@ -82,3 +82,13 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align_tokenizers(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_MODEL),
                                             tokenizer_path(PIECE_MODEL))
+
+
+@_register
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@_register
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
