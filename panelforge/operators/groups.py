@@ -61,18 +61,17 @@ def grouped(df: DataFrame, keys: Sequence[str], specs: Sequence[tuple[str, str,
             extra: Sequence[Column] = ()) -> DataFrame:
     """One row per group with aggregates given as (name, column, alias), plus extra Columns.
 
-    Medians are exact but not gathered per group: ``group_quantiles`` checks the largest
-    group and either runs one exact aggregate (bounded groups) or a sketch-bracket method.
+    Medians are exact but never gathered per group (``quantiles``): all of them come from one sliced table.
     """
-    from panelforge.operators.quantiles import _ns_join, group_quantiles, largest_group
+    from panelforge.operators.quantiles import grouped_quantiles
+    from panelforge.operators.slices import null_safe_join
     keys = list(keys)
     plain = [F.count(F.lit(1)).alias("__rows")] + [agg_expr(a, c).alias(o) for a, c, o in specs
                                                     if a.lower() != "median"] + list(extra)
     out = df.groupBy(*keys).agg(*plain)
-    medians = [(c, o) for a, c, o in specs if a.lower() == "median"]
-    bound = largest_group(df, keys) if len(medians) > 1 else None   # one size check for all medians
-    for c, o in medians:
-        out = _ns_join(out, group_quantiles(df, keys, c, [0.5], [o], largest=bound), keys, "left")
+    medians = {o: (c, 0.5) for a, c, o in specs if a.lower() == "median"}
+    if medians:
+        out = null_safe_join(out, grouped_quantiles(df, keys, medians), keys, "left")
     return out.drop("__rows")
 
 

@@ -216,18 +216,10 @@ def top_drivers(scores: DataFrame, top_n: int = 10, theme: str | None = None) ->
     return s.orderBy(F.desc("best_score"), "feature").limit(top_n)
 
 
-def ordered_positions(df: DataFrame, keys: Sequence[str], order: Sequence[Column], bucket: Column,
-                      output: str = "pos") -> DataFrame:
-    """SRT-01: 1-based row position within each group in a multi-key order, without a
-    group-sized task: ``bucket`` must be non-decreasing along ``order`` (a value range of the
-    leading sort key). Offsets come from the small (group, bucket) count table; row numbers
-    from windows partitioned by (group, bucket)."""
-    from panelforge.operators.quantiles import _ns_join
-    keys = list(keys)
-    d = df.withColumn("__bkt", bucket)
-    counts = d.groupBy(*keys, "__bkt").agg(F.count(F.lit(1)).alias("__c"))
-    wo = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("__bkt")
-    offs = counts.withColumn("__off", F.coalesce(F.sum("__c").over(wo.rowsBetween(Window.unboundedPreceding, -1)),
-                                                 F.lit(0))).drop("__c")
-    rn = F.row_number().over(Window.partitionBy(*keys, "__bkt").orderBy(*order))
-    return _ns_join(d, offs, keys + ["__bkt"]).withColumn(output, (F.col("__off") + rn).cast("bigint")).drop("__bkt", "__off")
+def ordered_positions(df: DataFrame, keys: Sequence[str], order: Sequence[Column], output: str = "pos") -> DataFrame:
+    """SRT-01: 1-based row position within each group in a multi-key order, whatever the keys' types.
+
+    Rows are range-sliced by (group, order) and numbered inside their slice; counts of the slices before are added.
+    """
+    from panelforge.operators.slices import with_positions
+    return with_positions(df, list(keys), order, output).withColumn(output, F.col(output) + 1)

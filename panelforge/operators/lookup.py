@@ -46,7 +46,7 @@ def _asof(requests: DataFrame, table: DataFrame, keys: Sequence[str], month_col:
     reference with an equi-join on (key, month), so many requests for one hot key never
     share a window task.
     """
-    from panelforge.operators.quantiles import _ns_join
+    from panelforge.operators.slices import null_safe_join as _ns_join
     ptype = table.schema["__p"].dataType
     rm = requests.select(*keys, F.col(req_month).alias("__m")).distinct()
     u = rm.select(*keys, "__m", F.lit(None).cast(ptype).alias("__p"), F.lit(1).alias("__is_req")).unionByName(

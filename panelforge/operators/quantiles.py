@@ -1,182 +1,88 @@
-"""Exact quantiles of whole columns in two distributed passes, without gathering a column.
+"""Exact quantiles of columns and groups, inside Spark and in one way for every size.
 
-``percentile`` (exact) keeps every distinct value in one final hash map, which does not survive
-100 TB. Instead:
+1. values are counted per (group, value) with map-side combine, so ties collapse into counts;
+2. the counts are range-sliced by (group, value): a group of any size spreads over many tasks;
+3. the counts of each (group, slice), summed over the slices before, tell which slice holds a wanted rank;
+4. only those slices are read again: running counts inside the slice give the value at the rank.
 
-1. one aggregate pass: non-NULL counts and ``percentile_approx`` sketches (mergeable partial
-   aggregates) at p +- pad for every requested p, for all columns at once;
-2. one grouped pass: each value is tagged with the brackets it falls in (or as 'below' a
-   bracket) and counted per (bracket, value) with map-side combine, so only the distinct values
-   inside the narrow brackets (plus one 'below' counter each) reach the driver. Ties collapse
-   into counts, so a hot value cannot blow up the result.
-
-The exact order statistics are read from the cumulative counts. If a bracket misses (sketch
-bound violated), that column falls back to the exact ``percentile`` aggregate.
+One row per group and quantile comes out; nothing is gathered, estimated or retried.
 
 Interpolation: h = p * (n - 1); value = s[floor(h)] + (h - floor(h)) * (s[ceil(h)] - s[floor(h)]).
 """
 from __future__ import annotations
 
-import math
 from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 100_000            # sketch rank error <= n / ACCURACY
-PAD = 4.0 / ACCURACY          # bracket half-width in probability
-
+from panelforge.operators.slices import SLICE, null_safe_join, slice_counts, sliced
 
-def _brackets(probs: Sequence[float]) -> list[float]:
-    return sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-PAD, PAD)})
 
+def value_counts(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """``keys, __c, __v, __n``: how often each non-NULL value of column number ``__c`` occurs in a group."""
+    values = F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)])
+    if len(columns) == 1:
+        long = df.select(*keys, F.lit(0).alias("__c"), F.col(columns[0]).cast("double").alias("__v"))
+    else:
+        long = df.select(*keys, F.explode(values).alias("__x")).select(*keys, F.col("__x.c").alias("__c"), F.col("__x.v").alias("__v"))
+    return long.where(F.col("__v").isNotNull()).groupBy(*keys, "__c", "__v").agg(F.count(F.lit(1)).alias("__n"))
 
-def quantiles_of(df: DataFrame, spec: Mapping[str, Sequence[float]]) -> dict[str, list[float | None]]:
-    """Exact interpolated quantiles for several columns: {column: [q(p) for p in probs]}."""
-    cols = list(spec)
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"n{i}"), F.percentile_approx(x, _brackets(spec[c]), ACCURACY).alias(f"a{i}")]
-    row = df.agg(*aggs).first()
-    tags, plan = [], {}
-    for i, c in enumerate(cols):
-        n = row[f"n{i}"]
-        if not n:
-            continue
-        edges = dict(zip(_brackets(spec[c]), row[f"a{i}"]))
-        x = F.col(c).cast("double")
-        for j, p in enumerate(spec[c]):
-            lo, hi = edges[min(1.0, max(0.0, p - PAD))], edges[min(1.0, max(0.0, p + PAD))]
-            bid = f"{i}:{j}"
-            plan[bid] = (c, p, n, lo, hi)
-            tags.append(F.when(x < lo, F.struct(F.lit(bid).alias("b"), F.lit(None).cast("double").alias("v")))
-                         .when(x <= hi, F.struct(F.lit(bid).alias("b"), x.alias("v"))))
-    out: dict[str, list[float | None]] = {c: [None] * len(spec[c]) for c in cols}
-    if not tags:
-        return out
-    tagged = df.select(F.explode(F.filter(F.array(*tags), lambda t: t.isNotNull())).alias("t"))
-    hist = tagged.groupBy(F.col("t.b").alias("b"), F.col("t.v").alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    rows: dict[str, list] = {}
-    for r in hist.collect():                     # distinct values inside the brackets only
-        rows.setdefault(r["b"], []).append((r["v"], r["c"]))
-    failed = set()
-    for bid, (c, p, n, lo, hi) in plan.items():
-        entries = rows.get(bid, [])
-        below = sum(cnt for v, cnt in entries if v is None)
-        inside = sorted((v, cnt) for v, cnt in entries if v is not None)
-        h = p * (n - 1)
-        ks = (math.floor(h), math.ceil(h))
-
-        def stat(k):
-            pos = below
-            for v, cnt in inside:
-                if k < pos + cnt:
-                    return v if k >= pos else None
-                pos += cnt
-            return None
-        a, b = stat(ks[0] if ks[0] >= below else -1), stat(ks[1])
-        if a is None or b is None:
-            failed.add(c)
-            continue
-        out[c][spec[c].index(p)] = a + (h - ks[0]) * (b - a) if h != ks[0] else a
-    for c in failed:                               # sketch guarantee missed: exact for this column
-        x = F.col(c).cast("double")
-        r = df.select(F.percentile(x, F.array(*[F.lit(float(p)) for p in spec[c]]))).first()[0]
-        out[c] = [float(v) for v in r] if r else [None] * len(spec[c])
-    return out
-
-
-def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> list[float | None]:
-    return quantiles_of(df, {column: list(probs)})[column]
 
+def ranked_values(df: DataFrame, keys: Sequence[str], wanted: Sequence[tuple[str, float]]) -> DataFrame:
+    """``keys, __w, __q``: per group the exact quantile ``wanted[__w]`` = (column, probability).
 
-def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
-    res = quantiles_of(df, {c: [0.5] for c in columns})
-    return {c: v[0] for c, v in res.items()}
-
-
-# --- grouped and framed order statistics ---------------------------------------------------------
-GROUP_ACCURACY = 10_000       # percentile_approx accuracy for per-group / per-frame sketches
-GROUP_PAD = 3.0 / GROUP_ACCURACY
-# Largest group whose values one exact ``percentile`` aggregate may hold (values per task).
-EXACT_GROUP_LIMIT = 1_000_000
-
-
-def _ns_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    ren = {k: f"__r_{k}" for k in keys}
-    r = right.withColumnsRenamed(ren)
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(r[ren[k]])
-        cond = c if cond is None else cond & c
-    return left.join(r, cond, how).drop(*ren.values())
+    Groups without a value of the column have no row for it. NULL keys form a group.
+    """
+    keys = list(keys)
+    columns = list(dict.fromkeys(c for c, _ in wanted))
+    part = [*keys, "__c"]
+    table = sliced(value_counts(df, keys, columns), part, ["__v"], "quantiles")
+    places = slice_counts(table, part, "__n")
+    asked = []
+    for w, (c, p) in enumerate(wanted):
+        h = F.lit(float(p)) * (F.col("__total") - 1)
+        for side, rank in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            asked.append(F.when(F.col("__c") == columns.index(c), F.struct(
+                F.lit(w).alias("w"), F.lit(side == "hi").alias("hi"), (rank - F.col("__before")).alias("r"), (h - F.floor(h)).alias("f"))))
+    asked = F.filter(F.array(*asked), lambda a: a.isNotNull() & (a["r"] >= 0) & (a["r"] < F.col("__rows")))
+    places = places.select(*part, SLICE, asked.alias("__asked")).where(F.size("__asked") > 0)
+    inside = Window.partitionBy(*part, SLICE).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    held = null_safe_join(table, places, [*part, SLICE]).withColumn("__upto", F.sum("__n").over(inside))
+    hits = held.select(*keys, "__v", F.explode(F.filter(
+        "__asked", lambda a: (a["r"] < F.col("__upto")) & (a["r"] >= F.col("__upto") - F.col("__n")))).alias("__a"))
+    ends = hits.groupBy(*keys, F.col("__a.w").alias("__w")).agg(
+        F.max(F.when(~F.col("__a.hi"), F.col("__v"))).alias("__lo"), F.max(F.when(F.col("__a.hi"), F.col("__v"))).alias("__hi"),
+        F.max("__a.f").alias("__f"))
+    step = F.when(F.col("__f") == 0, F.lit(0.0)).otherwise(F.col("__f") * (F.col("__hi") - F.col("__lo")))
+    return ends.select(*keys, "__w", (F.col("__lo") + step).alias("__q"))
+
+
+def grouped_quantiles(df: DataFrame, keys: Sequence[str], outputs: Mapping[str, tuple[str, float]]) -> DataFrame:
+    """One row per group that has a value: an exact interpolated quantile per output name -> (column, probability)."""
+    names = list(outputs)
+    long = ranked_values(df, keys, [outputs[n] for n in names])
+    return long.groupBy(*keys).agg(*[F.max(F.when(F.col("__w") == i, F.col("__q"))).alias(n) for i, n in enumerate(names)])
 
 
-def _pick(hist: DataFrame, part: Sequence[str], ranks: Mapping[str, "F.Column"]) -> DataFrame:
-    """From (part..., v, c) histograms (v NULL = count below the bracket) pick values at ranks.
+def group_quantiles(df: DataFrame, keys: Sequence[str], column: str, probs: Sequence[float],
+                    names: Sequence[str] | None = None) -> DataFrame:
+    """Exact interpolated quantiles of one column per group: (keys..., q0, q1, ... or ``names``)."""
+    names = list(names or [f"q{i}" for i in range(len(probs))])
+    return grouped_quantiles(df, keys, {n: (column, p) for n, p in zip(names, probs)})
 
-    ``ranks`` maps output name -> 0-based rank expression (may use columns of ``part``).
-    A rank outside the bracket yields NULL (the caller falls back for those partitions).
-    """
-    w = Window.partitionBy(*part)
-    h = hist.withColumn("__below", F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("c"))).over(w), F.lit(0)))
-    h = h.where(F.col("v").isNotNull())
-    h = h.withColumn("__cum", F.sum("c").over(w.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
-    lo = F.col("__below") + F.col("__cum") - F.col("c")
-    hi = F.col("__below") + F.col("__cum")
-    return h.groupBy(*part).agg(*[F.max(F.when((lo <= k) & (k < hi), F.col("v"))).alias(name)
-                                  for name, k in ranks.items()])
 
+def quantiles_of(df: DataFrame, spec: Mapping[str, Sequence[float]]) -> dict[str, list[float | None]]:
+    """Exact interpolated quantiles of whole columns, {column: [q(p) for p in probs]}; one row each comes to the driver."""
+    wanted = [(c, p) for c, probs in spec.items() for p in probs]
+    found = {r["__w"]: r["__q"] for r in ranked_values(df, [], wanted).collect()} if wanted else {}
+    values = iter(range(len(wanted)))
+    return {c: [found.get(next(values)) for _ in probs] for c, probs in spec.items()}
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows in the largest group (one aggregate): the size bound for exact per-group aggregates."""
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
 
+def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> list[float | None]:
+    return quantiles_of(df, {column: list(probs)})[column]
 
-def group_quantiles(df: DataFrame, keys: Sequence[str], column: str, probs: Sequence[float],
-                    names: Sequence[str] | None = None, largest: int | None = None) -> DataFrame:
-    """Exact interpolated quantiles per group: (keys..., q columns). NULL keys form a group.
 
-    Pass 1: per-group count and ``percentile_approx`` brackets (partial aggregates).
-    Pass 2: rows tagged against their group's brackets, counted per (group, bracket, value)
-    with map-side combine. Pass 3: ranks read from cumulative counts inside each bracket.
-    Groups whose bracket misses fall back to the exact aggregate (for those groups only).
-    """
-    keys = list(keys)
-    names = list(names or [f"q{i}" for i in range(len(probs))])
-    x = F.col(column).cast("double")
-    base = df.select(*keys, x.alias("__x")).where(F.col("__x").isNotNull())
-    # size check: when the largest group is provably small, one exact aggregate is cheapest
-    if largest is None:
-        largest = largest_group(base, keys)
-    if largest <= EXACT_GROUP_LIMIT:
-        e = base.groupBy(*keys).agg(F.percentile("__x", F.array(*[F.lit(float(p)) for p in probs])).alias("__e"))
-        return e.select(*keys, *[F.col("__e")[j].alias(n) for j, n in enumerate(names)])
-    ps = []
-    for p in probs:
-        ps += [max(0.0, p - GROUP_PAD), min(1.0, p + GROUP_PAD)]
-    sk = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
-                                 F.percentile_approx("__x", ps, GROUP_ACCURACY).alias("__a"))
-    tags = [F.when(F.col("__x") < F.col("__a")[2 * j], F.struct(F.lit(j).alias("j"), F.lit(None).cast("double").alias("v")))
-             .when(F.col("__x") <= F.col("__a")[2 * j + 1], F.struct(F.lit(j).alias("j"), F.col("__x").alias("v")))
-            for j in range(len(probs))]
-    tagged = _ns_join(base, sk, keys).select(*keys, "__n", F.explode(F.filter(F.array(*tags), lambda t: t.isNotNull())).alias("t"))
-    hist = tagged.groupBy(*keys, "__n", F.col("t.j").alias("j"), F.col("t.v").alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    h = F.lit(0.0)
-    for j, p in enumerate(probs):
-        h = F.when(F.col("j") == j, F.lit(float(p)) * (F.col("__n") - 1)).otherwise(h)
-    picked = _pick(hist.withColumn("__h", h), keys + ["__n", "j", "__h"],
-                   {"__lo": F.floor(F.col("__h")), "__hi": F.ceil(F.col("__h"))})
-    q = F.col("__lo") + (F.col("__h") - F.floor(F.col("__h"))) * (F.col("__hi") - F.col("__lo"))
-    wide = picked.groupBy(*keys).agg(*[F.max(F.when(F.col("j") == j, q)).alias(n) for j, n in enumerate(names)])
-    # fallback for groups whose bracket missed (deterministic sketch bound violated)
-    miss = F.lit(False)
-    for n in names:
-        miss = miss | F.col(n).isNull()
-    bad = wide.where(miss).select(*keys)
-    exact = _ns_join(base, bad, keys, "left_semi").groupBy(*keys).agg(
-        F.percentile("__x", F.array(*[F.lit(float(p)) for p in probs])).alias("__e"))
-    full = _ns_join(sk.select(*keys), wide, keys, "left")
-    full = _ns_join(full, exact, keys, "left")
-    return full.select(*keys, *[F.coalesce(F.col(n), F.col("__e")[j]).alias(n) for j, n in enumerate(names)])
+def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
+    return {c: v[0] for c, v in quantiles_of(df, {c: [0.5] for c in columns}).items()}

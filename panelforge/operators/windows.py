@@ -9,7 +9,7 @@ Time-range aggregates run in three steps so that no group is ever held by one ta
 Leave-current-row-out results (``include_current=False``, which removes only the current
 row, not its month) follow from the frame totals by algebra (count, sum, sum of squares),
 from the two smallest / largest values per frame (min, max), and from the order statistics
-around the middle of the frame (median).
+around the middle of the frame (median; see ``frames``).
 """
 from __future__ import annotations
 
@@ -19,15 +19,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.functions.dates import month_ordinal
+from panelforge.operators.frames import FRAME_RANKS, frame_statistics
 from panelforge.operators.groups import join_back
+from panelforge.operators.slices import SLICE, null_safe_join, slice_counts, sliced
 
 TIME_AGGS = ("mean", "median", "sum", "min", "max", "std", "count")
-# Frame medians: KLL sketch size per (group, month) cell, bracket half-width around the median
-# (about twice the sketch's rank error), and the frame size up to which the bracket is the
-# whole frame (sketches of at most this many values are exact).
-KLL_K = 1000
-KLL_PAD = 0.006
-SMALL_FRAME = KLL_K
 ROLL_AGGS = ("mean", "median", "sum", "min", "max", "std", "count", "nunique")
 
 
@@ -40,65 +36,6 @@ def _el(arr: Column, idx0: Column) -> Column:
     return F.when(idx0 >= 0, F.try_element_at(arr, (idx0 + 1).cast("int")))
 
 
-def _frame_medians(rows: DataFrame, ft: DataFrame, keys: list[str], past: int, future: int,
-                   loo: bool = True) -> DataFrame:
-    """Order statistics around the middle of every frame, exactly, without gathering a frame.
-
-    1. the merged KLL sketch of each frame brackets the middle ranks ([min, max] for small
-       frames, whose sketches are exact; 0.5 -+ KLL_PAD otherwise);
-    2. every row is tagged against the brackets of the (at most past + future + 1) frames that
-       contain its month and counted per (frame, value) with map-side combine;
-    3. ranks a = (n-2)//2, a+1, b = (n-1)//2, b+1 and n//2 are read from cumulative counts.
-    Frames whose bracket misses fall back to an exact sorted gather for those frames only.
-    """
-    from panelforge.operators.quantiles import _ns_join, _pick
-    n = F.col("f_n")
-    big = n > SMALL_FRAME
-    lo = F.when(big, F.kll_sketch_get_quantile_double("f_sk", F.lit(0.5 - KLL_PAD))).otherwise(
-        F.kll_sketch_get_quantile_double("f_sk", F.lit(0.0)))
-    hi = F.when(big, F.kll_sketch_get_quantile_double("f_sk", F.lit(0.5 + KLL_PAD))).otherwise(
-        F.kll_sketch_get_quantile_double("f_sk", F.lit(1.0)))
-    br = ft.where(n > 0).select(*keys, "__t", "f_n", lo.alias("blo"), hi.alias("bhi"))
-    # frames containing month m: t in [m - future, m + past]
-    wa = Window.partitionBy(*keys).orderBy("__t").rangeBetween(-future, past)
-    cell_br = br.select(*keys, "__t", F.collect_list(F.struct(F.col("__t").alias("bt"), F.col("f_n").alias("bn"),
-                                                              "blo", "bhi")).over(wa).alias("__brs"))
-    r = _ns_join(rows.where(F.col("__t").isNotNull() & F.col("__x").isNotNull()).select(*keys, "__t", "__x"),
-                 cell_br, keys + ["__t"])
-    tag = F.transform("__brs", lambda b: F.when(F.col("__x") < b["blo"], F.struct(b["bt"].alias("bt"), b["bn"].alias("bn"),
-                                                                                  F.lit(None).cast("double").alias("v")))
-                      .when(F.col("__x") <= b["bhi"], F.struct(b["bt"].alias("bt"), b["bn"].alias("bn"),
-                                                               F.col("__x").alias("v"))))
-    tagged = r.select(*keys, F.explode(F.filter(tag, lambda t: t.isNotNull())).alias("t"))
-    hist = tagged.groupBy(*keys, F.col("t.bt").alias("__t"), F.col("t.bn").alias("f_n"),
-                          F.col("t.v").alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    a, b = F.floor((n - 2) / 2), F.floor((n - 1) / 2)
-    ranks = {"f_sa": a, "f_sa1": a + 1, "f_sb": b, "f_sb1": b + 1, "f_sm": F.floor(n / 2)}
-    if not loo:                                   # including the current row: the median ranks only
-        ranks = {k: v for k, v in ranks.items() if k in ("f_sb", "f_sm")}
-    stats = _pick(hist, keys + ["__t", "f_n"], ranks)
-    # a rank r in [0, n) whose value is missing means the bracket missed: exact fallback there
-    missing = None
-    for name, rk in ranks.items():
-        m = F.col(name).isNull() & (rk >= 0) & (rk < n)
-        missing = m if missing is None else missing | m
-    bad = stats.where(missing).select(*keys, "__t")
-    ex_rows = rows.where(F.col("__t").isNotNull() & F.col("__x").isNotNull()).select(
-        *keys, F.explode(F.sequence(F.col("__t") - future, F.col("__t") + past)).alias("__t"), "__x")
-    exact = (_ns_join(ex_rows, bad, keys + ["__t"], "left_semi").groupBy(*keys, "__t")
-             .agg(F.sort_array(F.collect_list("__x")).alias("__v"), F.count(F.lit(1)).alias("__en")))
-    ev = {name: _el(F.col("__v"), rk) for name, rk in
-          {"f_sa": F.floor((F.col("__en") - 2) / 2), "f_sa1": F.floor((F.col("__en") - 2) / 2) + 1,
-           "f_sb": F.floor((F.col("__en") - 1) / 2), "f_sb1": F.floor((F.col("__en") - 1) / 2) + 1,
-           "f_sm": F.floor(F.col("__en") / 2)}.items()}
-    exact = exact.select(*keys, "__t", *[v.alias("__e" + k) for k, v in ev.items() if k in ranks])
-    stats = _ns_join(stats, exact, keys + ["__t"], "left")
-    stats = stats.select(*keys, "__t", *[F.coalesce(F.col("__e" + k), F.col(k)).alias(k) for k in ranks],
-                         *[F.lit(None).cast("double").alias(k) for k in ("f_sa", "f_sa1", "f_sb1") if k not in ranks])
-    out = _ns_join(ft.drop("f_sk"), stats, keys + ["__t"], "left")
-    return out.withColumn("f_med", (F.col("f_sb") + F.col("f_sm")) / 2)
-
-
 def time_range_aggregate(df: DataFrame, keys, time_col: str, target: str, outputs: Mapping[str, str],
                          past: int = 0, future: int = 0, include_current: bool = False,
                          time_is_ordinal: bool = False, min_count: int | None = None,
@@ -126,14 +63,17 @@ def time_range_aggregate(df: DataFrame, keys, time_col: str, target: str, output
     # statistics come from ``source`` (same rows, fewer columns, earlier plan) when given
     srows = (source.select(*keys, time_col, target) if source is not None else df).select(
         *keys, t.alias("__t"), x.alias("__x"))
+    if need_med:
+        wanted = {n: r for n, r in FRAME_RANKS.items() if not include_current or n in ("f_sb", "f_sm")}
+        ft = frame_statistics(srows, keys, past, future, wanted, extremes=not include_current and (need_lo or need_hi),
+                              squares=need_sq)
+        return _finish_time_range(rows, ft, keys, aggs, include_current, min_count)
     cell_exprs = [F.count(F.lit(1)).alias("c_rows"), F.count("__x").alias("c_n"),
                   F.sum("__x").alias("c_s")]
     if need_sq:
         cell_exprs.append(F.var_pop("__x").alias("c_v"))
     if need_lo or need_hi:
         cell_exprs += [F.min("__x").alias("c_min"), F.max("__x").alias("c_max")]
-    if need_med:
-        cell_exprs.append(F.kll_sketch_agg_double("__x", KLL_K).alias("c_sk"))
     cells = srows.where(F.col("__t").isNotNull()).groupBy(*keys, "__t").agg(*cell_exprs)
     if (need_lo or need_hi) and not include_current:
         # two smallest / largest values per cell (a multiset): min and max, how often they occur,
@@ -168,12 +108,14 @@ def time_range_aggregate(df: DataFrame, keys, time_col: str, target: str, output
         else:   # at most 2 values per cell and (past + future + 1) cells per frame
             frame["f_lo"] = F.slice(F.sort_array(F.flatten(F.collect_list("c_lo").over(w))), 1, 2)
             frame["f_hi"] = F.slice(F.sort_array(F.flatten(F.collect_list("c_hi").over(w)), asc=False), 1, 2)
-    if need_med:
-        frame["f_sk"] = F.kll_merge_agg_double("c_sk").over(w)
     ft = cells.select(*keys, "__t", *[e.alias(n) for n, e in frame.items()])
-    if need_med:
-        ft = _frame_medians(srows, ft, keys, past, future, loo=not include_current)
+    return _finish_time_range(rows, ft, keys, aggs, include_current, min_count)
 
+
+def _finish_time_range(rows: DataFrame, ft: DataFrame, keys: list[str], aggs: Mapping[str, str], include_current: bool,
+                       min_count: int | None) -> DataFrame:
+    """Join the frame table back to the rows and read each row's results from it."""
+    need_sq = "std" in aggs
     joined = join_back(rows.withColumnRenamed("__t", "__tt"),
                        ft.withColumnRenamed("__t", "__tt"), keys + ["__tt"])
     xv = F.col("__x")
@@ -252,74 +194,52 @@ def _rolling_columns(spec, target: str, outputs: Mapping[str, str], min_periods:
     return res
 
 
-BLOCK_ROWS_LIMIT = 1_000_000      # rows one rolling block (one task) may hold before days are used
-
-
-def default_block(df: DataFrame, sort_by: str, keys: Sequence[str] = ()):
-    """Blocks for date/timestamp sort keys: months, or days when the largest (group, month)
-    holds more than BLOCK_ROWS_LIMIT rows (one aggregate checks it); None otherwise."""
-    from pyspark.sql import types as T
-    t = df.schema[sort_by].dataType
-    if not isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return None
-    month = (F.year(sort_by) * 12 + F.month(sort_by)).cast("bigint")
-    largest = df.groupBy(*keys, month.alias("__m")).count().agg(F.max("count")).first()[0] or 0
-    if largest > BLOCK_ROWS_LIMIT:
-        return F.datediff(F.to_date(sort_by), F.lit("1970-01-01").cast("date")).cast("bigint")
-    return month
-
-
 def rolling(df: DataFrame, keys, sort_by: str, target: str, window: int, outputs: Mapping[str, str],
-            min_periods: int = 1, center: bool = False, tie_breaker: str | Sequence[str] | None = "row_id",
-            block=("auto",), source: DataFrame | None = None) -> DataFrame:
-    """WIN-06: last ``window`` rows by ``sort_by`` (NULLs last, ties by ``tie_breaker``).
+            min_periods: int = 1, center: bool = False, tie_breaker: str | Sequence[str] | None = "row_id") -> DataFrame:
+    """WIN-06: last ``window`` rows by ``sort_by`` of any type (NULLs last, ties by ``tie_breaker``).
 
     A result needs at least ``min_periods`` non-NULL values in the frame.
 
-    With a block column (month of a date sort key by default) each group is split into
-    blocks that are windowed independently: every block receives, as halo rows, the rows
-    of neighbouring blocks its frames reach (at most window-1 before, window//2 after), so a
-    hot group is spread over many tasks and the results are identical to one group window.
+    Rows are range-sliced by (keys, order), so a hot group spreads over many tasks whatever its sort key. Each
+    slice is windowed by itself, with the rows of neighbouring slices that its frames reach as a halo: at most
+    ``window`` rows of the slices before (centred: and after), found from the slices' row counts. The results are
+    those of one window per group.
     """
     keys = _keys(keys)
     w = int(window)
     lo, hi = (-(w // 2), (w - 1) // 2) if center else (-(w - 1), 0)
     ties = [c for c in _keys(tie_breaker)] if tie_breaker else []
-    order = [F.col(sort_by).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in ties]
-    src = (source if source is not None else df).select(*dict.fromkeys(keys + [sort_by, target] + ties))
-    if isinstance(block, tuple) and block == ("auto",):
-        block = default_block(src, sort_by, keys)
-    if block is None:
-        spec = Window.partitionBy(*keys).orderBy(*order).rowsBetween(lo, hi)
-        return df.withColumns(_rolling_columns(spec, target, outputs, min_periods))
-    return _blocked_rolling(df, src, keys, order, block, lo, hi, target, outputs, min_periods, sort_by, ties)
-
-
-def _blocked_rolling(df, src, keys, order, block, lo, hi, target, outputs, min_periods, sort_by, ties):
-    """Main rows come from ``df``; block ranks and halo rows from the narrow ``src`` (same rows)."""
-    from panelforge.operators.quantiles import _ns_join
-    P, Q = -lo, hi
-    big = F.lit(2 ** 62).cast("bigint")
-    blk = F.when(F.col(sort_by).isNull(), big).otherwise(block.cast("bigint"))
-    s_ = src.withColumn("__blk", blk)
-    blocks = s_.select(*keys, "__blk").distinct()
-    blocks = blocks.withColumn("__bk", F.dense_rank().over(Window.partitionBy(*keys).orderBy("__blk")))
-    d = _ns_join(df.withColumn("__blk", blk), blocks, keys + ["__blk"])
-    s_ = _ns_join(s_, blocks, keys + ["__blk"])
-    inblock = Window.partitionBy(*keys, "__blk")
-    parts = [d.withColumn("__halo", F.lit(False)).withColumn("__tbk", F.col("__bk"))]
-    if P > 0:   # last P rows of a block serve the next P non-empty blocks
-        rev = [F.col(sort_by).desc_nulls_first()] + [F.col(c).desc_nulls_first() for c in ties]
-        tails = s_.withColumn("__r", F.row_number().over(inblock.orderBy(*rev))).where(F.col("__r") <= P).drop("__r")
-        tails = tails.withColumn("__tbk", F.explode(F.sequence(F.col("__bk") + 1, F.col("__bk") + P)))
-        parts.append(tails.withColumn("__halo", F.lit(True)))
-    if Q > 0:   # first Q rows of a block serve the previous Q non-empty blocks
-        heads = s_.withColumn("__r", F.row_number().over(inblock.orderBy(*order))).where(F.col("__r") <= Q).drop("__r")
-        heads = heads.withColumn("__tbk", F.explode(F.sequence(F.col("__bk") - Q, F.col("__bk") - 1)))
-        parts.append(heads.withColumn("__halo", F.lit(True)))
-    u = parts[0]
+    names = [sort_by, *ties]
+    order = [F.col(c).asc_nulls_last() for c in names]
+    table = sliced(df, keys, order, "rolling")
+    narrow = table.select(*dict.fromkeys([*keys, sort_by, target, *ties, SLICE]))
+    parts = [table.withColumn("__halo", F.lit(False))]
+    for reach, back in ((-lo, True), (hi, False)):
+        if reach > 0:
+            parts.append(_halo(narrow, keys, names, reach, back).withColumn("__halo", F.lit(True)))
+    every = parts[0]
     for p in parts[1:]:
-        u = u.unionByName(p, allowMissingColumns=True)
-    spec = Window.partitionBy(*keys, "__tbk").orderBy(*order).rowsBetween(lo, hi)
-    out = u.withColumns(_rolling_columns(spec, target, outputs, min_periods)).where(~F.col("__halo"))
-    return out.drop("__blk", "__bk", "__tbk", "__halo")
+        every = every.unionByName(p, allowMissingColumns=True)
+    spec = Window.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(lo, hi)
+    out = every.withColumns(_rolling_columns(spec, target, outputs, min_periods)).where(~F.col("__halo"))
+    return out.drop(SLICE, "__halo")
+
+
+def _halo(table: DataFrame, keys: list[str], order: list[str], reach: int, back: bool) -> DataFrame:
+    """Rows that frames of other slices reach, one copy per slice that does: ``back`` takes the last ``reach``
+    rows of a slice to later slices, otherwise the first ones to earlier slices."""
+    counts = slice_counts(table, keys).withColumn("__end", F.col("__before") + F.col("__rows"))
+    key = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    counts = counts.withColumn("__k", F.row_number().over(key.orderBy(SLICE)))
+    # pairs of slices of a key with fewer than ``reach`` rows between them; only the few small ones have far partners
+    ahead = counts.select(*keys, F.explode(F.sequence(F.col("__k") + 1, F.col("__k") + reach)).alias("__k"),
+                          F.col(SLICE).alias("__left"), F.col("__end").alias("__left_end"))
+    pairs = (null_safe_join(counts, ahead, [*keys, "__k"])
+             .withColumn("__gap", F.col("__before") - F.col("__left_end")).where(F.col("__gap") < reach))
+    source, to = ("__left", SLICE) if back else (SLICE, "__left")
+    pairs = pairs.select(*keys, F.col(source).alias("__from"), F.col(to).alias("__to"), "__gap")
+    near = [F.col(c).desc_nulls_first() if back else F.col(c).asc_nulls_last() for c in order]
+    edge = table.withColumn("__r", F.row_number().over(Window.partitionBy(*keys, SLICE).orderBy(*near)))
+    edge = edge.where(F.col("__r") <= reach).withColumnRenamed(SLICE, "__from")
+    halo = null_safe_join(edge, pairs, [*keys, "__from"]).where(F.col("__r") + F.col("__gap") <= reach)
+    return halo.withColumn(SLICE, F.col("__to")).drop("__from", "__to", "__gap", "__r")

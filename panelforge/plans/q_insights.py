@@ -165,8 +165,8 @@ SELECT row_id, CAST(row_number() OVER (PARTITION BY suburb ORDER BY landSizeM2 A
 FROM sales""")
 def srt_01(spark, sf_dir):
     order = [F.col("landSizeM2").asc_nulls_last(), F.col("saleDate"), F.col("row_id")]
-    bucket = F.when(F.col("landSizeM2").isNull(), F.lit(1 << 40)).otherwise(F.floor(F.col("landSizeM2") / 250))
-    return I.ordered_positions(sales(spark, sf_dir), ["suburb"], order, bucket).select("row_id", "pos")
+    rows = sales(spark, sf_dir).select("row_id", "suburb", "landSizeM2", "saleDate")
+    return I.ordered_positions(rows, ["suburb"], order).select("row_id", "pos")
 
 
 @query("smp_01_seeded_sample")
