@@ -1,8 +1,6 @@
 """Registered queries: modelling, promotion, as-of lookup and scoring (MOD-*, PRO-*, PRE-01..04, JON-07/08, AGG-16)."""
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from panelforge.functions.dates import month_ordinal
@@ -74,10 +72,53 @@ def agg_16(spark, sf_dir):
 @query("mod_04_linear_regression_coefficients", sales_with() + f"""
 SELECT {R('regr_intercept(salePrice, yearBuilt)', 4)} AS intercept, {R('regr_slope(salePrice, yearBuilt)', 4)} AS slope FROM sales""")
 def mod_04(spark, sf_dir):
-    df = VectorAssembler(inputCols=["yearBuilt"], outputCol="features").transform(model_input(spark, sf_dir))
-    m = LinearRegression(labelCol="salePrice", solver="normal", regParam=0.0).fit(df)
-    return spark.range(1).select(rnd(F.lit(float(m.intercept)), 4).alias("intercept"),
-                                 rnd(F.lit(float(m.coefficients[0])), 4).alias("slope"))
+    terms = M.linear_coefficients(model_input(spark, sf_dir), ["yearBuilt"], "salePrice")
+    return terms.agg(rnd(F.max(F.when(F.col("term") == "intercept", F.col("value"))), 4).alias("intercept"),
+                     rnd(F.max(F.when(F.col("term") == "yearBuilt", F.col("value"))), 4).alias("slope"))
+
+
+#: Penalised slopes of one centred column in closed form: S = variance, C = covariance (per row).
+_PENALISED = {"ridge": ("Ridge", {"alpha": 50000.0}, "c / (v + 50000.0 / n)"),
+              "lasso": ("Lasso", {"alpha": 20000.0}, "sign(c) * greatest(abs(c) - 20000.0, 0) / v"),
+              "elastic_net": ("ElasticNet", {"alpha": 20000.0, "l1_ratio": 0.25},
+                              "sign(c) * greatest(abs(c) - 5000.0, 0) / (v + 15000.0)")}
+
+
+@query("mod_05_06_07_penalised_slopes", sales_with("""m AS (SELECT var_pop(landSizeM2) AS v, covar_pop(salePrice, landSizeM2) AS c,
+  count(*) AS n, avg(landSizeM2) AS mx, avg(salePrice) AS my FROM sales WHERE landSizeM2 IS NOT NULL AND salePrice IS NOT NULL)""")
+       + " UNION ALL ".join(f"SELECT '{k}' AS model, {R(f'({w})', 6)} AS slope, {R(f'my - ({w}) * mx', 3)} AS intercept FROM m"
+                            for k, (_, _, w) in _PENALISED.items()))
+def mod_05_07(spark, sf_dir):
+    df = model_input(spark, sf_dir)
+    out = None
+    for name, (model, params, _) in _PENALISED.items():
+        terms = M.linear_coefficients(df, ["landSizeM2"], "salePrice", model, **params)
+        row = terms.agg(F.lit(name).alias("model"),
+                        rnd(F.max(F.when(F.col("term") == "landSizeM2", F.col("value"))), 6).alias("slope"),
+                        rnd(F.max(F.when(F.col("term") == "intercept", F.col("value"))), 3).alias("intercept"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+FOLD_ALPHAS = [0.01, 0.1, 1.0, 10.0, 1000.0, 100000.0]
+
+
+@query("mod_11_ridge_scores_of_every_fold", _FOLDS_SQL + f""",
+a AS (SELECT unnest({FOLD_ALPHAS}) AS alpha),
+med AS (SELECT fold, median(landSizeM2) AS md FROM b JOIN tr ON pos < s GROUP BY fold),
+x AS (SELECT b.fold, pos < s AS fits, coalesce(landSizeM2, md) AS x, salePrice AS y FROM b JOIN med USING (fold) JOIN tr ON pos < e),
+t AS (SELECT fold, count(*) AS n, avg(x) AS mx, stddev_pop(x) AS sx, avg(y) AS my, covar_pop(x, y) AS c FROM x WHERE fits GROUP BY fold),
+p AS (SELECT fold, alpha, y, my + n * c / sx / (n + alpha) * (x - mx) / sx AS p FROM x JOIN t USING (fold), a WHERE NOT fits)
+SELECT CAST(fold AS INTEGER) AS fold, CAST(alpha AS DOUBLE) AS alpha, {R('1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*))', 6)} AS r2
+FROM p GROUP BY fold, alpha""")
+def mod_11_folds(spark, sf_dir):
+    train, _, _ = M.month_split(M.label_frame(model_input(spark, sf_dir), "salePrice"), "saleYearMonth")
+    train = M.with_positions(train, "saleYearMonth")
+    n = train.count()
+    scores = M.fold_scores(train, M.fold_masks(n, M.n_splits_for(n)), ["landSizeM2"], [],
+                           {"Ridge": M.grid_points("Ridge", {"alpha": FOLD_ALPHAS})})
+    rows = [(i + 1, a, r2) for a, own in zip(FOLD_ALPHAS, scores["Ridge"]) for i, r2 in enumerate(own)]
+    return spark.createDataFrame(rows, "fold int, alpha double, r2 double").withColumn("r2", rnd("r2", 6))
 
 
 _LOG_SQL = sales_with("""v AS (SELECT max(saleYearMonth) AS vm FROM sales),
@@ -90,19 +131,18 @@ va AS (SELECT salePrice AS y, exp(a + b * yearBuilt) - 1 AS p FROM sales, v, co
 SELECT {R('avg(abs(p - y))', 2)} AS mae, {R('sqrt(avg((p - y) * (p - y)))', 2)} AS rmse,
   CASE WHEN var_pop(y) = 0 THEN NULL ELSE {R('1 - sum((p - y) * (p - y)) / (var_pop(y) * count(*))', 4)} END AS r2 FROM va""")
 def mod_12_13(spark, sf_dir):
-    df = model_input(spark, sf_dir).where(F.col("salePrice") > 0)
-    tr, va, _ = M.month_split(df, "saleYearMonth")
-    asm = VectorAssembler(inputCols=["yearBuilt"], outputCol="features")
-    m = LinearRegression(labelCol="label", solver="normal", regParam=0.0).fit(
-        asm.transform(tr.withColumn("label", F.log1p("salePrice"))))
-    pred = m.transform(asm.transform(va)).withColumn("prediction", F.expm1("prediction"))
+    tr, va, _ = M.month_split(M.label_frame(model_input(spark, sf_dir), "salePrice", log_target=True), "saleYearMonth")
+    fit = {r["term"]: r["value"] for r in M.linear_coefficients(tr, ["yearBuilt"], "label").collect()}   # two terms
+    pred = va.withColumn("prediction", F.expm1(F.lit(fit["intercept"]) + F.lit(fit["yearBuilt"]) * F.col("yearBuilt")))
     met = M.regression_metrics(pred, label="salePrice")
     r2 = F.lit(met["r2"]).cast("double")
     return spark.range(1).select(rnd(F.lit(met["mae"]), 2).alias("mae"), rnd(F.lit(met["rmse"]), 2).alias("rmse"),
                                  rnd(r2, 4).alias("r2"))
 
 
-GRID = {"LinearRegression": {}, "Ridge": {"alpha": [1.0, 10.0]},
+#: The linear models' whole grid costs no pass of its own; trees are fitted per fold and point.
+GRID = {"LinearRegression": {}, "Ridge": {"alpha": [0.01, 0.1, 1.0, 10.0]}, "Lasso": {"alpha": [0.001, 0.01, 0.1, 1.0]},
+        "ElasticNet": {"alpha": [0.01, 0.1, 1.0], "l1_ratio": [0.1, 0.5, 0.9]},
         "GradientBoostingRegressor": {"n_estimators": [5], "max_depth": [3], "learning_rate": [0.1]}}
 
 
