@@ -1,7 +1,7 @@
-"""Math and expression helpers (EXP-*, MTH-*)."""
+"""Math helpers (EXP-03, MTH-*)."""
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from panelforge.functions.nulls import col_, safe_div
@@ -22,15 +22,6 @@ def clip(x, lo=None, hi=None) -> Column:
     return c
 
 
-def row_max(*cols) -> Column:
-    """EXP-04: row-wise max skipping NULLs."""
-    return F.greatest(*[col_(c) for c in cols])
-
-
-def row_min(*cols) -> Column:
-    return F.least(*[col_(c) for c in cols])
-
-
 def haversine_km(lat1, lon1, lat2=CBD_LAT, lon2=CBD_LON) -> Column:
     """MTH-04: great-circle distance in km."""
     la1, lo1 = col_(lat1).cast("double"), col_(lon1).cast("double")
@@ -55,30 +46,3 @@ def ratio(num, den, num_offset: float = 0.0, den_offset: float = 0.0, den_min: f
     if clip_max is not None:
         r = F.when(r <= float(clip_max), r)
     return r
-
-
-def register_sql_functions(spark: SparkSession) -> None:
-    """EXP-01/03/04: SQL-callable helpers so expression steps can use the reference's names."""
-    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION clip(x DOUBLE, lo DOUBLE, hi DOUBLE) RETURNS DOUBLE "
-              "RETURN CASE WHEN x IS NULL THEN NULL WHEN lo IS NOT NULL AND x < lo THEN lo "
-              "WHEN hi IS NOT NULL AND x > hi THEN hi ELSE x END")
-    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION safe_ratio(n DOUBLE, d DOUBLE) RETURNS DOUBLE "
-              "RETURN try_divide(n, d)")
-
-
-# Expression-language names -> Spark SQL names (EXP-04..08).
-EXPR_ALIASES = {
-    "maximum": "greatest", "minimum": "least", "where": "if", "log": "ln",
-}
-
-
-def translate_expr(text: str) -> str:
-    """Map the reference's expression function names onto Spark SQL names."""
-    import re
-    out = text
-    for src, dst in EXPR_ALIASES.items():
-        out = re.sub(rf"\b{src}\s*\(", f"{dst}(", out)
-    out = re.sub(r"\bnp\.", "", out)
-    out = re.sub(r"\bmax\s*\((?=[^()]*,)", "greatest(", out)
-    out = re.sub(r"\bmin\s*\((?=[^()]*,)", "least(", out)
-    return out

@@ -12,16 +12,23 @@ from typing import Any, Callable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.functions import arith, bins, dates, strings
+from panelforge.functions import arith, bins, dates, expressions, strings
 from panelforge.operators import groups, joins, panel, windows
 from panelforge.sources.files import Registry
 
 
 def expr_columns(df: DataFrame, exprs: Mapping[str, str]) -> DataFrame:
-    """EXP-01..08: output columns from expressions over existing columns (Spark SQL text;
-    the reference's function names are mapped onto Spark's)."""
-    arith.register_sql_functions(df.sparkSession)
-    return df.withColumns({out: F.expr(arith.translate_expr(e)) for out, e in exprs.items()})
+    """EXP-01..08: output columns from expression texts over the columns of ``df`` (see ``functions.expressions``)."""
+    return df.withColumns({out: expressions.expression(df, text) for out, text in exprs.items()})
+
+
+def _several(df: DataFrame, outputs: Sequence[str], text: str | Sequence[str]) -> DataFrame:
+    """One column per output, from a tuple expression or from one text each."""
+    found = (expressions.expression_columns(df, text) if isinstance(text, str)
+             else [expressions.expression(df, t) for t in text or ()])
+    if len(found) != len(outputs):
+        raise expressions.ExpressionError(f"expected {len(outputs)} values, not {len(found)}, in expression {text!r}")
+    return df.withColumns(dict(zip(outputs, found)))
 
 
 def _simple(df: DataFrame, step: Mapping[str, Any], ctx: Registry) -> DataFrame:
@@ -30,9 +37,7 @@ def _simple(df: DataFrame, step: Mapping[str, Any], ctx: Registry) -> DataFrame:
     src, out = step.get("source"), step.get("output")
     if m == "expr":
         e = cfg.get("expr") or step.get("expr")
-        if isinstance(out, (list, tuple)):
-            return df.withColumns({o: F.expr(arith.translate_expr(x)) for o, x in zip(out, e)})
-        return expr_columns(df, {out: e})
+        return _several(df, out, e) if isinstance(out, (list, tuple)) else expr_columns(df, {out: e})
     if src is not None and src not in df.columns and m not in ("distance_to_cbd",):
         return df
     if m == "map_values":

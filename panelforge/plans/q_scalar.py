@@ -264,6 +264,49 @@ def exp_01(spark, sf_dir):
     return s.select("row_id", *[(rnd(c, 6) if c in rounded else F.col(c)).alias(c) for c in EXPRS])
 
 
+HARD_EXPRS = {
+    "per_unit": "salePrice / (landSizeM2 - landSizeM2)",
+    "share": "salePrice / where(row_id % 7 == 0, 0, landSizeM2)",
+    "nested": "max(min(landSizeM2, 4000), max(1000, min(yearBuilt, 1990) * 2), 1500.5)",
+    "squares": "(salePrice / 1000) ** 2 + yearBuilt ** 0.5",
+    "root_of_negative": "(yearBuilt - 1990) ** 0.5",
+    "log_of_zero": "np.log10(salePrice * (row_id % 3)) + np.log1p(-1 * (row_id % 2))",
+    "chained": "where((1000 < landSizeM2 <= 5000) & ~(yearBuilt == 1980), 1, 0)",
+    "not_equal": "where(landSizeM2 != 1234, 1, 0)",
+    "halves": "np.round(row_id / 4, 0)",
+    "mod_sign": "(5 - row_id) % 3 + (5 - row_id) // 3",
+    "np_maximum": "np.maximum(landSizeM2, 1000) + np.fmax(landSizeM2, 1000)",
+    "angle": "np.degrees(np.arctan2(np.sin(row_id), np.cos(row_id)))",
+    "filled": "landSizeM2.fillna(0).clip(upper=9000) if yearBuilt in [1980, 1990, 2000] else -1.5",
+    "open_clip": "clip(landSizeM2, None, 5000)",
+}
+
+
+@query("exp_01_04_08_zero_divisors_nesting_powers", sales_with() + f"""
+SELECT row_id, CAST(NULL AS DOUBLE) AS per_unit,
+  {R('salePrice / nullif(CASE WHEN row_id % 7 = 0 THEN 0 ELSE landSizeM2 END, 0)', 6)} AS share,
+  greatest(least(landSizeM2, 4000), greatest(1000, least(yearBuilt, 1990) * 2), 1500.5)::DOUBLE AS nested,
+  {R('(salePrice / 1000) * (salePrice / 1000) + sqrt(yearBuilt)', 4)} AS squares,
+  CASE WHEN yearBuilt >= 1990 THEN {R('sqrt(yearBuilt - 1990)', 6)} END AS root_of_negative,
+  CASE WHEN salePrice * (row_id % 3) > 0 AND row_id % 2 = 0 THEN {R('log10(salePrice * (row_id % 3))', 6)} END AS log_of_zero,
+  CASE WHEN landSizeM2 > 1000 AND landSizeM2 <= 5000 AND yearBuilt <> 1980 THEN 1 ELSE 0 END AS chained,
+  CASE WHEN landSizeM2 = 1234 THEN 0 ELSE 1 END AS not_equal,
+  round_even(row_id / 4.0, 0)::DOUBLE AS halves,
+  ((5 - row_id) - 3 * floor((5 - row_id) / 3.0) + floor((5 - row_id) / 3.0))::DOUBLE AS mod_sign,
+  CASE WHEN landSizeM2 IS NOT NULL THEN 2 * greatest(landSizeM2, 1000) END::DOUBLE AS np_maximum,
+  {R('degrees(atan2(sin(row_id), cos(row_id)))', 4)} AS angle,
+  CASE WHEN yearBuilt IN (1980, 1990, 2000) THEN least(coalesce(landSizeM2, 0), 9000) ELSE -1.5 END::DOUBLE AS filled,
+  CASE WHEN landSizeM2 > 5000 THEN 5000 ELSE landSizeM2 END::DOUBLE AS open_clip
+FROM sales""")
+def exp_hard(spark, sf_dir):
+    from panelforge.plans.derive import expr_columns
+    s = expr_columns(sales(spark, sf_dir), HARD_EXPRS)
+    digits = {"share": 6, "squares": 4, "root_of_negative": 6, "log_of_zero": 6, "angle": 4}
+    whole = {"chained", "not_equal"}
+    return s.select("row_id", *[(rnd(c, digits[c]) if c in digits else F.col(c) if c in whole else F.col(c).cast("double"))
+                                .alias(c) for c in HARD_EXPRS])
+
+
 # --- BIN --------------------------------------------------------------------------------------------
 @query("bin_01_02_03_04_bins", sales_with() + """
 SELECT row_id,
