@@ -22,10 +22,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from panelforge.llm.common import scratch_table, ship_code
 from panelforge.llm.topk import whole_vector
 
-#: Vectors of a packed block; columns beyond the wanted ones; matrices that may reach the driver unmerged.
-BLOCK, GUARD, DIRECT = 4096, 16, 64
+#: Vectors of a packed block and of a task; columns beyond the wanted ones, as a multiple of them; matrices that may
+#: reach the driver unmerged.
+BLOCK, TASK, GUARD, DIRECT = 4096, 65_536, 2, 64
 #: Residual, relative to the largest eigenvalue, at which a pair counts as converged, and the one it must reach.
-TIGHT, CERTIFIED = 2e-15, 1e-12
+TIGHT, CERTIFIED = 1e-14, 1e-12
 MAX_ROUNDS = 60
 _OUT = "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double"
 
@@ -108,25 +109,37 @@ def _ritz(q: np.ndarray, vq: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
     return values[::-1], q @ turn, vq @ turn
 
 
-def _filtered(apply: Callable[[np.ndarray], np.ndarray], q: np.ndarray, vq: np.ndarray, top: float, cut: float,
-              degree: int) -> np.ndarray:
-    """The Chebyshev polynomial that is small on [0, cut], scaled to 1 at ``top``, of V times ``q``; ``vq`` = V q."""
+def _filtered(apply: Callable[[np.ndarray], np.ndarray], outside: Callable[[np.ndarray], np.ndarray], q: np.ndarray,
+              vq: np.ndarray, top: float, cut: float, degree: int) -> np.ndarray:
+    """The Chebyshev polynomial that is small on [0, cut], scaled to 1 at ``top``, of V times ``q``; ``vq`` = V q.
+
+    ``outside`` takes the converged vectors out of every term, so that their rounding noise can't grow.
+    """
     half = cut / 2
     first = sigma = half / (top - half)
-    before, now = q, (vq - half * q) * (sigma / half)
+    before, now = q, outside((vq - half * q) * (sigma / half))
     for _ in range(degree - 1):
         after = 1 / (2 / first - sigma)
-        before, now = now, 2 * (apply(now) - half * now) * (after / half) - sigma * after * before
+        before, now = now, outside(2 * (apply(now) - half * now) * (after / half) - sigma * after * before)
         sigma = after
     return now
 
 
+def _degree(top: float, last: float, cut: float) -> int:
+    """Passes of one filter: enough to damp by 1e6 at the last wanted value, at most 24, and few enough that
+    the largest value outgrows the last one by no more than 1e10."""
+    gain, most = (math.acosh(max(2 * v / cut - 1, 1 + 1e-6)) for v in (last, top))
+    spread = math.log(1e10) / (most - gain) if most > gain else math.inf
+    return max(2, int(min(24, math.ceil(math.log(1e6) / gain), spread)))
+
+
 def leading_pairs(apply: Callable[[np.ndarray], np.ndarray], dim: int, wanted: int,
                   seed: int = 7) -> tuple[np.ndarray, np.ndarray, float]:
     """Leading eigenvalues and vectors of the positive semidefinite operator ``apply``, and the largest residual
     relative to the first eigenvalue. Raises if they cannot be certified."""
     random = np.random.default_rng(seed)
-    width, wanted = min(dim, wanted + GUARD), min(dim, wanted)
+    wanted = min(dim, wanted)
+    width = min(dim, wanted * (1 + GUARD))
     q = np.linalg.qr(random.standard_normal((dim, width)))[0]
     best = np.inf
     for _ in range(MAX_ROUNDS):
@@ -134,43 +147,43 @@ def leading_pairs(apply: Callable[[np.ndarray], np.ndarray], dim: int, wanted: i
         top = values[0]
         if top <= 0:
             return values[:wanted], q[:, :wanted], 0.0
-        kept = values[:wanted] > 1e-13 * top
-        error = np.linalg.norm(vq - q * values, axis=0)[:wanted][kept].max() / top
-        stalled = error > best / 2
-        best = min(best, error)
+        errors = np.linalg.norm(vq - q * values, axis=0) / top
+        error = errors[:wanted][values[:wanted] > 1e-13 * top].max()
+        stalled, best = error > best / 2, min(best, error)
         if width == dim or error < TIGHT or (stalled and error < CERTIFIED):
-            if width == dim or error < CERTIFIED:
-                fresh = _missed(apply, q, values, wanted, random)
-                if fresh is None:
-                    return values[:wanted], q[:, :wanted], float(error)
-                q = np.linalg.qr(np.hstack([q[:, :width - fresh.shape[1]], fresh]))[0]
-                best = np.inf
-                continue
+            fresh = _missed(apply, q, values, wanted, random)
+            if fresh is None:
+                return values[:wanted], q[:, :wanted], float(error)
+            q, best = np.linalg.qr(np.hstack([q[:, :width - fresh.shape[1]], fresh]))[0], np.inf
+            continue
+        # leading pairs that have converged leave the filter
+        done = int(np.argmax(np.append(errors >= TIGHT, True)))
+        done = min(done, wanted - 1)
+        held = q[:, :done]
+        outside = lambda y: y - held @ (held.T @ y)
         cut = max(values[-1], 1e-14 * top)
-        # enough degrees to damp by 1e6 at the last wanted value, within 4 and 24 passes
-        gain = math.acosh(max(2 * values[wanted - 1] / cut - 1, 1 + 1e-6))
-        degree = int(min(24, max(4, math.ceil(math.log(1e6) / gain))))
-        if cut >= top:
+        if cut >= values[done]:
             q = np.linalg.qr(vq)[0]
             continue
-        q = np.linalg.qr(_filtered(apply, q, vq, top, cut, degree))[0]
+        degree = _degree(values[done], max(values[wanted - 1], cut), cut)
+        q = np.linalg.qr(np.hstack([held, _filtered(apply, outside, q[:, done:], vq[:, done:], values[done], cut, degree)]))[0]
     raise ArithmeticError(f"eigenvectors not certified: residual {best:.1e} after {MAX_ROUNDS} rounds")
 
 
 def _missed(apply, q: np.ndarray, values: np.ndarray, wanted: int, random) -> np.ndarray | None:
-    """Vectors outside the block whose Rayleigh quotient exceeds the last wanted value, or None."""
+    """Vectors outside the block whose Rayleigh quotient exceeds the last wanted value, or None: fresh random
+    vectors under the same filter, kept outside the block."""
     dim, width = q.shape
-    count = min(dim - width, GUARD // 2)
+    count = min(dim - width, 8)
     if not count:
         return None
-    outside = lambda y: np.linalg.qr(y - q @ (q.T @ y))[0]
-    probe = outside(outside(random.standard_normal((dim, count))))
-    for _ in range(6):
-        found, probe, image = _ritz(probe, apply(probe))
-        if found[0] > values[wanted - 1] * (1 + 1e-9):
-            return probe
-        probe = outside(outside(image))
-    return None
+    outside = lambda y: y - q @ (q.T @ y)
+    probe = np.linalg.qr(outside(random.standard_normal((dim, count))))[0]
+    top, cut = values[0], max(values[-1], 1e-14 * values[0])
+    if top > cut:
+        probe = np.linalg.qr(outside(_filtered(apply, outside, probe, apply(probe), top, cut, 6)))[0]
+    found, probe, _ = _ritz(probe, apply(probe))
+    return probe if found[0] > values[wanted - 1] * (1 + 1e-9) else None
 
 
 def fit_whitening(vectors: DataFrame, components: int = 16, scale: int = 64, shift: int = 1_000_000,
@@ -191,6 +204,8 @@ def fit_whitening(vectors: DataFrame, components: int = 16, scale: int = 64, shi
     fit = rows.filter(F.size("x") == dim).select("x").distinct()
     packed = scratch_table(fit.mapInPandas(_pack, "rows long, x binary"), "whitening")
     n = packed.agg(F.sum("rows")).first()[0]
+    # every pass reads all of it: tasks of a fair size, however many files there are
+    packed = packed.coalesce(max(-(-n // TASK), min(8, -(-n // BLOCK))))
     sums = _pass(packed, dim, lambda x: x.sum(axis=0))
     passes = 1
 
