@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from panelforge.functions import arith, bins, dates, expressions, strings
 from panelforge.operators import groups, joins, panel, windows
+from panelforge.plans import blocks
 from panelforge.sources.files import Registry
 
 
@@ -114,9 +115,14 @@ def _join(df, step, ctx):
                            step.get("on_missing", "warn"))
 
 
+def _blocks(df, step, ctx):
+    """A spec of named blocks as one step (see ``plans.blocks``)."""
+    return blocks.run_blocks(df, step["blocks"], ctx.datasets)
+
+
 STEPS: dict[str, Callable[[DataFrame, Mapping[str, Any], Registry], DataFrame]] = {
     "simple": _simple, "aggregate": _aggregate, "time_aggregate": _time_aggregate,
-    "rolling": _rolling, "bin": _bin, "join": _join,
+    "rolling": _rolling, "bin": _bin, "join": _join, "blocks": _blocks,
 }
 
 
@@ -173,6 +179,8 @@ def run_derive(df: DataFrame, steps: Sequence[Mapping[str, Any]], datasets: Mapp
             df = STEPS[kind](df, step, ctx, source=base.select(*dict.fromkeys(need)) if clean else None)
         else:
             df = STEPS[kind](df, step, ctx)
+        if kind == "blocks":
+            rows_same = False                      # a block may have dropped rows
         if kind == "join" and (step.get("how", "left") != "left"
                                or step.get("validate") not in ("many_to_one", "m:1", "one_to_one", "1:1")):
             rows_same = False                      # the join may have changed the row set

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from panelforge.functions.nulls import rnd
 from panelforge.operators.panel import (build_segments, gap_share, group_month_table, missing_months, month_index,
                                         relative_pricing, segment_meta, suburb_rollups)
+from panelforge.plans.blocks import run_blocks, segment_table
+from panelforge.plans.derive import run_derive
 from panelforge.plans.registry import query
 from panelforge.plans.sqlkit import R, SALES_T, sales_with
 from panelforge.plans.views import sales
@@ -177,6 +179,56 @@ def agg_09(spark, sf_dir):
                       *[(rnd(c, k) if k else F.col(c)).alias(c) for c, k in SEG_OUT.items()])
 
 
+#: The segment table above as a spec of named blocks.
+SEG_BLOCKS = {"grouping": {"keys": SEG_KEYS, "month_col": "saleYearMonth", "min_rows": SEG_SPEC.get("min_rows", 0),
+                           "min_months": SEG_SPEC.get("min_months", 0)},
+              "aggregations": {"metrics": SEG_SPEC["metrics"], "carry": SEG_SPEC.get("carry")},
+              "future_targets": SEG_SPEC["future_targets"]}
+
+
+@query("udf_04_segments_from_spec", SEG_SQL)
+def udf_04_segments(spark, sf_dir):
+    seg = segment_table(run_blocks(sales(spark, sf_dir), SEG_BLOCKS), SEG_BLOCKS)
+    return seg.select(*SEG_KEYS, "saleYearMonth", *[(rnd(c, k) if k else F.col(c)).alias(c) for c, k in SEG_OUT.items()])
+
+
+#: Written in an order that only the blocks' inputs put right.
+DERIVE_BLOCKS = {
+    "age_bands": {"bands": [5, 20]},
+    "buckets": {"land": {"source": "landSizeM2", "bins": [2000, 6000], "labels": ["small", "medium", "large"], "output": "landBand"},
+                "urgency": {"source": "street", "mapping": {"1-URGENT": "now", "2-HIGH": "now"}}},
+    "per_mean": {"fn": "ratio", "numerator": "salePrice", "denominator": "meanOfType", "output": "vsType", "clip_max": 1.5, "drop_na": True},
+    "price_per_area": {"area_col": "landSizeM2", "output": "pricePerSqm", "denominator_min": 100, "clip_min": 1},
+    "type_mean": {"group_by": ["propertyType", "saleYear"], "target": "salePrice", "aggregate": "mean", "output": "meanOfType"},
+    "property_age": {"min_age": 0},
+    "month_cyclical": {"out_prefix": "m"},
+    "month_index": {"offset": 1},
+    "macro_join": {"path": "yearly"},
+    "skipped": {"enabled": False, "fn": "ratio"},
+    "region_prefix": {"fn": "price_per_area", "area_col": "landSizeM2", "price_col": "yearBuilt", "output": "yearPerArea"},
+}
+
+
+@query("udf_03_04_named_blocks", sales_with("""d AS (SELECT *, CAST(year(saleDate) AS INTEGER) AS y, avg(salePrice) OVER (
+  PARTITION BY propertyType, year(saleDate)) AS mt, dense_rank() OVER (ORDER BY year(saleDate) * 12 + month(saleDate)) AS mi,
+  CASE WHEN year(saleDate) - yearBuilt >= 0 THEN year(saleDate) - yearBuilt END AS age FROM sales),
+yt AS (SELECT CAST(year(saleDate) AS INTEGER) AS y, count(*) AS n FROM sales WHERE year(saleDate) % 2 = 0 GROUP BY 1)""") + f"""
+SELECT row_id, {R('salePrice / mt', 6)} AS vsType, {R("CASE WHEN landSizeM2 >= 100 AND salePrice / landSizeM2 >= 1 THEN salePrice / landSizeM2 END", 6)} AS pricePerSqm,
+  {R('yearBuilt / nullif(landSizeM2, 0)', 6)} AS yearPerArea, {R('sin(2 * pi() * month(saleDate) / 12)', 6)} AS m_sin, CAST(mi AS INTEGER) AS month_id,
+  CASE WHEN age <= 5 THEN '0–5' WHEN age <= 20 THEN '6–20' WHEN age > 20 THEN '21+' END AS propertyAgeBand, n AS sales_of_year,
+  CASE WHEN landSizeM2 IS NULL THEN 'Unknown' WHEN landSizeM2 <= 2000 THEN 'small' WHEN landSizeM2 <= 6000 THEN 'medium' ELSE 'large' END AS landBand,
+  CASE street WHEN '1-URGENT' THEN 'now' WHEN '2-HIGH' THEN 'now' ELSE 'Unknown' END AS urgency_bucket
+FROM d LEFT JOIN yt USING (y) WHERE salePrice / mt <= 1.5""")
+def udf_03_04(spark, sf_dir):
+    s = sales(spark, sf_dir)
+    yearly = (s.groupBy(F.year("saleDate").cast("int").alias("year")).agg(F.count(F.lit(1)).alias("sales_of_year"))
+              .where(F.col("year") % 2 == 0))
+    out = run_derive(s, [{"type": "blocks", "blocks": DERIVE_BLOCKS}], datasets={"yearly": yearly})
+    return out.select("row_id", rnd("vsType", 6).alias("vsType"), rnd("pricePerSqm", 6).alias("pricePerSqm"),
+                      rnd("yearPerArea", 6).alias("yearPerArea"), rnd("m_sin", 6).alias("m_sin"), F.col("month_id").cast("int").alias("month_id"),
+                      "propertyAgeBand", "sales_of_year", "landBand", "urgency_bucket")
+
+
 @query("agg_24_segment_meta", f"WITH s AS ({SEG_SQL}) SELECT count(*) AS rows, "
        "count(DISTINCT (suburb, propertyType)) AS groups, count(price_future_3m) AS nonnull_price_future_3m, "
        "count(price_future_3m_smooth) AS nonnull_price_future_3m_smooth, count(price_future_6m) AS nonnull_price_future_6m FROM s")

@@ -219,15 +219,23 @@ SELECT row_id, {R('salePrice / nullif(landSizeM2, 0)', 6)} AS price_per_area,
   {R(f"6371.0 * 2 * atan2(sqrt(pow(sin(radians(-37.814 - {_LAT}) / 2), 2) + cos(radians({_LAT})) * cos(radians(-37.814)) * pow(sin(radians(144.963 - {_LON}) / 2), 2)), sqrt(1 - (pow(sin(radians(-37.814 - {_LAT}) / 2), 2) + cos(radians({_LAT})) * cos(radians(-37.814)) * pow(sin(radians(144.963 - {_LON}) / 2), 2))))", 6)} AS distance_to_cbd
 FROM sales""")
 def mth_01_04(spark, sf_dir):
-    s = sales(spark, sf_dir)
+    from panelforge.operators.ratios import price_per_area, ratio_feature
+    s = price_per_area(sales(spark, sf_dir), "landSizeM2", "price_per_area")
+    s = ratio_feature(s, "salePrice", "landSizeM2", "ratio_bounded", 20, 2000, 1000, 10, 100)
     lat = F.lit(-37.5) - (F.col("custkey") % 100) / 200.0
     lon = F.lit(144.5) + (F.col("custkey") % 77) / 100.0
-    return s.select("row_id", rnd(safe_div("salePrice", "landSizeM2"), 6).alias("price_per_area"),
-                    rnd(arith.ratio("salePrice", "landSizeM2", num_offset=1000, den_offset=10, den_min=100,
-                                    clip_min=20, clip_max=2000), 6).alias("ratio_bounded"),
+    return s.select("row_id", rnd("price_per_area", 6).alias("price_per_area"), rnd("ratio_bounded", 6).alias("ratio_bounded"),
                     rnd(arith.haversine_km(lat, lon), 6).alias("distance_to_cbd"))
 
 
+@query("mth_02_ratio_with_row_drop", sales_with() + f"""
+SELECT row_id, {R('salePrice / landSizeM2', 6)} AS ratio FROM sales WHERE landSizeM2 >= 500 AND salePrice / landSizeM2 BETWEEN 20 AND 90""")
+def mth_02_drop(spark, sf_dir):
+    from panelforge.operators.ratios import ratio_feature
+    s = ratio_feature(sales(spark, sf_dir), "salePrice", "landSizeM2", "ratio", 20, 90, denominator_min=500, drop_na=True)
+    return s.select("row_id", rnd("ratio", 6).alias("ratio"))
+
+
 @query("flt_06_factor_filter", sales_with() + f"""
 SELECT row_id, {R('salePrice / nullif(landSizeM2, 0)', 6)} AS price_factor FROM sales
 WHERE salePrice / nullif(landSizeM2, 0) IS NOT NULL AND salePrice / nullif(landSizeM2, 0) > 50""")
