@@ -87,3 +87,11 @@ def drop_scratch(*tables: DataFrame) -> None:
         folder = context._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
         if folder.getParent().getName() == "panelforge-llm":
             folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from panelforge.llm.common import scratch_table
+from panelforge.llm.common import free_name, scratch_table
 
 WORD = r"[^\x20\x09-\x0D]+"
 KEY_BITS = 60
@@ -104,26 +104,34 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     A partial pass holds the document's first ``extra`` words with their spacing and its own
     ``count_col``. Documents of which the mix takes nothing are absent. Rows that agree in id, source
-    and number of words take the same passes, however often they occur.
+    and number of words are ranked and take one plan each, so the mix has the words of its budget.
     """
+    size, words, rank, nth = (free_name(docs, n) for n in ("size", "words", "rank", "nth"))
+    m_id, m_source, m_size, m_epochs, m_extra = (free_name(docs, n) for n in ("m_id", "m_source", "m_size", "m_epochs", "m_extra"))
     plan = (mix_sources(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
-            .groupBy(F.col("doc_id").alias("m_id"), F.col("source").alias("m_source"), F.col("size").alias("m_size"))
-            .agg(F.max("epochs").alias("m_epochs"), F.max("extra").alias("m_extra"))
-            .filter("m_epochs > 0 or m_extra > 0"))
-    sized = docs.withColumn("_size", word_count(F.col(text_col)))
-    rows = sized.join(plan, F.col(id_col).eqNullSafe(F.col("m_id")) & F.col(source_col).eqNullSafe(F.col("m_source"))
-                      & (F.col("_size") == F.col("m_size")))
-    whole = F.when(F.col("m_extra") == F.col("m_size"), F.col("m_epochs") + 1).otherwise(F.col("m_epochs"))
-    part = (F.col("m_extra") > 0) & (F.col("m_extra") < F.col("m_size"))
+            .select(F.col("doc_id").alias(m_id), F.col("source").alias(m_source), F.col("size").alias(m_size),
+                    F.col("epochs").alias(m_epochs), F.col("extra").alias(m_extra)))
+    keys = [m_id, m_source, m_size]
+    sized = docs.withColumn(size, word_count(F.col(text_col)))
+    same = (F.col(id_col).eqNullSafe(F.col(m_id)) & F.col(source_col).eqNullSafe(F.col(m_source)) & (F.col(size) == F.col(m_size)))
+    if plan.groupBy(*keys).count().filter("count > 1").limit(1).count():
+        # of equal rows the first ranks take the larger passes
+        plan = plan.withColumn(nth, F.row_number().over(W.partitionBy(*keys).orderBy(F.desc(m_extra))))
+        sized = sized.withColumn(rank, F.row_number().over(W.partitionBy(id_col, source_col, size).orderBy(text_col)))
+        same = same & (F.col(rank) == F.col(nth))
+    rows = sized.join(plan.filter((F.col(m_epochs) > 0) | (F.col(m_extra) > 0)), same)
+    epochs, extra, taken = F.col(m_epochs), F.col(m_extra), F.col(words)
+    whole = F.when(extra == F.col(m_size), epochs + 1).otherwise(epochs)
+    part = (extra > 0) & (extra < F.col(m_size))
     copies = F.concat(F.when(whole > 0, F.array_repeat(F.lit(-1).cast("long"), whole.cast("int"))).otherwise(
-        F.array().cast("array<long>")), F.when(part, F.array(F.col("m_extra"))).otherwise(F.array().cast("array<long>")))
-    rows = rows.withColumn("_words", F.explode(copies))
+        F.array().cast("array<long>")), F.when(part, F.array(extra)).otherwise(F.array().cast("array<long>")))
+    rows = rows.withColumn(words, F.explode(copies))
     cut = F.regexp_extract(F.col(text_col), r"^[\x20\x09-\x0D]*", 0)
-    words = F.slice(F.regexp_extract_all(F.col(text_col), F.lit(rf"(?:{WORD})[\x20\x09-\x0D]*"), F.lit(0)),
-                    F.lit(1), F.greatest(F.col("_words"), F.lit(0)).cast("int"))
-    text = F.when(F.col("_words") >= 0, F.concat(cut, F.array_join(words, ""))).otherwise(F.col(text_col))
+    pieces = F.slice(F.regexp_extract_all(F.col(text_col), F.lit(rf"(?:{WORD})[\x20\x09-\x0D]*"), F.lit(0)),
+                     F.lit(1), F.greatest(taken, F.lit(0)).cast("int"))
+    text = F.when(taken >= 0, F.concat(cut, F.array_join(pieces, ""))).otherwise(F.col(text_col))
     out = rows.withColumn(text_col, text)
     if count_col in docs.columns:
-        out = out.withColumn(count_col, F.when(F.col("_words") >= 0, F.length(text_col).cast("long"))
+        out = out.withColumn(count_col, F.when(taken >= 0, F.length(text_col).cast("long"))
                              .otherwise(F.col(count_col)).cast(docs.schema[count_col].dataType))
     return out.select(*[out[c] for c in docs.columns])

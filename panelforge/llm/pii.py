@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
+from panelforge.llm.common import free_name, ship_code
+
 KINDS = ("email", "ip", "card", "phone")
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
@@ -290,6 +292,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     ids stay as they are; other columns are not read; an empty table gives an empty result. Texts are
     scanned whole.
     """
+    ship_code(docs.sparkSession)
     hit = docs.select(F.col(id_col).alias("doc_id"), _columns(False)(F.col(text_col)).alias("p"))
     return hit.select("doc_id", "p.n_email", "p.n_ip", "p.n_card", "p.n_phone", "p.base_sha256", "p.spans")
 
@@ -299,9 +302,11 @@ def mask_pii(docs: DataFrame, text_col: str = "text", count_col: str = "n_chars"
 
     Same columns and rows; ``count_col`` (if there) follows a changed text. Null texts stay null.
     """
-    out = docs.withColumn("_clean", _columns(True)(F.col(text_col))["clean"])
-    new = {text_col: F.col("_clean")}
+    ship_code(docs.sparkSession)
+    clean = free_name(docs, "clean")
+    out = docs.withColumn(clean, _columns(True)(F.col(text_col))["clean"])
+    new = {text_col: F.col(clean)}
     if count_col in docs.columns:
-        changed = ~F.col("_clean").eqNullSafe(F.col(text_col))
-        new[count_col] = F.when(changed, F.length("_clean")).otherwise(F.col(count_col)).cast(docs.schema[count_col].dataType)
+        changed = ~F.col(clean).eqNullSafe(F.col(text_col))
+        new[count_col] = F.when(changed, F.length(clean)).otherwise(F.col(count_col)).cast(docs.schema[count_col].dataType)
     return out.withColumns(new).select(*docs.columns)

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
-from panelforge.llm.common import in_fold, labelled_sample, scratch_table
+from panelforge.llm.common import free_name, in_fold, labelled_sample, scratch_table, ship_code
 
 #: Labelled rows per class that the lexicon and the weights are learned from (smallest id hashes).
 MAX_ROWS_PER_CLASS = 6000
@@ -266,6 +266,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_RO
 
     Without labelled rows of both classes the lexicon is the seeds and the weights are the prior's.
     """
+    ship_code(docs.sparkSession)
     sample = scratch_table(labelled_sample(docs, labels, "toxic", FOLDS, HELD_OUT, max_per_class, id_col, text_col),
                            "toxicity-sample")
     counts = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
@@ -357,6 +358,7 @@ def score_toxicity(docs: DataFrame, model: dict, id_col: str = "doc_id", text_co
     Null and empty texts get the score of a text without hits. Null ids are not held out. One row per
     input row; an empty table gives an empty result; only the text is an input of the score.
     """
+    ship_code(docs.sparkSession)
     return (docs.select(F.col(id_col).alias("doc_id"), in_fold(F.col(id_col), FOLDS, HELD_OUT).alias("held_out"),
                         toxicity_score(F.col(text_col), model).alias("score"))
             .withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int")))
@@ -364,5 +366,7 @@ def score_toxicity(docs: DataFrame, model: dict, id_col: str = "doc_id", text_co
 
 def drop_toxic(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that score below the threshold, columns unchanged."""
-    return (docs.withColumn("_toxic", toxicity_score(F.col(text_col), model))
-            .filter(F.col("_toxic") < THRESHOLD).drop("_toxic"))
+    ship_code(docs.sparkSession)
+    toxic = free_name(docs, "toxic")
+    return (docs.withColumn(toxic, toxicity_score(F.col(text_col), model))
+            .filter(F.col(toxic) < THRESHOLD).drop(toxic))

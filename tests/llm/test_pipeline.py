@@ -25,3 +25,16 @@ def test_stages_accept_empty_and_odd_documents(spark):
         for name, stage in corpus_pipeline.STAGES:
             docs = scratch_table(stage(spark, docs, SF), "odd-" + name)
         docs.count()
+
+
+def test_stages_leave_columns_of_any_name_alone(spark):
+    """Columns called like the stages' own ones come back as they were."""
+    from pyspark.sql import functions as F
+    extra = ["clean", "_clean", "size", "_size", "words", "_words", "toxic", "_toxic", "gone", "_gone", "m_id", "m_source", "rank",
+             "nth", "m_extra", "m_epochs", "m_size"]
+    docs = table(spark, SF, "documents").limit(60).withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in extra})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = scratch_table(stage(spark, docs, SF), "named-" + name)
+        assert docs.count() > 0
+        wrong = [F.col(c) != F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in extra]
+        assert docs.filter(F.array_contains(F.array(*wrong), True)).count() == 0
