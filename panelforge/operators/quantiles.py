@@ -29,24 +29,28 @@ def value_counts(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) ->
     return long.where(F.col("__v").isNotNull()).groupBy(*keys, "__c", "__v").agg(F.count(F.lit(1)).alias("__n"))
 
 
-def ranked_values(df: DataFrame, keys: Sequence[str], wanted: Sequence[tuple[str, float]]) -> DataFrame:
+def ranked_values(df: DataFrame, keys: Sequence[str], wanted: Sequence[tuple[str, float]], lower: bool = False) -> DataFrame:
     """``keys, __w, __q``: per group the exact quantile ``wanted[__w]`` = (column, probability).
 
-    Groups without a value of the column have no row for it. NULL keys form a group.
+    Groups without a value of the column have no row for it. NULL keys form a group. With ``lower`` the value at
+    floor(h) is taken instead of interpolating, always one of the column's own.
     """
     keys = list(keys)
     columns = list(dict.fromkeys(c for c, _ in wanted))
     part = [*keys, "__c"]
     table = sliced(value_counts(df, keys, columns), part, ["__v"], "quantiles")
     places = slice_counts(table, part, "__n")
-    asked = []
-    for w, (c, p) in enumerate(wanted):
-        h = F.lit(float(p)) * (F.col("__total") - 1)
-        for side, rank in (("lo", F.floor(h)), ("hi", F.ceil(h))):
-            asked.append(F.when(F.col("__c") == columns.index(c), F.struct(
-                F.lit(w).alias("w"), F.lit(side == "hi").alias("hi"), (rank - F.col("__before")).alias("r"), (h - F.floor(h)).alias("f"))))
-    asked = F.filter(F.array(*asked), lambda a: a.isNotNull() & (a["r"] >= 0) & (a["r"] < F.col("__rows")))
-    places = places.select(*part, SLICE, asked.alias("__asked")).where(F.size("__asked") > 0)
+    # the wanted quantiles of a row's column, then the one or two ranks of each that lie in its slice
+    listed = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(columns.index(c)).alias("c"), F.lit(float(p)).alias("p"))
+                       for w, (c, p) in enumerate(wanted)])
+    asked = places.withColumn("__l", F.explode(F.filter(listed, lambda a: a["c"] == F.col("__c"))))
+    h = F.col("__l.p") * (F.col("__total") - 1)
+    ends = [F.struct(F.lit(False).alias("hi"), F.floor(h).alias("k")),
+            F.struct(F.lit(True).alias("hi"), (F.floor(h) if lower else F.ceil(h)).alias("k"))]
+    asked = asked.select(*part, SLICE, "__rows", "__before", F.col("__l.w").alias("w"), (h - F.floor(h)).alias("f"), F.explode(F.array(*ends)).alias("e"))
+    rank = F.col("e.k") - F.col("__before")
+    places = (asked.where((rank >= 0) & (rank < F.col("__rows"))).groupBy(*part, SLICE)
+              .agg(F.collect_list(F.struct("w", F.col("e.hi").alias("hi"), rank.alias("r"), "f")).alias("__asked")))
     inside = Window.partitionBy(*part, SLICE).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
     held = null_safe_join(table, places, [*part, SLICE]).withColumn("__upto", F.sum("__n").over(inside))
     hits = held.select(*keys, "__v", F.explode(F.filter(
@@ -54,7 +58,7 @@ def ranked_values(df: DataFrame, keys: Sequence[str], wanted: Sequence[tuple[str
     ends = hits.groupBy(*keys, F.col("__a.w").alias("__w")).agg(
         F.max(F.when(~F.col("__a.hi"), F.col("__v"))).alias("__lo"), F.max(F.when(F.col("__a.hi"), F.col("__v"))).alias("__hi"),
         F.max("__a.f").alias("__f"))
-    step = F.when(F.col("__f") == 0, F.lit(0.0)).otherwise(F.col("__f") * (F.col("__hi") - F.col("__lo")))
+    step = F.when((F.col("__f") == 0) | F.lit(lower), F.lit(0.0)).otherwise(F.col("__f") * (F.col("__hi") - F.col("__lo")))
     return ends.select(*keys, "__w", (F.col("__lo") + step).alias("__q"))
 
 
@@ -80,6 +84,14 @@ def quantiles_of(df: DataFrame, spec: Mapping[str, Sequence[float]]) -> dict[str
     return {c: [found.get(next(values)) for _ in probs] for c, probs in spec.items()}
 
 
+def cut_points(df: DataFrame, columns: Sequence[str], bins: int) -> dict[str, list[float]]:
+    """The ``bins`` - 1 values at equal steps of rank in each column that has a value, from one sliced table."""
+    wanted = [(c, i / bins) for c in columns for i in range(1, bins)]
+    found = {r["__w"]: r["__q"] for r in ranked_values(df, [], wanted, lower=True).collect()} if wanted else {}
+    return {c: [found[k] for k in range(j * (bins - 1), (j + 1) * (bins - 1))]
+            for j, c in enumerate(columns) if j * (bins - 1) in found}
+
+
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> list[float | None]:
     return quantiles_of(df, {column: list(probs)})[column]
 
