@@ -9,15 +9,25 @@ from pyspark.sql import functions as F
 
 from panelforge.functions.nulls import col_
 
-# Fixed value: date formats tried, in order, by the tolerant parser.
-DATE_FORMATS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "dd/MM/yyyy", "d/M/yyyy", "yyyyMMdd", "dd-MM-yyyy",
-                "yyyy-MM-dd'T'HH:mm:ss", "dd-MMM-yyyy", "d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy"]
+# Date formats tried, in order, by the tolerant parser.
+DATE_FORMATS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "yyyyMMdd", "yyyy/M/d", "dd-MMM-yyyy", "d MMM yyyy", "d MMMM yyyy",
+                "MMM d, yyyy", "MMMM d, yyyy"]
+MONTH_FIRST = ["M/d/yyyy", "M-d-yyyy", "M/d/yyyy H:mm:ss", "M/d/yyyy H:mm"]
+DAY_FIRST = ["d/M/yyyy", "d-M-yyyy", "d/M/yyyy H:mm:ss", "d/M/yyyy H:mm"]
+#: Date and time with T or a space, fractional seconds and a zone as they may be.
+ISO_TIMESTAMP = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?\s*(Z|[+-]\d{2}:?\d{2})?$"
 
 
-def parse_date(c, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """DAT-01: first format that parses; unparsable -> NULL."""
+def parse_date(c, formats: Sequence[str] = DATE_FORMATS, day_first: bool = False) -> Column:
+    """DAT-01: the first form that parses; unparsable -> NULL.
+
+    Of 3/4/2020 the first number is the month, with ``day_first`` the day; a form that can only be read the other
+    way round (25/4/2020) is. Timestamps may carry fractional seconds and a zone; they become the instant.
+    """
     s = F.trim(col_(c).cast("string"))
-    return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats])
+    numeric = DAY_FIRST + MONTH_FIRST if day_first else MONTH_FIRST + DAY_FIRST
+    instant = F.when(s.rlike(ISO_TIMESTAMP), s.try_cast("timestamp"))
+    return F.coalesce(instant, *[F.try_to_timestamp(s, F.lit(f)) for f in [*formats, *numeric]])
 
 
 def year_month(c) -> Column:

@@ -14,7 +14,7 @@ from panelforge.plans.sqlkit import R, sales_with
 from panelforge.plans.views import sales
 from panelforge.session import scratch_path
 from panelforge.sources.files import read_table
-from panelforge.sources.series import cash_rule, cpi_rule, read_series, write_series_file
+from panelforge.sources.series import cash_rule, cpi_rule, read_series, rejected_rows, write_series_file, write_series_records
 
 
 def index_series(spark, sf_dir):
@@ -145,6 +145,37 @@ def src_05(spark, sf_dir):
     return out.select(F.date_format("date", "yyyy-MM-dd").alias("date"), rnd("cpi_index", 6).alias("cpi_index"))
 
 
+#: Cells with commas, quotes, a line break and letters outside ASCII.
+QUOTED_HEADER = [["Title", "CPI; \u201call groups\u201d, change", 'All groups CPI, "index"\nnot adjusted \u2013 caf\u00e9'],
+                 ["Description", "Change, year on year", "All groups CPI, Index numbers, Weighted average of eight capital cities"],
+                 ["Frequency", "Quarterly", "Quarterly"], ["Type", "Original", "Original"], ["Units", "Per cent, %", "Index, 2011-12=100"]]
+
+
+def _quoted(spark, sf_dir):
+    """The index in thousands with separators, every tenth value broken and every fifteenth date."""
+    s = index_series(spark, sf_dir).withColumn("k", F.dayofyear("date"))
+    value = (F.when(F.col("k") % 10 == 0, "n/a, revised").when(F.col("k") % 10 == 1, F.lit(None)).otherwise(F.format_number(F.col("v") * 1000, 3)))
+    date = F.when(F.col("k") % 15 == 7, F.concat(F.lit("week of "), F.date_format("date", "yyyy-MM-dd"))).otherwise(F.date_format("date", "dd-MMM-yyyy"))
+    out = s.select(date.alias("d"), F.lit("1,5 \u20ac").alias("change"), value.alias("v"))
+    return write_series_records(out, _landed(spark, sf_dir, "quoted"), QUOTED_HEADER)
+
+
+_QUOTED_SQL = IDX_SQL + """,
+k AS (SELECT *, dayofyear(date) AS k FROM idx), bad AS (SELECT *, CASE WHEN k % 15 = 7 THEN 'unparsable date' WHEN k % 10 = 1 THEN 'missing value'
+  WHEN k % 10 = 0 THEN 'unparsable value' END AS reason FROM k)"""
+
+
+@query("src_05_quoted_landed_table", f"WITH {_QUOTED_SQL} SELECT strftime(date, '%Y-%m-%d') AS date, {R('round(v * 1000, 3)', 2)} AS cpi_index FROM bad WHERE reason IS NULL")
+def src_05_quoted(spark, sf_dir):
+    out = read_series(spark, _quoted(spark, sf_dir), cpi_rule, "cpi_index", encoding="utf-8")
+    return out.select(F.date_format("date", "yyyy-MM-dd").alias("date"), rnd("cpi_index", 2).alias("cpi_index"))
+
+
+@query("src_05_rejected_rows", f"WITH {_QUOTED_SQL} SELECT reason, count(*) AS n FROM bad WHERE reason IS NOT NULL GROUP BY 1")
+def src_05_rejected(spark, sf_dir):
+    return rejected_rows(spark, _quoted(spark, sf_dir), cpi_rule, encoding="utf-8").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("src_06_landed_rate_table_daily_preferred", f"WITH {RATE_SQL} SELECT strftime(date, '%Y-%m-%d') AS date, {R('v * 100', 6)} AS cash_rate FROM rate WHERE v IS NOT NULL")
 def src_06(spark, sf_dir):
     s = rate_series(spark, sf_dir)

@@ -160,7 +160,21 @@ def dat_01(spark, sf_dir):
     s = sales(spark, sf_dir)
     txt = (F.when(F.col("row_id") % 3 == 0, F.date_format("saleDate", "yyyy-MM-dd"))
             .when(F.col("row_id") % 3 == 1, F.date_format("saleDate", "dd/MM/yyyy")).otherwise(F.lit("not a date")))
-    return s.select("row_id", F.date_format(dates.parse_date(txt), "yyyy-MM-dd").alias("parsed"))
+    return s.select("row_id", F.date_format(dates.parse_date(txt, day_first=True), "yyyy-MM-dd").alias("parsed"))
+
+
+@query("dat_01_month_first_zones_and_fractions", sales_with("""t AS (SELECT *, row_id % 8 AS k FROM sales)""") + """
+SELECT row_id, CASE WHEN k = 7 THEN NULL WHEN k IN (4, 5) THEN strftime(saleDate, '%Y-%m-%d') || ' 13:05:09.25'
+  WHEN k = 6 THEN strftime(saleDate - INTERVAL 1 DAY, '%Y-%m-%d') || ' 22:35:00.00'
+  WHEN k = 3 THEN strftime(saleDate, '%Y-%m-%d') || ' 09:07:00.00' ELSE strftime(saleDate, '%Y-%m-%d') || ' 00:00:00.00' END AS parsed FROM t""")
+def dat_01_month_first(spark, sf_dir):
+    s, k = sales(spark, sf_dir), F.col("row_id") % 8
+    day = F.date_format("saleDate", "yyyy-MM-dd")
+    txt = (F.when(k == 0, F.date_format("saleDate", "M/d/yyyy")).when(k == 1, F.date_format("saleDate", "MM/dd/yyyy"))
+            .when(k == 2, F.date_format("saleDate", "MMMM d, yyyy")).when(k == 3, F.concat(F.date_format("saleDate", "M/d/yyyy"), F.lit(" 9:07")))
+            .when(k == 4, F.concat(day, F.lit("T13:05:09.250Z"))).when(k == 5, F.concat(F.lit(" "), day, F.lit(" 13:05:09.25")))
+            .when(k == 6, F.concat(day, F.lit("T04:35:00+06:00"))).otherwise(F.lit("2020-13-45")))
+    return s.select("row_id", F.date_format(dates.parse_date(txt), "yyyy-MM-dd HH:mm:ss.SS").alias("parsed"))
 
 
 @query("dat_02_03_04_parts_ordinal_label", sales_with() + f"""

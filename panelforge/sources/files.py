@@ -54,11 +54,16 @@ def read_csv_union(spark: SparkSession, paths: Sequence[str], encoding: str = "u
         raise FileNotFoundError("no CSV files matched")
     reader = (spark.read.option("header", True).option("inferSchema", False)
               .option("encoding", encoding).option("mode", "PERMISSIVE"))
-    # Group files by header. Reading a header is a take(1) on the file, so this costs one
-    # tiny job per file (bounded by the file count, never by the data volume).
-    groups: dict[tuple, list[str]] = {}
-    for f in files:
-        groups.setdefault(tuple(reader.csv(f).columns), []).append(f)
+    # the first record of every file, read in one job: files that share it are one scan
+    first = (spark.read.text(files, wholetext=False).select(F.col("_metadata.file_path").alias("f"), "value",
+                                                            F.monotonically_increasing_id().alias("pos"))
+             if encoding.lower().replace("-", "") == "utf8" else
+             spark.read.option("encoding", encoding).csv(files, schema="value string", sep="\u0001", quote="").select(
+                 F.col("_metadata.file_path").alias("f"), "value", F.monotonically_increasing_id().alias("pos")))
+    heads = first.groupBy("f").agg(F.min_by("value", "pos").alias("head")).collect()   # one row a file
+    groups: dict[str, list[str]] = {}
+    for r in sorted(heads, key=lambda r: r["f"]):
+        groups.setdefault(r["head"], []).append(r["f"])
     frames = [reader.csv(fs).withColumn(source_col, F.col("_metadata.file_name"))
               for _, fs in sorted(groups.items())]
     out = frames[0]
@@ -73,18 +78,6 @@ def filter_with_reason(df: DataFrame, keep, reason: str, reason_col: str = "_dro
     return df.filter(k), df.filter(~k).withColumn(reason_col, F.lit(reason))
 
 
-def write_audit(dropped: Iterable[DataFrame], path: str) -> DataFrame | None:
-    """SRC-07: union of all dropped chunks written once as Parquet."""
-    chunks = list(dropped)
-    if not chunks:
-        return None
-    out = chunks[0]
-    for c in chunks[1:]:
-        out = out.unionByName(c, allowMissingColumns=True)
-    out.write.mode("overwrite").parquet(path)
-    return out
-
-
 def write_lines(df: DataFrame, column: str, path: str) -> str:
     """SRC-08: one value per line (e.g. the selected feature list)."""
     df.select(F.col(column).cast("string")).coalesce(1).write.mode("overwrite").text(path)
