@@ -1,12 +1,8 @@
 """Null handling: one missing-value concept (SQL NULL), safe division, null-safe keys."""
 from __future__ import annotations
 
-from functools import reduce
-from typing import Iterable, Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def col_(c) -> Column:
@@ -18,37 +14,16 @@ def safe_div(n, d) -> Column:
     return F.try_divide(col_(n).cast("double"), col_(d).cast("double"))
 
 
-def nan_to_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Turn floating NaN into NULL so every operator sees a single missing value."""
-    cols = columns or [f.name for f in df.schema.fields
-                       if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in cols}) if cols else df
-
-
-def null_safe_on(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
-                 right_keys: Sequence[str] | None = None) -> Column:
-    """Join condition where NULL matches NULL (pandas merge semantics)."""
-    right_keys = list(right_keys or left_keys)
-    conds = [left[l].eqNullSafe(right[r]) for l, r in zip(left_keys, right_keys)]
-    return reduce(lambda a, b: a & b, conds)
-
-
-# Offset of the rounding step. Means of 2-decimal prices often end exactly in ...5 at the
-# next decimal, and summation order moves them by 1e-12 either way; an offset slightly above
-# one half puts the rounding boundary where such exact decimals cannot fall.
-ROUND_OFFSET = 0.5123456789
+# Half up. Means often end exactly on a half at the next digit, and the order of summation moves them by an ulp or
+# so either way; the boundary lies a ten-thousandth of a unit of the last digit below the half, where they agree.
+ROUND_OFFSET = 0.50012345679
 
 
 def rnd(c, scale: int) -> Column:
-    """Deterministic half-up rounding (boundary moved off exact decimals), used on both
-    sides of the oracle check so equal inputs quantise identically."""
+    """Half-up rounding that sums in any order agree on; the oracle SQL rounds by the same rule."""
     k = float(10 ** scale)
     return F.floor(col_(c) * F.lit(k) + F.lit(ROUND_OFFSET)) / F.lit(k)
 
 
 def rnd_sql(expr: str, scale: int) -> str:
     return f"(FLOOR(({expr}) * 1e{scale} + {ROUND_OFFSET}) / 1e{scale})"
-
-
-def all_present(df: DataFrame, cols: Iterable[str]) -> bool:
-    return all(c in df.columns for c in cols)

@@ -120,16 +120,26 @@ def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return row.selectExpr(f"stack({len(columns)}, {stack}) AS (column, count, mean, std, min, p25, p50, p75, max)")
 
 
-def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def value_counts(df: DataFrame, columns: Sequence[str], ordered: bool = True) -> DataFrame:
     """AGG-18: (column, value, count) for string columns, counts descending."""
     long = df.select(*[F.col(c).cast("string") for c in columns]).unpivot([], list(columns), "column", "value")
-    return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("count")).orderBy(
-        "column", F.desc("count"), "value")
+    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
+    return counts.orderBy("column", F.desc("count"), "value") if ordered else counts
+
+
+def most_frequent_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value) with the most frequent non-NULL value of each column that has one (ties -> smallest).
+
+    Values are counted with map-side combine and the best picked by a partial aggregate: no task holds them all.
+    """
+    counts = value_counts(df, columns, ordered=False).where(F.col("value").isNotNull())
+    return counts.groupBy("column").agg(F.min_by("value", F.struct(-F.col("count"), F.col("value"))).alias("value"))
 
 
 def most_frequent(df: DataFrame, column: str) -> DataFrame:
     """AGG-26: the most frequent value (ties -> smallest)."""
-    return df.agg(F.mode(column, deterministic=True).alias(f"{column}_mode"))
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
+    return counts.agg(F.min_by(F.col(column), F.struct(-F.col("__n"), F.col(column))).alias(f"{column}_mode"))
 
 
 def bounds(df: DataFrame, column: str) -> DataFrame:

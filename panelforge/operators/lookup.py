@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from panelforge.functions.bins import fixed_bins
 from panelforge.functions.dates import age_at, split_year_month
 from panelforge.functions.strings import canon_type
+from panelforge.operators.slices import null_safe_join
 
 # Two-sided normal quantiles used for prediction intervals.
 Z_BY_LEVEL = {0.80: 1.2816, 0.90: 1.6449, 0.95: 1.96, 0.98: 2.3263, 0.99: 2.58}
@@ -32,31 +33,20 @@ def rename_aliases(df: DataFrame, aliases: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(ren) if ren else df
 
 
-def _last_per_month(store: DataFrame, keys: Sequence[str], month_col: str, columns: Sequence[str],
-                    order_col: str) -> DataFrame:
-    payload = F.struct(*[F.col(c) for c in columns])
-    return store.groupBy(*keys, month_col).agg(F.max_by(payload, F.col(order_col)).alias("__p"))
+def _asof(wanted: DataFrame, table: DataFrame, keys: Sequence[str], month_col: str) -> DataFrame:
+    """``keys, __m, __ref``: for each wanted (keys, ``__m``) the table's latest ``__p`` at or before that month, else its
+    latest of all; NULL where the table has no such key.
 
-
-def _asof(requests: DataFrame, table: DataFrame, keys: Sequence[str], month_col: str, req_month: str) -> DataFrame:
-    """Latest table row with month <= request month; else the latest row of the key.
-
-    The month-ordered window runs over the distinct (key, request month) pairs and the
-    per-month store rows only (both bounded by keys x months); requests then pick their
-    reference with an equi-join on (key, month), so many requests for one hot key never
-    share a window task.
+    The month-ordered window runs over distinct wanted pairs and the table's per-month rows only (both bounded by
+    keys x months), so many requests for one hot key never share a window task.
     """
-    from panelforge.operators.slices import null_safe_join as _ns_join
-    ptype = table.schema["__p"].dataType
-    rm = requests.select(*keys, F.col(req_month).alias("__m")).distinct()
-    u = rm.select(*keys, "__m", F.lit(None).cast(ptype).alias("__p"), F.lit(1).alias("__is_req")).unionByName(
+    kind = table.schema["__p"].dataType
+    union = wanted.select(*keys, "__m", F.lit(None).cast(kind).alias("__p"), F.lit(1).alias("__is_req")).unionByName(
         table.select(*keys, F.col(month_col).alias("__m"), "__p", F.lit(0).alias("__is_req")))
-    w = Window.partitionBy(*keys).orderBy("__m", "__is_req").rowsBetween(Window.unboundedPreceding, 0)
-    prior = u.withColumn("__prior", F.last("__p", ignorenulls=True).over(w)).where(F.col("__is_req") == 1)
+    upto = Window.partitionBy(*keys).orderBy("__m", "__is_req").rowsBetween(Window.unboundedPreceding, 0)
+    prior = union.withColumn("__prior", F.last("__p", ignorenulls=True).over(upto)).where(F.col("__is_req") == 1)
     latest = table.groupBy(*keys).agg(F.max_by("__p", F.col(month_col)).alias("__latest"))
-    mapping = _ns_join(prior, latest, keys, "left").select(*keys, "__m", F.coalesce("__prior", "__latest").alias("__ref"))
-    req = requests.select("__rid", *keys, F.col(req_month).alias("__m"))
-    return _ns_join(req, mapping, list(keys) + ["__m"], "left").select("__rid", "__ref")
+    return null_safe_join(prior, latest, keys, "left").select(*keys, "__m", F.coalesce("__prior", "__latest").alias("__ref"))
 
 
 def asof_reference(requests: DataFrame, store: DataFrame, columns: Sequence[str], request_id: str = "request_id",
@@ -64,29 +54,36 @@ def asof_reference(requests: DataFrame, store: DataFrame, columns: Sequence[str]
                    filters: Sequence[str] = (), order_col: str = "row_id") -> DataFrame:
     """JON-07: per request the representative store row: same suburb (case-insensitive) and,
     when any store row matches them, the request's filter values; exact month, else the latest
-    earlier month, else the latest month; the last row within that month.
+    earlier month, else the latest month; the last row within that month. A NULL request value
+    skips its filter.
+
+    Returns (request_id, <columns...>) from the chosen store row, one row per request row.
 
-    Returns (request_id, <columns...>) from the chosen store row.
+    The store is reduced once, to its last row per suburb, all filters and month. The choices of filters that
+    occur among the requests (and the empty one, to fall back on) are then built from that table alone.
     """
-    req = requests.withColumn("__rid", F.col(request_id)).withColumn("__su", F.upper(F.trim(F.col(suburb_col))))
-    st = store.withColumn("__su", F.upper(F.col(suburb_col).cast("string")))
-    cols = list(columns)
-    base = _asof(req, _last_per_month(st, ["__su"], month_col, cols, order_col), ["__su"], month_col, month_col)
-    if not filters:
-        out = base
-    else:
-        # a NULL request value skips its filter: store rows stand under every choice of filters, the
-        # others NULL, and a request looks them up under its own choice
-        bits = {f: 1 << i for i, f in enumerate(filters)}
-        req = req.withColumn("__use", sum((F.when(F.col(f).isNotNull(), b).otherwise(0) for f, b in bits.items()), F.lit(0)))
-        st = st.withColumn("__use", F.explode(F.array(*[F.lit(m) for m in range(1, 1 << len(bits))])))
-        st = st.withColumns({f: F.when(F.col("__use").bitwiseAND(F.lit(b)) > 0, F.col(f)) for f, b in bits.items()})
-        fkeys = ["__su", "__use"] + list(filters)
-        filt = _asof(req, _last_per_month(st, fkeys, month_col, cols, order_col), fkeys, month_col, month_col)
-        # a request uses the filtered candidates only when some store row matches all its filters
-        out = base.join(filt.withColumnRenamed("__ref", "__fref"), "__rid", "left").select(
-            "__rid", F.coalesce("__fref", "__ref").alias("__ref"))
-    return out.select(F.col("__rid").alias(request_id), *[F.col(f"__ref.{c}").alias(c) for c in cols])
+    bits = {f: 1 << i for i, f in enumerate(filters)}
+    chosen = sum((F.when(F.col(f).isNotNull(), b).otherwise(0) for f, b in bits.items()), F.lit(0))
+    req = requests.select(F.col(request_id).alias("__rid"), F.upper(F.trim(F.col(suburb_col))).alias("__su"), *filters,
+                          F.col(month_col).alias("__m"), chosen.alias("__use"))
+    payload = F.struct(F.col(order_col).alias("__o"), F.struct(*[F.col(c) for c in columns]).alias("__p"))
+    full = (store.groupBy(F.upper(F.col(suburb_col).cast("string")).alias("__su"), *filters, F.col(month_col))
+            .agg(F.max_by(payload, F.col(order_col)).alias("__x")))
+    used = {0} | ({r[0] for r in req.select("__use").distinct().collect()} if filters else set())   # at most 2^filters
+    keys = ["__su", "__use", *filters]
+    under = full.withColumn("__use", F.explode(F.array(*[F.lit(u) for u in sorted(used)])))
+    under = under.withColumns({f: F.when(F.col("__use").bitwiseAND(F.lit(b)) > 0, F.col(f)) for f, b in bits.items()})
+    table = (under.groupBy(*keys, month_col).agg(F.max_by("__x", F.col("__x.__o")).alias("__x"))
+             .select(*keys, month_col, F.col("__x.__p").alias("__p")))
+    none = req.withColumns({"__use": F.lit(0)} | {f: F.lit(None).cast(req.schema[f].dataType) for f in filters})
+    wanted = req.select(*keys, "__m").unionByName(none.select(*keys, "__m")).distinct()
+    found = _asof(wanted, table, keys, month_col)
+    out = null_safe_join(req, found, [*keys, "__m"], "left")
+    if filters:
+        # the filtered candidates count only when some store row matches all filters of the request
+        base = found.where(F.col("__use") == 0).select("__su", "__m", F.col("__ref").alias("__base"))
+        out = null_safe_join(out, base, ["__su", "__m"], "left").withColumn("__ref", F.coalesce("__ref", "__base"))
+    return out.select(F.col("__rid").alias(request_id), *[F.col(f"__ref.{c}").alias(c) for c in columns])
 
 
 def hydrate(requests: DataFrame, reference: DataFrame, columns: Sequence[str], request_id: str = "request_id") -> DataFrame:

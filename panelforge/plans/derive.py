@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.functions import arith, bins, dates, expressions, strings
-from panelforge.operators import groups, joins, panel, windows
+from panelforge.operators import cleaning, groups, joins, panel, windows
 from panelforge.plans import blocks
 from panelforge.sources.files import Registry
 
@@ -186,5 +186,5 @@ def run_derive(df: DataFrame, steps: Sequence[Mapping[str, Any]], datasets: Mapp
             rows_same = False                      # the join may have changed the row set
         dirty |= {c for c, attribute in _outputs(df).items() if before.get(c) != attribute}
     if default_fill is not None:
-        df = df.fillna(default_fill)
+        df = cleaning.default_fill(df, default_fill)
     return df

@@ -139,9 +139,10 @@ def agg_22(spark, sf_dir):
 @query("top_03_top20_streets", sales_with(f"st AS (SELECT {R('avg(salePrice)', 4)} AS mean_sale_price, {R('median(salePrice)', 4)} AS median_sale_price, custkey % 40 AS street_no FROM sales GROUP BY street_no)") + """
 SELECT street_no, mean_sale_price, median_sale_price FROM st ORDER BY mean_sale_price DESC, street_no LIMIT 20""")
 def top_03(spark, sf_dir):
+    from panelforge.operators.groups import grouped
     s = sales(spark, sf_dir).withColumn("street_no", F.col("custkey") % 40)
-    g = s.groupBy("street_no").agg(rnd(F.avg("salePrice"), 4).alias("mean_sale_price"),
-                                   rnd(F.percentile("salePrice", 0.5), 4).alias("median_sale_price"))
+    g = grouped(s, ["street_no"], [("mean", "salePrice", "mean"), ("median", "salePrice", "median")])
+    g = g.select("street_no", rnd("mean", 4).alias("mean_sale_price"), rnd("median", 4).alias("median_sale_price"))
     return I.top_k(g, 20, [F.desc("mean_sale_price"), "street_no"])
 
 
@@ -175,12 +176,14 @@ def smp_01(spark, sf_dir):
 
 
 @query("set_01_union_by_name", sales_with() + """
-SELECT row_id, salePrice, NULL::DOUBLE AS landSizeM2, 'a' AS part FROM sales WHERE propertyType = 'BUILDING'
-UNION ALL SELECT row_id, NULL::DOUBLE AS salePrice, landSizeM2, 'b' AS part FROM sales WHERE propertyType = 'MACHINERY'""")
+SELECT row_id, CASE WHEN propertyType IN ('BUILDING', 'AUTOMOBILE') THEN salePrice END AS salePrice,
+  CASE WHEN propertyType IN ('BUILDING', 'AUTOMOBILE') THEN NULL ELSE landSizeM2 END AS landSizeM2,
+  CASE WHEN propertyType IN ('BUILDING', 'AUTOMOBILE') THEN 'a' ELSE 'b' END AS part FROM sales""")
 def set_01(spark, sf_dir):
     s = sales(spark, sf_dir)
-    a = s.where(F.col("propertyType") == "BUILDING").select("row_id", "salePrice", F.lit("a").alias("part"))
-    b = s.where(F.col("propertyType") == "MACHINERY").select("row_id", "landSizeM2", F.lit("b").alias("part"))
+    first = F.coalesce(F.col("propertyType").isin("BUILDING", "AUTOMOBILE"), F.lit(False))
+    a = s.where(first).select("row_id", "salePrice", F.lit("a").alias("part"))
+    b = s.where(~first).select("row_id", "landSizeM2", F.lit("b").alias("part"))
     return a.unionByName(b, allowMissingColumns=True)
 
 
@@ -211,26 +214,27 @@ def set_02(spark, sf_dir):
     s = sales(spark, sf_dir)
     n = read_table(spark, sf_dir, "nation")
     lookup = (s.select("street", "suburb").distinct()
-               .join(F.broadcast(n), F.col("suburb") == F.col("n_name"))
+               .join(n, F.col("suburb") == F.col("n_name"))
                .select("street", "suburb", (F.col("n_regionkey") * 1.5 - 37.0).alias("latitude"),
                        (F.col("n_nationkey") * 0.5 + 144.0).alias("longitude")))
     return distinct_lookup(s, ["street", "suburb", "region"], lookup)
 
 
-_MONTHS = sales_with(f"""seen AS (SELECT DISTINCT {SALES_T} AS o FROM sales WHERE propertyType = 'FURNITURE' AND street = '5-LOW' AND suburb = 'NATION_3'),
-b AS (SELECT min(o) AS lo, max(o) AS hi FROM seen), ex AS (SELECT unnest(range(lo, hi + 1)) AS o FROM b)""")
+_SUBURB_MONTHS = sales_with(f"""seen AS (SELECT DISTINCT suburb, saleType, {SALES_T} AS o FROM sales),
+b AS (SELECT min(o) AS lo, max(o) AS hi FROM seen), g AS (SELECT DISTINCT suburb, saleType FROM seen),
+ex AS (SELECT suburb, saleType, unnest(range(lo, hi + 1)) AS o FROM g, b)""")
 
 
-@query("set_03_jon_10_expected_minus_seen_months", _MONTHS + """
-SELECT CAST((o // 12) * 100 + o % 12 + 1 AS INTEGER) AS missing_month FROM ex ANTI JOIN seen USING (o)""")
+@query("set_03_jon_10_expected_minus_seen_months", _SUBURB_MONTHS + """
+SELECT suburb, saleType, CAST((o // 12) * 100 + o % 12 + 1 AS INTEGER) AS missing_month FROM ex ANTI JOIN seen USING (suburb, saleType, o)""")
 def set_03(spark, sf_dir):
+    """Months of the whole calendar that a suburb and sale type lack."""
     from panelforge.functions.dates import month_ordinal, ordinal_to_year_month
-    s = sales(spark, sf_dir).where((F.col("propertyType") == "FURNITURE") & (F.col("street") == "5-LOW")
-                                   & (F.col("suburb") == "NATION_3"))
-    seen = s.select(month_ordinal("saleYearMonth").alias("o")).distinct()
+    keys = ["suburb", "saleType"]
+    seen = sales(spark, sf_dir).select(*keys, month_ordinal("saleYearMonth").alias("o")).distinct()
     lo, hi = seen.select(F.min("o")).scalar(), seen.select(F.max("o")).scalar()
-    expected = seen.limit(1).select(F.explode(F.sequence(lo, hi)).alias("o"))
-    return anti_by_keys(expected, seen, ["o"]).select(ordinal_to_year_month(F.col("o")).alias("missing_month"))
+    expected = seen.select(*keys).distinct().withColumn("o", F.explode(F.sequence(lo, hi)))
+    return anti_by_keys(expected, seen, [*keys, "o"]).select(*keys, ordinal_to_year_month(F.col("o")).alias("missing_month"))
 
 
 _GROUP_MONTHS = sales_with(f"""seen AS (SELECT DISTINCT suburb, propertyType, street, {SALES_T} AS o FROM sales),

@@ -188,27 +188,32 @@ def _requests(spark, sf_dir):
     s = sales(spark, sf_dir)
     return s.select(F.col("row_id").alias("request_id"), F.lower("suburb").alias("suburb"), "saleYearMonth",
                     F.when(F.col("row_id") % 10 == 0, F.lit("NOPE")).otherwise(F.col("propertyType")).alias("propertyType"),
-                    F.when(F.col("row_id") % 3 == 0, F.lit(None).cast("double")).otherwise(F.col("landSizeM2")).alias("landSizeM2"))
-
-
-def _store(spark, sf_dir):
-    return sales(spark, sf_dir).where(F.col("street") == "1-URGENT")
+                    F.when(F.col("row_id") % 3 == 0, F.lit(None).cast("double")).otherwise(F.col("landSizeM2")).alias("landSizeM2"),
+                    F.when(F.col("row_id") % 4 != 1, F.col("street")).alias("street"))
 
 
+#: Two filters, of which a request may leave out the second; the store is all sales.
 _ASOF_SQL = sales_with("""req AS (SELECT row_id AS request_id, lower(suburb) AS suburb, saleYearMonth AS ym,
-   CASE WHEN row_id % 10 = 0 THEN 'NOPE' ELSE propertyType END AS ptype,
+   CASE WHEN row_id % 10 = 0 THEN 'NOPE' ELSE propertyType END AS ptype, CASE WHEN row_id % 4 <> 1 THEN street END AS rstreet,
    CASE WHEN row_id % 3 = 0 THEN NULL ELSE landSizeM2 END AS landSizeM2 FROM sales),
-st AS (SELECT row_id, upper(suburb) AS su, propertyType, saleYearMonth, salePrice, landSizeM2, yearBuilt FROM sales WHERE street = '1-URGENT'),
-has AS (SELECT DISTINCT su, propertyType FROM st),
-rq AS (SELECT r.*, upper(trim(r.suburb)) AS su, EXISTS (SELECT 1 FROM has h WHERE h.su = upper(trim(r.suburb)) AND h.propertyType = r.ptype) AS use_f FROM req r),
-ref AS (SELECT rq.request_id, st.salePrice, st.landSizeM2, st.yearBuilt FROM rq JOIN st ON rq.su = st.su
-   WHERE NOT rq.use_f OR st.propertyType = rq.ptype
-   QUALIFY row_number() OVER (PARTITION BY rq.request_id ORDER BY (st.saleYearMonth <= rq.ym) DESC, st.saleYearMonth DESC, st.row_id DESC) = 1)""")
+full_ AS (SELECT row_id, upper(suburb) AS su, propertyType, street, saleYearMonth, salePrice, landSizeM2, yearBuilt FROM sales
+   QUALIFY row_number() OVER (PARTITION BY upper(suburb), propertyType, street, saleYearMonth ORDER BY row_id DESC) = 1),
+lat AS (SELECT row_id, su, propertyType AS p, street AS s, saleYearMonth, 3 AS use_, salePrice, landSizeM2, yearBuilt FROM full_
+  UNION ALL SELECT row_id, su, propertyType, NULL, saleYearMonth, 1, salePrice, landSizeM2, yearBuilt FROM full_
+  UNION ALL SELECT row_id, su, NULL, NULL, saleYearMonth, 0, salePrice, landSizeM2, yearBuilt FROM full_),
+st AS (SELECT * FROM lat QUALIFY row_number() OVER (PARTITION BY su, use_, p, s, saleYearMonth ORDER BY row_id DESC) = 1),
+rq AS (SELECT r.*, upper(trim(r.suburb)) AS su, CASE WHEN rstreet IS NULL THEN 1 ELSE 3 END AS use_ FROM req r),
+has AS (SELECT DISTINCT su, use_, p, s FROM st),
+rh AS (SELECT rq.*, CASE WHEN EXISTS (SELECT 1 FROM has h WHERE h.su = rq.su AND h.use_ = rq.use_ AND h.p = rq.ptype
+   AND h.s IS NOT DISTINCT FROM rq.rstreet) THEN rq.use_ ELSE 0 END AS u FROM rq),
+ref AS (SELECT rh.request_id, st.salePrice, st.landSizeM2, st.yearBuilt FROM rh JOIN st ON rh.su = st.su AND rh.u = st.use_
+   WHERE rh.u = 0 OR (st.p = rh.ptype AND st.s IS NOT DISTINCT FROM rh.rstreet)
+   QUALIFY row_number() OVER (PARTITION BY rh.request_id ORDER BY (st.saleYearMonth <= rh.ym) DESC, st.saleYearMonth DESC) = 1)""")
 
 
 @query("jon_07_asof_reference_lookup", _ASOF_SQL + "SELECT request_id, salePrice, landSizeM2, yearBuilt FROM ref")
 def jon_07(spark, sf_dir):
-    return asof_reference(_requests(spark, sf_dir), _store(spark, sf_dir), _REF_COLS, filters=["propertyType"])
+    return asof_reference(_requests(spark, sf_dir), sales(spark, sf_dir), _REF_COLS, filters=["propertyType", "street"])
 
 
 @query("jon_08_hydrate_null_cells", _ASOF_SQL + """
@@ -216,7 +221,7 @@ SELECT req.request_id, coalesce(req.landSizeM2, ref.landSizeM2) AS landSizeM2, r
 FROM req LEFT JOIN ref USING (request_id)""")
 def jon_08(spark, sf_dir):
     req = _requests(spark, sf_dir)
-    ref = asof_reference(req, _store(spark, sf_dir), _REF_COLS, filters=["propertyType"])
+    ref = asof_reference(req, sales(spark, sf_dir), _REF_COLS, filters=["propertyType", "street"])
     return hydrate(req, ref, ["landSizeM2", "yearBuilt"]).select("request_id", "landSizeM2", "yearBuilt")
 
 

@@ -12,6 +12,7 @@ from panelforge.operators import modelling as M
 from panelforge.operators.groups import aggregate_join_back
 from panelforge.operators.joins import join_step
 from panelforge.plans.derive import run_derive
+from panelforge.plans.q_macro import MACRO_COLS, MACRO_SQL
 from panelforge.plans.registry import query
 from panelforge.plans.sqlkit import R, SALES_T, lines_with, sales_with
 from panelforge.plans.views import lines, sales
@@ -76,19 +77,17 @@ def src_04(spark, sf_dir):
     return j.select("row_id", "k", "suburb_name", "regionkey", "salePrice")
 
 
-@query("jon_01_02_outer_join_suffixes_validation", sales_with("""a AS (SELECT region, count(*) AS n, avg(salePrice) AS price FROM sales WHERE saleType = 'O' GROUP BY 1),
-b AS (SELECT r_name AS region_name, CAST(r_regionkey AS BIGINT) AS n, CAST(r_regionkey * 1000.0 AS DOUBLE) AS price FROM region WHERE r_regionkey <> 4)""") + f"""
-SELECT coalesce(a.region, b.region_name) AS region, a.n AS n, {R('a.price', 4)} AS price, b.region_name, b.n AS n_right, b.price AS price_right
-FROM a FULL OUTER JOIN b ON a.region IS NOT DISTINCT FROM b.region_name""")
+@query("jon_01_02_outer_join_suffixes_validation", sales_with("""a AS (SELECT suburb, saleType, count(*) AS n, avg(salePrice) AS price FROM sales GROUP BY ALL),
+b AS (SELECT n_name AS name, s.saleType, n_regionkey::BIGINT AS n, n_nationkey * 10.0::DOUBLE AS price FROM nation, (VALUES ('O'), ('X')) s(saleType))""") + f"""
+SELECT a.suburb, b.name, coalesce(a.saleType, b.saleType) AS saleType, a.n AS n, {R('a.price', 4)} AS price, b.n AS n_right, b.price::DOUBLE AS price_right
+FROM a FULL OUTER JOIN b ON a.suburb = b.name AND a.saleType = b.saleType""")
 def jon_01_02(spark, sf_dir):
-    s = sales(spark, sf_dir).where(F.col("saleType") == "O").groupBy("region").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("salePrice").alias("price"))
-    r = read_table(spark, sf_dir, "region").where(F.col("r_regionkey") != 4).select(
-        F.col("r_name").alias("region_name"), F.col("r_regionkey").cast("bigint").alias("n"),
-        (F.col("r_regionkey") * 1000.0).alias("price"))
-    j = join_step(s, r, on=[{"left": "region", "right": "region_name"}], how="outer", validate="one_to_one")
-    return j.select(F.coalesce("region", "region_name").alias("region"), "n", rnd("price", 4).alias("price"),
-                    "region_name", "n_right", "price_right")
+    s = sales(spark, sf_dir).groupBy("suburb", "saleType").agg(F.count(F.lit(1)).alias("n"), F.avg("salePrice").alias("price"))
+    r = read_table(spark, sf_dir, "nation").select(
+        F.col("n_name").alias("name"), F.explode(F.array(F.lit("O"), F.lit("X"))).alias("saleType"),
+        F.col("n_regionkey").cast("bigint").alias("n"), (F.col("n_nationkey") * 10.0).alias("price"))
+    j = join_step(s, r, on=[{"left": "suburb", "right": "name"}, "saleType"], how="outer", validate="one_to_one")
+    return j.select("suburb", "name", "saleType", "n", rnd("price", 4).alias("price"), "n_right", "price_right")
 
 
 @query("jon_01_02_outer_join_suffixes_validation_all_rows", sales_with("""a AS (SELECT region, count(*) AS n, avg(salePrice) AS price FROM sales GROUP BY 1),
@@ -156,11 +155,10 @@ FROM d JOIN region ON d.region = region.r_name""")
 def exp_01_derive(spark, sf_dir):
     s = sales(spark, sf_dir)
     regions = read_table(spark, sf_dir, "region")
-    d = run_derive(s, DERIVE_STEPS, datasets={"regions": regions}, materialize=True)
-    out = d.select("row_id", "saleYear", "price_band", rnd("ppsqm", 4).alias("ppsqm"), rnd("suburb_mean", 4).alias("suburb_mean"),
+    d = run_derive(s, DERIVE_STEPS, datasets={"regions": regions}, default_fill=-1, materialize=True)
+    return d.select("row_id", "saleYear", "price_band", rnd("ppsqm", 4).alias("ppsqm"), rnd("suburb_mean", 4).alias("suburb_mean"),
                    rnd("med_6m", 4).alias("med_6m"), "n_6m", rnd("roll3", 4).alias("roll3"), "r_regionkey",
                    rnd("norm_price", 6).alias("norm_price"))
-    return out.fillna(-1.0, ["ppsqm", "med_6m", "norm_price"]).fillna(-1, ["n_6m"])
 
 
 @query("mod_05_09_estimator_family_holdout")
@@ -185,13 +183,39 @@ def src_08(spark, sf_dir):
     return spark.read.text(path).withColumnRenamed("value", "feature")
 
 
-@query("src_10_macro_outputs_written")
-def src_10(spark, sf_dir):
+def _macro_outputs(spark, sf_dir):
+    """SRC-10: all seven tables, periodic, yearly and joined, written as CSV; (name, path) pairs."""
     from panelforge.plans import q_macro as QM
     base = _scratch(spark, sf_dir, "macro")
-    tables = {"cpi_annual_avg": QM._cpi_avg(spark, sf_dir), "cpi_annual_december": QM._cpi_dec(spark, sf_dir),
+    day = F.date_format("date", "yyyy-MM-dd").alias("date")
+    tables = {"cpi_quarterly": QM.index_series(spark, sf_dir).select(day, F.col("v").alias("cpi_index")),
+              "cpi_annual_avg": QM._cpi_avg(spark, sf_dir), "cpi_annual_december": QM._cpi_dec(spark, sf_dir),
+              "rba_cash_daily": QM.rate_series(spark, sf_dir).select(day, F.col("v").alias("cash_rate")),
               "rba_cash_annual": QM._cash(spark, sf_dir), "asx200_yearly": QM._asx(spark, sf_dir),
               "macro_au_annual": QM.macro_table(spark, sf_dir)}
     for name, t in tables.items():
-        t.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{base}/{name}.csv")
-    return load_parquet_or_csv(spark, f"{base}/macro_au_annual.csv")
+        t.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{base}/{name}.csv")   # calendar-bounded
+    return {name: f"{base}/{name}.csv" for name in tables}
+
+
+_SRC_10 = {"cpi_quarterly": ("(SELECT date, v AS cpi_index FROM idx)", "cpi_index"), "cpi_annual_avg": ("cpi_avg", "cpi_index_avg"),
+           "cpi_annual_december": ("cpi_dec", "cpi_index_dec"), "rba_cash_daily": ("(SELECT date, v AS cash_rate FROM rate)", "cash_rate"),
+           "rba_cash_annual": ("cash", "cash_rate_avg"), "asx200_yearly": ("asx", "asx200_close"), "macro_au_annual": ("macro", "cpi_index_avg")}
+
+
+@query("src_10_macro_outputs_written", f"WITH {MACRO_SQL} " + " UNION ALL ".join(
+    f"SELECT '{n}' AS output, count(*) AS rows, count({c}) AS present, {R(f'sum({c})', 2)} AS total FROM {t}" for n, (t, c) in _SRC_10.items()))
+def src_10(spark, sf_dir):
+    out = None
+    for name, path in _macro_outputs(spark, sf_dir).items():
+        c = F.col(_SRC_10[name][1]).cast("double")
+        row = load_parquet_or_csv(spark, path).agg(F.lit(name).alias("output"), F.count(F.lit(1)).alias("rows"),
+                                                   F.count(c).alias("present"), rnd(F.sum(c), 2).alias("total"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("src_10_joined_macro_output", f"WITH {MACRO_SQL} SELECT CAST(year AS VARCHAR) AS year, " + ", ".join(f"{R(c, 6)} AS {c}" for c in MACRO_COLS) + " FROM macro")
+def src_10_joined(spark, sf_dir):
+    out = load_parquet_or_csv(spark, _macro_outputs(spark, sf_dir)["macro_au_annual"])
+    return out.select("year", *[rnd(F.col(c).cast("double"), 6).alias(c) for c in MACRO_COLS])

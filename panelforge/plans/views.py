@@ -18,17 +18,12 @@ from panelforge.functions.dates import year_month
 from panelforge.sources.files import read_table
 
 
-def _tiny(df: DataFrame) -> DataFrame:
-    # nation (25 rows) and region (5 rows) are fixed-size dimension tables: a proven bound.
-    return F.broadcast(df)
-
-
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority", "o_orderstatus")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
-    n = _tiny(read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"))
-    r = _tiny(read_table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     j = (o.join(c, o.o_custkey == c.c_custkey)
           .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
           .join(r, F.col("n_regionkey") == F.col("r_regionkey")))
