@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from panelforge.functions.dates import month_ordinal
 from panelforge.functions.nulls import rnd
 from panelforge.operators import modelling as M
+from panelforge.operators.groups import grouped
 from panelforge.operators.lookup import (asof_reference, best_per_window, delta_to_price, hydrate, prepare_requests,
                                          select_targets, with_interval)
 from panelforge.plans.registry import query
@@ -143,6 +144,7 @@ def mod_12_13(spark, sf_dir):
 #: The linear models' whole grid costs no pass of its own; trees are fitted per fold and point.
 GRID = {"LinearRegression": {}, "Ridge": {"alpha": [0.01, 0.1, 1.0, 10.0]}, "Lasso": {"alpha": [0.001, 0.01, 0.1, 1.0]},
         "ElasticNet": {"alpha": [0.01, 0.1, 1.0], "l1_ratio": [0.1, 0.5, 0.9]},
+        "SARIMAX": {"order": [[1, 0, 0], [2, 0, 1]], "seasonal_order": [[0, 0, 0, 0], [1, 0, 0, 12]], "trend": ["c"]},
         "GradientBoostingRegressor": {"n_estimators": [5], "max_depth": [3], "learning_rate": [0.1]}}
 
 
@@ -165,7 +167,8 @@ def mod_15(spark, sf_dir):
     report = M.training_report({"price_future_12m_delta": t12, "price_log_6m": tlog})
     report = report.withColumns({"name": F.concat(F.col("target"), F.lit("_"), F.col("model")),
                                  "forecast_window": F.regexp_extract("target", r"(\d+)m", 0),
-                                 "timestamp": F.lit("20250101_000000"),
+                                 # the second target was trained a day later: the latest one is taken
+                                 "timestamp": F.when(F.col("target") == "price_log_6m", "20250102_000000").otherwise("20250101_000000"),
                                  "ord": F.monotonically_increasing_id()})
     best = best_per_window(report)
     latest = select_targets(best, "latest")
@@ -175,7 +178,7 @@ def mod_15(spark, sf_dir):
 @query("mod_10_seasonal_ar_forecast")
 def mod_10(spark, sf_dir):
     s = sales(spark, sf_dir)
-    series = s.groupBy("region", month_ordinal("saleYearMonth").alias("t")).agg(F.percentile("salePrice", 0.5).alias("y"))
+    series = grouped(s.withColumn("t", month_ordinal("saleYearMonth")), ["region", "t"], [("median", "salePrice", "y")])
     model = M.fit_seasonal_ar(series, ["region"], "t", "y", p=2, seasonal=12, seasonal_p=1)
     return M.forecast_seasonal_ar(model, series, ["region"], "t", "y", horizon=6, p=2, seasonal=12, seasonal_p=1)
 

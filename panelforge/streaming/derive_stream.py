@@ -21,8 +21,11 @@ def stateless_steps(steps: Sequence[Mapping[str, Any]]) -> list[Mapping[str, Any
 
 def derive_stream(stream: DataFrame, steps: Sequence[Mapping[str, Any]], sink_path: str, checkpoint: str,
                   trigger_once: bool = True):
-    """Start a query that derives columns per micro-batch and appends them as Parquet."""
+    """Start a query that derives columns per micro-batch and appends them as Parquet; other than row-level steps raise."""
     row_steps = stateless_steps(steps)
+    if len(row_steps) < len(steps):
+        left_out = [s.get("method") or s.get("type") for s in steps if s not in row_steps]
+        raise ValueError(f"steps that need whole history can't run on a stream: {left_out}")
 
     def batch(df: DataFrame, epoch_id: int) -> None:
         out = run_derive(df, [dict(s, **({"skip_all_null_check": True} if s.get("method") == "date_parts" else {}))

@@ -2,6 +2,8 @@
 import os
 import tempfile
 
+import pytest
+
 from panelforge.streaming.derive_stream import derive_stream, stateless_steps
 
 SF = "/root/testdata/sf0.001"
@@ -19,7 +21,9 @@ def test_derive_stream_matches_batch(spark):
     out = tempfile.mkdtemp(prefix="pf-stream-out-")
     ck = tempfile.mkdtemp(prefix="pf-stream-ck-")
     stream = spark.readStream.schema(src.schema).option("pathGlobFilter", "orders.parquet").parquet(SF)
-    q = derive_stream(stream, steps, os.path.join(out, "t"), ck)
+    with pytest.raises(ValueError, match="aggregate"):
+        derive_stream(stream, steps, os.path.join(out, "t"), ck)
+    q = derive_stream(stream, stateless_steps(steps), os.path.join(out, "t"), ck)
     q.awaitTermination(120)
     got = spark.read.parquet(os.path.join(out, "t"))
     want = run_derive(src, stateless_steps(steps))
