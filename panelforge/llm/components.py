@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from panelforge.llm.common import scratch_table
+from panelforge.llm.common import drop_scratch, scratch_table
 
 
 def split_into_block_pairs(rows: DataFrame, keys: list[str], size: str, row_id: str, block: int) -> DataFrame:
@@ -43,7 +43,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(smallest, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(smallest.select("u", F.col("m").alias("v"))).distinct())
-        edges, after = _round(small)
+        before, (edges, after) = edges, _round(small)
+        drop_scratch(before)
         if after == state:
             break
         state = after

@@ -6,8 +6,10 @@ for two boxes of points at most the same sum over the boxes' largest counts, whi
 
 Such points alone can't be dealt out to many machines (unrelated documents of one length lie close together in
 all coordinates), so each R-tree holds the documents of one bucket: those that share a shingle among the
-first of their sets in hash order. With J >= t, two sets share one among the first |x| - ceil(2t/(1+t) |x|) + 1 of
-the smaller and the first |y| - ceil(t |y|) + 1 of the larger set, so buckets lose no pair.
+first of their sets in one order for all. With J >= t, two sets share one among the first |x| - ceil(2t/(1+t) |x|) + 1
+of the smaller and the first |y| - ceil(t |y|) + 1 of the larger set, so buckets lose no pair. The order puts frequent
+shingles last: one pass counts all shingles in a table of fixed size, and those in a slot well above the mean come
+later the fuller it is; equal ones go by hash.
 
 Steps: (1) sets, equal sets collapsed; (2) buckets; (3) documents that share many buckets with their bucket's
 first document are compared with it exactly and merged; (4) in the buckets that still hold several components, the
@@ -25,9 +27,10 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from panelforge.llm.common import scratch_table
+from panelforge.llm.common import drop_scratch, free_name, scratch_table, ship_code
 from panelforge.llm.components import components, split_into_block_pairs
 
 WORDS = 5
@@ -39,6 +42,8 @@ LEAF, FANOUT = 64, 8
 #: Bits of the map of ids that ``sets_of`` reads texts for: its size is fixed, misses are impossible.
 MAP_BITS = 24
 MEMO_LIMIT = 200_000
+#: Slots of the table of shingle counts, and rows it is sent in.
+SLOT_BITS, SLOT_PARTS = 18, 16
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
                      0x85EBCA77C2B2AE63], np.uint64)
 
@@ -64,8 +69,8 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def shingle_set(text: str | None, k: int = WORDS) -> np.ndarray:
-    """Sorted distinct hashes of the word k-shingles: A-Z lower-cased, words split at ASCII white space.
+def shingle_hashes(text: str | None, k: int = WORDS) -> np.ndarray:
+    """Hashes of the word k-shingles as they come: A-Z lower-cased, words split at ASCII white space.
 
     Fewer than k words make one shingle of them all; no words, none.
     """
@@ -78,7 +83,52 @@ def shingle_set(text: str | None, k: int = WORDS) -> np.ndarray:
     total = np.full(n - take + 1, np.uint64(take))
     for j in range(take):
         total += _mix(h[j:n - take + 1 + j] + np.uint64(j)) * _FACTORS[j % len(_FACTORS)]
-    return np.unique(_mix(total))
+    return _mix(total)
+
+
+def shingle_set(text: str | None, k: int = WORDS) -> np.ndarray:
+    """Sorted distinct hashes of the word k-shingles."""
+    return np.unique(shingle_hashes(text, k))
+
+
+def _slot(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def slot_levels(texts: DataFrame) -> np.ndarray:
+    """Per slot how far its shingle count lies above the mean, in half octaves (0: not above).
+
+    Counts of all texts are added up in each task, then in groups of tasks; the driver gets the sums alone.
+    """
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << SLOT_BITS, np.int64)
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                np.add.at(total, _slot(shingle_hashes(t)), 1)
+        task = TaskContext.get().partitionId()
+        parts = total.reshape(SLOT_PARTS, -1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(SLOT_PARTS, dtype=np.int32)), pa.array(np.full(SLOT_PARTS, task, np.int32)),
+                                          pa.array([p.tobytes() for p in parts], pa.binary())], names=["part", "task", "counts"])
+
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(c, np.int64) for c in group["counts"])
+        return pd.DataFrame({"part": group["part"].iloc[:1], "task": 0, "counts": [total.tobytes()]})
+
+    kind = "part int, task int, counts binary"
+    rows = texts.select("text")
+    width = max(1, math.isqrt(rows.rdd.getNumPartitions()))
+    sums = rows.mapInArrow(count, kind).groupBy("part", (F.col("task") % width).alias("g")).applyInPandas(add, kind)
+    found = {r["part"]: r["counts"] for r in sums.groupBy("part").applyInPandas(add, kind).collect()}
+    if not found:
+        return np.zeros(1 << SLOT_BITS, np.uint8)
+    counts = np.concatenate([np.frombuffer(found[p], np.int64) for p in range(SLOT_PARTS)])
+    return np.floor(2 * np.log2(np.maximum(counts / max(counts.mean(), 1e-9), 1))).astype(np.uint8)
+
+
+def in_order(hashes: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """A sorted set in the order of all sets: by the level of its slot, then by hash."""
+    level = levels[_slot(hashes)]
+    return hashes[np.argsort(level, kind="stable")] if level.any() else hashes
 
 
 def group_counts(hashes: np.ndarray) -> bytes:
@@ -130,19 +180,22 @@ def least_overlap(x, y, num: int = THRESHOLD[0], den: int = THRESHOLD[1]):
 _SETS = "doc_id long, n long, sig binary, keys array<long>, counts binary"
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        n, sig, keys, counts = [], [], [], []
-        for t in batch.column(1).to_pylist():
-            s = shingle_set(t)
-            n.append(len(s))
-            sig.append(xxhash.xxh128_digest(s.tobytes()) if len(s) else None)
-            keys.append(s[:prefixes(len(s))[1]].view(np.int64) if len(s) else [])
-            counts.append(group_counts(s) if len(s) else None)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.binary()),
-             pa.array(keys, pa.list_(pa.int64())), pa.array(counts, pa.binary())],
-            names=["doc_id", "n", "sig", "keys", "counts"])
+def _sets(levels):
+    """mapInArrow function: documents -> their sets; ``levels`` is the broadcast of :func:`slot_levels`."""
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, sig, keys, counts = [], [], [], []
+            for t in batch.column(1).to_pylist():
+                s = shingle_set(t)
+                n.append(len(s))
+                sig.append(xxhash.xxh128_digest(s.tobytes()) if len(s) else None)
+                keys.append(in_order(s, levels.value)[:prefixes(len(s))[1]].view(np.int64) if len(s) else [])
+                counts.append(group_counts(s) if len(s) else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.binary()),
+                 pa.array(keys, pa.list_(pa.int64())), pa.array(counts, pa.binary())],
+                names=["doc_id", "n", "sig", "keys", "counts"])
+    return sets
 
 
 _KEYS = "key long, rep long, size long, salt int"
@@ -478,7 +531,9 @@ def verified(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
             .unionByName(pairs.select("a", "b", F.col("b").alias("id"))))
     sets = sets_of(texts, ends.select("id").distinct(), "id")
     met = ends.join(sets, "id").repartition("a", "b").sortWithinPartitions("a", "b", "id")
-    return scratch_table(met.select("a", "b", "id", "hashes").mapInPandas(_exact, "a long, b long"), name)
+    links = scratch_table(met.select("a", "b", "id", "hashes").mapInPandas(_exact, "a long, b long"), name)
+    drop_scratch(pairs)
+    return links
 
 
 def _tree_round(buckets: DataFrame, named: DataFrame, links: DataFrame, pairs, texts: DataFrame,
@@ -504,8 +559,11 @@ def _tree_round(buckets: DataFrame, named: DataFrame, links: DataFrame, pairs, t
              .select("key", "bi", "bj", "side", "rep", "size", "comp", "counts")
              .repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj"))
     met = scratch_table(dealt.mapInPandas(pairs, "a long, b long, more long"), name + "-met")
-    found = met.filter("a is not null").select("a", "b").distinct()
-    return verified(found, texts, name), met.filter("more is not null").select(F.col("more").alias("key")).distinct()
+    drop_scratch(placed)
+    more = scratch_table(met.filter("more is not null").select(F.col("more").alias("key")).distinct(), name + "-more")
+    links = verified(met.filter("a is not null").select("a", "b").distinct(), texts, name)
+    drop_scratch(met)
+    return links, more
 
 
 def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -517,12 +575,18 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     are not read. An empty table gives an empty result.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sets = scratch_table(texts.mapInArrow(_sets, _SETS), "sets")
+    ship_code(docs.sparkSession)
+    levels = docs.sparkSession.sparkContext.broadcast(slot_levels(texts))   # one byte a slot
+    sets = scratch_table(texts.mapInArrow(_sets(levels), _SETS), "sets")
     named = sets.filter("sig is not null and doc_id is not null")
     reps = named.groupBy("sig", "n").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"))
     buckets = scratch_table(
         reps.select("rep", "n", "keys").mapInArrow(_bucket_rows, _KEYS).repartition("key", "salt")
         .sortWithinPartitions(F.col("salt") > 0, "key").mapInArrow(_shared_keys, "key long, rep long, size long"), "buckets")
+    # the keys have done their work; sizes, signatures and count vectors stay
+    whole, sets = sets, scratch_table(sets.drop("keys"), "set-sizes")
+    drop_scratch(whole)
+    named = sets.filter("sig is not null and doc_id is not null")
 
     # near copies share many buckets with the first document of their size in each of them
     step = F.floor(F.log(F.shiftright("size", 1).cast("double")) / math.log(THRESHOLD[1] / THRESHOLD[0])).cast("int")
@@ -536,7 +600,8 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     closest, unfinished = _tree_round(buckets, named, first, _closest_pairs, texts, "closest-links")
     linked = first.unionByName(closest)
     # a bucket of which every pair that the bound leaves has been verified holds nothing new
-    second, _ = _tree_round(buckets.join(unfinished, "key", "left_semi"), named, linked, _all_pairs, texts, "second-links")
+    second, rest = _tree_round(buckets.join(unfinished, "key", "left_semi"), named, linked, _all_pairs, texts, "second-links")
+    drop_scratch(buckets, unfinished, rest)
 
     smallest = named.groupBy("sig").agg(F.min("doc_id").alias("rep"))
     same_set = named.select("doc_id", "sig").join(smallest, "sig").filter("doc_id > rep").select(
@@ -553,6 +618,7 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Rows with a null id stay. Of rows that repeat an id, all stay or none.
     """
+    gone = free_name(docs, "gone")
     kept = (near_documents(docs, id_col, text_col).filter("doc_id is not null and doc_id <> component_id")
-            .select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(kept, F.col(id_col) == F.col("_gone"), "left_anti")
+            .select(F.col("doc_id").alias(gone)).distinct())
+    return docs.join(kept, F.col(id_col) == F.col(gone), "left_anti")

@@ -218,3 +218,33 @@ def test_bucket_says_whether_pairs_are_left():
     assert {tuple(sorted(p)) for p in zip(a.tolist(), b.tolist())} == {(0, 1)} and not more
     a, b, more = met([hashes[k:k + 100] for k in (0, 1, 2, 3)])   # six pairs, fewer are some document's closest
     assert more and len(set(map(frozenset, zip(a.tolist(), b.tolist())))) < 6
+
+
+def test_repeated_rows_take_the_words_of_the_budget(spark):
+    rows = [(7, "one two three four", "a")] * 6 + [(8, " ".join(["w"] * 30), "b"), (9, " ".join(["v"] * 11), "b")]
+    plan = mixing.mix_sources(docs_of(spark, rows)).collect()
+    mixed = mixing.mixed_documents(docs_of(spark, rows)).collect()
+    for source in "ab":
+        assert sum(len(r["text"].split()) for r in mixed if r["source"] == source) == sum(r["taken"] for r in plan if r["source"] == source)
+
+
+def test_sets_of_every_order_share_a_key(spark):
+    """Frequent shingles come last, the order is one for all, and no link is lost by it."""
+    rng = np.random.default_rng(8)
+    rows = near_copy_rows()
+    levels = jaccard.slot_levels(docs_of(spark, rows).select("text"))
+    hashes = [jaccard.shingle_set(t) for _, t, _ in rows if t and t.split()]
+    everything = np.concatenate([jaccard.shingle_hashes(t) for _, t, _ in rows if t])
+    counts = np.bincount(jaccard._slot(everything), minlength=1 << jaccard.SLOT_BITS)
+    assert (np.diff(levels[np.argsort(counts)].astype(int)) >= 0).all() and levels.max() > 0
+    for order in (levels, rng.integers(0, 9, len(levels)).astype(np.uint8)):
+        keys = [jaccard.in_order(h, order) for h in hashes]
+        for i, x in enumerate(hashes):
+            assert (np.sort(keys[i]) == x).all()
+            for j in range(i):
+                y = hashes[j]
+                both = len(np.intersect1d(x, y))
+                if 100 * both >= 75 * (len(x) + len(y) - both):
+                    small, large = sorted((i, j), key=lambda k: len(hashes[k]))
+                    first = keys[small][:jaccard.prefixes(len(hashes[small]))[0]]
+                    assert len(np.intersect1d(first, keys[large][:jaccard.prefixes(len(hashes[large]))[1]]))
