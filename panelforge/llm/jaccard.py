@@ -41,7 +41,7 @@ BLOCK = 2048
 LEAF, FANOUT = 64, 8
 #: Bits of the map of ids that ``sets_of`` reads texts for: its size is fixed, misses are impossible.
 MAP_BITS = 24
-MEMO_LIMIT = 200_000
+MEMO_LIMIT = 100_000
 #: Slots of the table of shingle counts, and rows it is sent in.
 SLOT_BITS, SLOT_PARTS = 18, 16
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
@@ -103,8 +103,8 @@ def slot_levels(texts: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SLOT_BITS, np.int64)
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                np.add.at(total, _slot(shingle_hashes(t)), 1)
+            found = [_slot(shingle_hashes(t)) for t in batch.column(0).to_pylist()]
+            total += np.bincount(np.concatenate(found), minlength=len(total)) if found else 0
         task = TaskContext.get().partitionId()
         parts = total.reshape(SLOT_PARTS, -1)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(SLOT_PARTS, dtype=np.int32)), pa.array(np.full(SLOT_PARTS, task, np.int32)),
@@ -128,7 +128,10 @@ def slot_levels(texts: DataFrame) -> np.ndarray:
 def in_order(hashes: np.ndarray, levels: np.ndarray) -> np.ndarray:
     """A sorted set in the order of all sets: by the level of its slot, then by hash."""
     level = levels[_slot(hashes)]
-    return hashes[np.argsort(level, kind="stable")] if level.any() else hashes
+    late = level > 0
+    if not late.any():
+        return hashes
+    return np.concatenate([hashes[~late], hashes[late][np.argsort(level[late], kind="stable")]])
 
 
 def group_counts(hashes: np.ndarray) -> bytes:

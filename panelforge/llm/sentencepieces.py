@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
 SPACE = "▁"
-MEMO_LIMIT = 120_000
+MEMO_LIMIT = 60_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _TOP = np.uint64(44)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)

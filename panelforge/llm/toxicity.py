@@ -31,7 +31,9 @@ THRESHOLD = 0.7
 ONE_EDIT_FROM, TWO_EDITS_FROM = 5, 9
 STEM_LENGTHS = (4, 5, 6)
 WINDOW = 8
-MEMO_LIMIT = 120_000
+MEMO_LIMIT = 60_000
+#: States the lazily built automaton holds before it starts anew.
+STATE_LIMIT = 30_000
 
 # Common English insults that the lexicon starts from (dropped where clean labels use them more).
 SEEDS = tuple("""idiot idiots moron morons stupid imbecile cretin dimwit dumb fool loser losers pathetic worthless scum scumbag
@@ -64,6 +66,10 @@ class TermAutomaton:
         for k, w in enumerate(stems):
             self._insert(w, len(words) + k, 0, self.stem)
         self.allowed = [(len(w) >= ONE_EDIT_FROM) + (len(w) >= TWO_EDITS_FROM) for w in words]
+        self._restart()
+
+    def _restart(self) -> None:
+        """No states but the start: they are built again as words need them."""
         self.ids: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
         self.moves: list[dict[str, int]] = []
@@ -130,6 +136,8 @@ class TermAutomaton:
 
     def match(self, word: str) -> tuple[int, int] | None:
         """Best entry for a word as (entry, edits), or None."""
+        if len(self.sets) > STATE_LIMIT:
+            self._restart()
         state, moves = self.start, self.moves
         for c in word:
             nxt = moves[state].get(c)
