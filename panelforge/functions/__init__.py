@@ -1 +1 @@
-"""Column builders (JVM-side expressions only, except ``ascii_fold``)."""
+"""Column builders (JVM-side expressions only)."""
