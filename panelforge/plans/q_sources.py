@@ -174,10 +174,11 @@ def mod_05_09(spark, sf_dir):
 
 @query("src_08_selected_feature_list")
 def src_08(spark, sf_dir):
-    from panelforge.plans.q_select import SELECT_CFG, TARGET, score_input, scores
+    from panelforge.plans.q_select import SELECT_CFG, TARGET, score_input, scores_of
     from panelforge.operators.selection import select_features
     from panelforge.sources.files import write_lines
-    chosen, _ = select_features(score_input(spark, sf_dir), scores(spark, sf_dir), TARGET, **SELECT_CFG)
+    data = score_input(spark, sf_dir)
+    chosen, _ = select_features(data, scores_of(data), TARGET, **SELECT_CFG)
     path = write_lines(spark.createDataFrame([(c,) for c in chosen], "feature string"), "feature",
                        _scratch(spark, sf_dir, "selected_features"))
     return spark.read.text(path).withColumnRenamed("value", "feature")
