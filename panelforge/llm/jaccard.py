@@ -464,11 +464,16 @@ def _tree_pairs(batches: Iterator[pd.DataFrame], best_only: bool) -> Iterator[pd
     yield flush()
 
 
-def _id_map(ids: DataFrame, col: str) -> np.ndarray:
-    """Map of 2^MAP_BITS bits with the hashes of ``ids`` set, gathered as at most 2^(MAP_BITS-6) words."""
+def _map_words(ids: DataFrame, col: str) -> DataFrame:
+    """Map of 2^MAP_BITS bits with the hashes of ``ids`` set, as at most 2^(MAP_BITS-6) words ``w, m``."""
     bit = F.pmod(F.xxhash64(col), F.lit(1 << MAP_BITS))
-    words = (ids.select(F.shiftright(bit, 6).alias("w"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64({col}), {1 << MAP_BITS}) & 63 as int))")
-                        .alias("m")).groupBy("w").agg(F.bit_or("m").alias("m")).toPandas())
+    return (ids.select(F.shiftright(bit, 6).alias("w"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64({col}), {1 << MAP_BITS}) & 63 as int))")
+                       .alias("m")).groupBy("w").agg(F.bit_or("m").alias("m")))
+
+
+def _id_map(ids: DataFrame, col: str) -> np.ndarray:
+    """The words of :func:`_map_words` in the driver."""
+    words = _map_words(ids, col).toPandas()
     out = np.zeros(1 << (MAP_BITS - 6), np.int64)
     out[words["w"].to_numpy(np.int64)] = words["m"].to_numpy(np.int64)
     return out
@@ -569,6 +574,27 @@ def _tree_round(buckets: DataFrame, named: DataFrame, links: DataFrame, pairs, t
     return links, more
 
 
+def alone_and_repeated(named: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``named`` whose ``sig`` no other row has, and those that may have equals.
+
+    A broadcast bit map of fixed size marks the signatures that occur more than once: no equals are parted, few rows
+    without any come along, and nothing but the signatures is shuffled.
+    """
+    again = named.groupBy("sig").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    bit = f"pmod(xxhash64(sig), {1 << MAP_BITS})"
+    words = scratch_table(_map_words(again, "sig"), "repeated")   # at most 2^(MAP_BITS-6) rows, hence the broadcast
+    marked = (named.withColumn("w", F.expr(f"shiftright({bit}, 6)")).join(F.broadcast(words), "w", "left")
+              .withColumn("again", F.expr(f"coalesce(shiftright(m, cast({bit} & 63 as int)) & 1, 0) = 1")).drop("w", "m"))
+    return marked.filter("not again").drop("again"), marked.filter("again").drop("again")
+
+
+def one_per_set(named: DataFrame) -> DataFrame:
+    """``rep, n, keys`` per distinct set, ``rep`` its smallest id. Only sets that may have equals move with their keys."""
+    alone, repeated = alone_and_repeated(named)
+    merged = repeated.groupBy("sig", "n").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"))
+    return alone.select(F.col("doc_id").alias("rep"), "n", "keys").unionByName(merged.select("rep", "n", "keys"))
+
+
 def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` per row of ``docs``.
 
@@ -582,9 +608,8 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     levels = docs.sparkSession.sparkContext.broadcast(slot_levels(texts))   # one byte a slot
     sets = scratch_table(texts.mapInArrow(_sets(levels), _SETS), "sets")
     named = sets.filter("sig is not null and doc_id is not null")
-    reps = named.groupBy("sig", "n").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"))
     buckets = scratch_table(
-        reps.select("rep", "n", "keys").mapInArrow(_bucket_rows, _KEYS).repartition("key", "salt")
+        one_per_set(named).mapInArrow(_bucket_rows, _KEYS).repartition("key", "salt")
         .sortWithinPartitions(F.col("salt") > 0, "key").mapInArrow(_shared_keys, "key long, rep long, size long"), "buckets")
     # the keys have done their work; sizes, signatures and count vectors stay
     whole, sets = sets, scratch_table(sets.drop("keys"), "set-sizes")

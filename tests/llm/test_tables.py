@@ -91,6 +91,18 @@ def test_jaccard_join_with_small_blocks_and_hot_keys(spark, monkeypatch):
     assert out == jaccard_reference(rows)
 
 
+def test_only_sets_that_repeat_move_with_their_keys(spark):
+    rows = [(i, bytes([i % 90]), 3, [i % 90, 5]) for i in range(100)] + [(100, bytes([99]), 4, [1])]
+    named = spark.createDataFrame(rows, "doc_id long, sig binary, n long, keys array<long>")
+    alone, repeated = jaccard.alone_and_repeated(named)
+    assert {r.doc_id for r in alone.collect()} == {*range(10, 90), 100}
+    assert {r.doc_id for r in repeated.collect()} == {*range(10), *range(90, 100)}
+    moved = [line for line in alone._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+    assert not moved
+    found = {(r.rep, r.n, tuple(r.keys)) for r in jaccard.one_per_set(named).collect()}
+    assert found == {(i, 3, (i, 5)) for i in range(90)} | {(100, 4, (1,))}
+
+
 def test_overlap_bound_never_too_low():
     rng = np.random.default_rng(5)
     for _ in range(200):
