@@ -2,8 +2,9 @@
 
 Every vector keeps its distances to many pivots. For a query q, a candidate x and a pivot p the triangle
 inequality gives |d(q,p) - d(x,p)| <= d(q,x), hence <q,x> <= (|q|^2 + |x|^2 - max_p(...)^2) / 2. In each block of
-candidates a query evaluates candidates in the order of that bound and stops once the next bound is below its
-k-th score so far. Blocks of queries meet blocks of candidates; the best k of all blocks are ranked at the end.
+candidates a query evaluates those of the highest bounds first, and of the others those whose bound reaches its
+k-th score so far. Both tables are packed in blocks and written once; tasks read the blocks they pair, so no copy of
+a block is shuffled, gathered or broadcast. The best k of all blocks are ranked at the end.
 """
 from __future__ import annotations
 
@@ -13,10 +14,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from panelforge.llm.common import scratch_table
+
 PIVOTS = 32
 QUERY_BLOCK, CANDIDATE_BLOCK = 1024, 4096
-#: Queries whose bounds are held at once.
-STRIP = 64
+#: Queries whose bounds are held at once, and candidates that set a query's first k-th score.
+STRIP, FIRST = 16, 64
 _PACKED = "block int, n int, dim int, ids binary, vectors binary, distances binary"
 
 
@@ -78,38 +81,45 @@ def search_block(q_ids, q, q_dist, x_ids, x, x_dist, k: int) -> tuple[np.ndarray
     kind = np.float64 if limit < 1 << 52 else object   # products stay exact integers either way
     qf, xf = q.astype(kind), x.astype(kind)
     q_norm, x_norm = (q.astype(float) ** 2).sum(1), (x.astype(float) ** 2).sum(1)
+    slack = (0.5 + 1e-9) * x_norm + 0.5       # rounding of the distances
+    x_by_pivot = np.ascontiguousarray(x_dist.T)
+    low, gap = np.empty((2, min(STRIP, len(q)), len(x)))
+    first_n = max(FIRST, k)
     out = []
     for a in range(0, len(q), STRIP):
         strip = slice(a, a + STRIP)
-        low = np.zeros((len(q[strip]), len(x)))
-        for p in range(x_dist.shape[1]):
-            np.maximum(low, np.abs(q_dist[strip, p][:, None] - x_dist[None, :, p]), out=low)
-        bound = (q_norm[strip][:, None] + x_norm[None, :] - low ** 2) / 2
-        bound += 1e-9 * (q_norm[strip][:, None] + x_norm[None, :]) + 0.5   # rounding of the distances
-        for r in range(len(bound)):
-            own = np.searchsorted(x_ids, q_ids[a + r])
-            ub = bound[r]
-            if own < len(x_ids) and x_ids[own] == q_ids[a + r]:
-                ub[own] = -np.inf
-            best_i, best_s = np.zeros(0, np.int64), np.zeros(0, kind)
-            left, step = np.flatnonzero(ub > -np.inf), 64
-            while len(left):
-                if len(left) > step:
-                    first = np.argpartition(ub[left], len(left) - step)[len(left) - step:]
-                    now = left[first]
-                    rest = np.ones(len(left), bool)
-                    rest[first] = False
-                    left = left[rest]
-                else:
-                    now, left = left, left[:0]
-                best_i = np.concatenate([best_i, now])
-                best_s = np.concatenate([best_s, xf[now] @ qf[a + r]])
-                order = np.lexsort((best_i, -best_s))[:k]
-                best_i, best_s = best_i[order], best_s[order]
-                if len(best_i) == k:
-                    left = left[ub[left] >= float(best_s[-1])]
-                step *= 4
-            out.append((np.full(len(best_i), q_ids[a + r]), x_ids[best_i], best_s.astype(np.int64)))
+        n = len(q[strip])
+        low, gap = low[:n], gap[:n]
+        low[:] = 0
+        for p, to_pivot in enumerate(x_by_pivot):
+            np.subtract(q_dist[strip, p][:, None], to_pivot, out=gap)
+            np.maximum(low, np.abs(gap, out=gap), out=low)
+        bound = np.square(low, out=gap)
+        bound *= -0.5
+        bound += slack
+        bound += (0.5 + 1e-9) * q_norm[strip][:, None]
+        own = np.searchsorted(x_ids, q_ids[strip])
+        here = np.flatnonzero(own < len(x_ids))
+        here = here[x_ids[own[here]] == q_ids[strip][here]]
+        bound[here, own[here]] = -np.inf
+        bar = np.full((n, 1), -np.inf, kind)     # no k-th score so far
+        if len(x) > first_n:
+            first = np.argpartition(bound, len(x) - first_n, axis=1)[:, len(x) - first_n:]
+            score = (xf[first] @ qf[strip][:, :, None])[:, :, 0]
+            score[np.take_along_axis(bound, first, 1) == -np.inf] = -np.inf
+            bar = np.sort(score, axis=1)[:, first_n - k:first_n - k + 1]
+        left = (bound >= bar) & (bound > -np.inf)
+        if np.count_nonzero(left) * 16 > left.size:
+            score = qf[strip] @ xf.T
+            r, c = np.nonzero(left & (score >= bar))
+            score = score[r, c]
+        else:
+            r, c = np.nonzero(left)
+            score = (qf[strip][r] * xf[c]).sum(axis=1)
+        order = np.lexsort((c, -score, r))
+        r, c, score = r[order], c[order], score[order]
+        best = np.arange(len(r)) - np.searchsorted(r, r) < k
+        out.append((q_ids[strip][r[best]], x_ids[c[best]], score[best].astype(np.int64)))
     return tuple(np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
 
 
@@ -136,12 +146,12 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, piv
         placed = df.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
         return placed.repartition(min(blocks, 4096), "block").mapInPandas(_pack(table, size, False), _PACKED)
 
-    n_x, n_q = -(-count // CANDIDATE_BLOCK), -(-count // (every * QUERY_BLOCK))
-    x = packed(rows, n_x, CANDIDATE_BLOCK)
-    q = packed(rows.filter(F.col("vec_id") % every == 0), n_q, QUERY_BLOCK)
-    q = (q.withColumnsRenamed({c: "q_" + c for c in ("block", "n", "ids", "vectors", "distances")})
-         .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(max(1, n_x) - 1)))))
-    met = q.join(x, ["block", "dim"])
+    x = scratch_table(packed(rows, -(-count // CANDIDATE_BLOCK), CANDIDATE_BLOCK), "top-k-candidates")
+    q = scratch_table(packed(rows.filter(F.col("vec_id") % every == 0), -(-count // (every * QUERY_BLOCK)), QUERY_BLOCK),
+                      "top-k-queries")
+    q = q.withColumnsRenamed({c: "q_" + c for c in ("block", "n", "ids", "vectors", "distances")})
+    # pairs of partitions are read where they are needed: a block's copies would be too many for a shuffle or broadcast
+    met = x.hint("shuffle_replicate_nl").join(q, "dim")
 
     def evaluate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -2,6 +2,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from panelforge.llm import components as comp
 from panelforge.llm import embedding_dedup, jaccard, mixing, topk
@@ -187,6 +188,41 @@ def test_top_k_equals_brute_force(spark):
     assert topk.top_k(vectors_of(spark, [])).count() == 0
 
 
+def test_top_k_block_pairs_are_neither_broadcast_nor_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 64)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 4)
+    rows = vector_rows(np.random.default_rng(4), 700)
+    good = np.array([np.floor(256 * np.array(v, np.float32).astype(float)) for _, v, _ in rows]).astype(int)
+    found = topk.top_k(vectors_of(spark, rows))
+    out = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in found.collect()}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Broadcast" not in plan and "MergeJoin" not in plan and "Generate" not in plan
+    ids = [i for i, _, _ in rows]
+    for q in range(len(ids)):
+        if ids[q] % 50 == 0:
+            best = sorted((-int(good[q] @ good[x]), ids[x]) for x in range(len(ids)) if x != q)[:5]
+            assert [out[ids[q], k + 1] for k in range(5)] == [(i, -s) for s, i in best]
+
+
+@pytest.mark.parametrize("size", [200, 1 << 29, 1 << 40])
+@pytest.mark.parametrize("spread", [1, 1000])
+def test_search_block_is_exact_for_small_and_large_integers(size, spread):
+    rng = np.random.default_rng(size % 97)
+    centers = rng.integers(-size, size, (4, 8))
+    x = centers[rng.integers(0, 4, 900)] + rng.integers(-size // spread, size // spread + 1, (900, 8))
+    x[100:140] = x[7]                                       # ties
+    ids, at = np.arange(0, 9000, 10), np.arange(0, 900, 9)
+    far = lambda v: np.sqrt(((v[:, None] - centers[None]).astype(float) ** 2).sum(2))
+    if size > 1 << 30:                                      # scores that fit 64 bits, products beyond 52
+        x[:, 2:] = 0
+        x[:, :2] >>= 10
+    i, v, s = topk.search_block(ids[at], x[at], far(x[at]), ids, x, far(x), 5)
+    assert len(i) == 5 * len(at)
+    for n, a in enumerate(at):
+        best = sorted((-sum(int(b) * int(c) for b, c in zip(x[a], x[o])), int(ids[o])) for o in range(900) if o != a)[:5]
+        assert list(zip((-s[5 * n:5 * n + 5]).tolist(), v[5 * n:5 * n + 5].tolist())) == best
+
+
 def test_mix_reaches_targets_and_handles_edges(spark):
     rng = random.Random(6)
     rows = [(i, " ".join(["w"] * rng.randint(0, 40)), rng.choice(["a", "a", "a", "b", "c", None])) for i in range(400)]
