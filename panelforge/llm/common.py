@@ -41,15 +41,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_table(df: DataFrame, name: str) -> DataFrame:
+#: For tables whose rows are megabytes: a writer looks at the size of what it holds after each row, not after a
+#: hundred, and a reader, which takes a row group's rows at once, finds small ones.
+LARGE_ROWS = {"parquet.page.size.row.check.min": "1", "parquet.block.size": str(32 << 20), "parquet.enable.dictionary": "false"}
+
+
+def scratch_table(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """Write ``df`` once as Parquet to the shared checkpoint folder and read it back.
 
     Cuts the lineage for good: a lost executor re-reads the files, nothing upstream runs again.
-    Every call takes a new folder.
+    Every call takes a new folder. ``options``: the writer's, such as ``LARGE_ROWS``.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/panelforge-llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

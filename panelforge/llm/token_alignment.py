@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from panelforge.llm.common import scratch_table, ship_code
+from panelforge.llm.common import LARGE_ROWS, scratch_table, ship_code
 
 #: Chunk occurrences of a block of documents (a document is never split), and bytes of the worker's memo.
 BLOCK_CHUNKS, MEMO_BYTES = 1_000_000, 160_000_000
@@ -390,7 +390,7 @@ def align_tokenizers(docs: DataFrame, a_path: str, b_path: str, id_col: str = "d
     count nowhere. Null ids and repeated rows are rows like any other; other columns are not read; an empty table
     gives an empty result. A very long text is aligned whole, in memory that grows with that text alone.
     """
-    blocks = scratch_table(aligned_blocks(docs, a_path, b_path, id_col, text_col), "alignment")
+    blocks = scratch_table(aligned_blocks(docs, a_path, b_path, id_col, text_col), "alignment", LARGE_ROWS)
     held, counts = link_counts(blocks)
     answers = held.join(counts, "code").select("block", "code", "count", "best")
 

@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from panelforge.llm.common import scratch_table
+from panelforge.llm.common import LARGE_ROWS, scratch_table
 
 PIVOTS = 32
 QUERY_BLOCK, CANDIDATE_BLOCK = 1024, 4096
@@ -146,9 +146,9 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, piv
         placed = df.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
         return placed.repartition(min(blocks, 4096), "block").mapInPandas(_pack(table, size, False), _PACKED)
 
-    x = scratch_table(packed(rows, -(-count // CANDIDATE_BLOCK), CANDIDATE_BLOCK), "top-k-candidates")
+    x = scratch_table(packed(rows, -(-count // CANDIDATE_BLOCK), CANDIDATE_BLOCK), "top-k-candidates", LARGE_ROWS)
     q = scratch_table(packed(rows.filter(F.col("vec_id") % every == 0), -(-count // (every * QUERY_BLOCK)), QUERY_BLOCK),
-                      "top-k-queries")
+                      "top-k-queries", LARGE_ROWS)
     q = q.withColumnsRenamed({c: "q_" + c for c in ("block", "n", "ids", "vectors", "distances")})
     # pairs of partitions are read where they are needed: a block's copies would be too many for a shuffle or broadcast
     met = x.hint("shuffle_replicate_nl").join(q, "dim")

@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from panelforge.llm import token_alignment as align
+from panelforge.llm import common, token_alignment as align
 
 P = pytest.importorskip("public_tokenizers")
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -98,6 +98,24 @@ def test_blocks_of_few_documents_and_a_full_memo_change_nothing(spark, monkeypat
     assert sorted(got, key=str) == reference(rows) == aligned(spark, rows)
 
 
+def test_blocks_are_written_in_small_row_groups(spark, monkeypatch):
+    import os
+
+    import pandas as pd
+    import pyarrow.parquet as pq
+    made = []
+    monkeypatch.setattr(align, "scratch_table", lambda *a: (made.append((a, scratch_table(*a))), made[-1][1])[1])
+    scratch_table = common.scratch_table
+    assert len(aligned(spark, [(1, "some words"), (2, "more words")])) == 2
+    (_, name, options), _ = made[0]
+    # rows as large as those of full blocks: a writer that looks at its size only after a hundred rows holds them all
+    large = spark.range(0, 24, 1, 1).mapInPandas(
+        lambda batches: (pd.DataFrame({"id": [i], "chunk": [os.urandom(5 << 20)]}) for b in batches for i in b["id"]), "id long, chunk binary")
+    files = scratch_table(large, name, options).inputFiles()
+    groups = pq.ParquetFile(files[0].removeprefix("file://")).metadata
+    assert groups.num_row_groups > 2 and max(groups.row_group(i).num_rows for i in range(groups.num_row_groups)) <= 10
+
+
 def test_gallop_equals_searchsorted():
     rng = np.random.default_rng(1)
     long = np.unique(rng.integers(0, 10_000, 900))
